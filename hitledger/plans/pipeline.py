@@ -1,0 +1,134 @@
+"""A whole run: read lines, stage their records, answer the queries, keep results and run records."""
+
+from __future__ import annotations
+
+import time
+from collections.abc import Callable, Collection
+from dataclasses import dataclass, field
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from hitledger.functions.parser import parse
+from hitledger.operators import queries as q
+from hitledger.operators.counters import valid_per_batch
+from hitledger.operators.metadata import QUERY_NAMES, describe_run, runtime_slices
+from hitledger.operators.records import valid
+from hitledger.operators.report import to_store
+from hitledger.session import scratch_path
+from hitledger.sources.lines import read_lines
+from hitledger.sources.stage import read_audit, write_by_batch
+from hitledger.sources.store import Store
+from hitledger.sources.tsv import write_tsv
+
+# Fixed value: the batch size noted in a run's record where the caller names none.
+DEFAULT_BATCH_SIZE = 10_000
+
+# Query number: store table, function of records, order of its rows in a report or TSV folder.
+QUERIES: dict[int, tuple[str, Callable[[DataFrame], DataFrame], list[str]]] = {
+    1: ("q1_daily_traffic", q.daily_traffic, ["batch_id", "log_date", "status_code"]),
+    2: ("q2_top_resources", q.top_resources, ["batch_id", "-request_count", "resource_path"]),
+    3: ("q3_hourly_error", q.hourly_errors, ["batch_id", "log_date", "log_hour"]),
+}
+
+
+@dataclass
+class Run:
+    run_id: int
+    stage: str
+    runtime_ms: int = 0
+    query_runtimes: dict[int, int] = field(default_factory=dict)
+
+
+def select_queries(query: int | Collection[int] = 0) -> list[int]:
+    """The queries asked for: a number, several, or 0 for all."""
+    wanted = sorted(QUERIES) if query == 0 else [query] if isinstance(query, int) else sorted(set(query))
+    unknown = [number for number in wanted if number not in QUERIES]
+    if unknown or not wanted:
+        raise ValueError(f"query must be 0, 1, 2 or 3, got {query!r}")
+    return wanted
+
+
+def next_run_id(spark: SparkSession, store: Store) -> int:
+    """One more than the largest id so far. Two runs must not start at the same moment."""
+    last = store.read(spark, "run_metadata").agg(F.max("run_id").alias("last")).first()
+    return (last["last"] or 0) + 1
+
+
+def _since(start: float) -> int:
+    return round((time.monotonic() - start) * 1000)
+
+
+def _ordered(result: DataFrame, order: list[str]) -> DataFrame:
+    return result.orderBy(*[F.desc(name[1:]) if name.startswith("-") else F.asc(name) for name in order])
+
+
+def run(
+    spark: SparkSession,
+    input_path: str | list[str],
+    store: Store,
+    query: int | Collection[int] = 0,
+    pipeline_name: str = "Spark",
+    batch_size: int = DEFAULT_BATCH_SIZE,
+    encoding: str = "UTF-8",
+    stage: str | None = None,
+    append: bool = False,
+    tsv: str | None = None,
+) -> Run:
+    """Load ``input_path`` and answer the queries; return the run's id and times.
+
+    Lines are parsed once, into an audit table of all records at ``stage`` (a scratch path if none
+    is named), which the queries then read column by column. ``append`` adds to a table already
+    there instead of replacing the batches loaded. ``tsv`` names a folder that gets each result as
+    tab-separated text as well.
+
+    A query's time covers its plan and its write. The counts in the run's record come from the
+    stage, whichever queries are asked for. Results are written by the tasks that hold them; only
+    ids and times pass through this process. A run that fails still leaves its record.
+    """
+    if batch_size <= 0:
+        raise ValueError(f"batch_size must be positive, got {batch_size}")
+    numbers = select_queries(query)
+    this = Run(next_run_id(spark, store), stage or scratch_path(spark, "audit"))
+
+    def describe(counts: DataFrame) -> DataFrame:
+        row = describe_run(counts, this.run_id, pipeline_name, batch_size, this.query_runtimes, this.runtime_ms)
+        return row.withColumn("executed_at", F.current_timestamp())
+
+    nothing = spark.range(1).select(
+        *[F.lit(0).alias(name) for name in ("total_batches", "total_records", "malformed_count")]
+    )
+    if store.reserves_runs:
+        store.write("run_metadata", describe(nothing))
+
+    start = time.monotonic()
+    counts = nothing
+    try:
+        records = parse(read_lines(spark, input_path, encoding))
+        write_by_batch(records, this.stage, replace=not append)
+        staged = read_audit(spark, this.stage)
+        bad = F.col("malformed")
+        counts = staged.agg(
+            F.count_distinct(F.when(~bad, F.col("batch_id"))).alias("total_batches"),
+            F.count_if(~bad).alias("total_records"),
+            F.count_if(bad).alias("malformed_count"),
+        )
+        for number in numbers:
+            table, ask, order = QUERIES[number]
+            began = time.monotonic()
+            result = ask(valid(staged))
+            store.write(table, to_store(result, this.run_id))
+            this.query_runtimes[number] = _since(began)
+            if tsv:
+                kept = store.read(spark, table, this.run_id).select(*result.columns)
+                write_tsv(_ordered(result, order) if "log_date" in kept.columns else _ordered(kept, order), f"{tsv}/q{number}")
+        runtimes = {QUERY_NAMES[number]: ms for number, ms in this.query_runtimes.items()}
+        slices = runtime_slices(valid_per_batch(staged), runtimes)
+        store.write(
+            "batch_metadata",
+            slices.select(F.lit(this.run_id).alias("run_id"), "*", F.current_timestamp().alias("loaded_at")),
+        )
+    finally:
+        this.runtime_ms = _since(start)
+        store.write("run_metadata", describe(counts))
+    return this
