@@ -1,4 +1,4 @@
-"""ISO-week batch ids."""
+"""ISO-week batch ids, as SQL text like :mod:`hitledger.functions.text`."""
 
 from __future__ import annotations
 
@@ -13,29 +13,29 @@ ISO_DATE = r"^(?!-0+-)([0-9]{4}|-[0-9]{4,7}|\+[0-9]{5,7})-[0-9]{2}-[0-9]{2}\z"
 _LAST_YEAR = 5_000_000
 
 
-def strict_date(text: Column) -> Column:
-    return F.when(text.rlike(ISO_DATE), text.try_cast("date"))
+def strict_date(text: str) -> str:
+    return f"CASE WHEN {text} RLIKE r'{ISO_DATE}' THEN try_cast({text} AS DATE) END"
 
 
-def iso_week(day: Column) -> Column:
+def iso_week(day: str) -> str:
     """``YYYYWW`` of a date's ISO week; 0 for null."""
-    return F.coalesce(F.extract(F.lit("YEAROFWEEK"), day) * 100 + F.weekofyear(day), F.lit(0)).cast("int")
+    return f"int(coalesce(extract(YEAROFWEEK FROM {day}) * 100 + weekofyear({day}), 0))"
 
 
-def week_batch_id(log_date: Column) -> Column:
-    """``YYYYWW`` of an ISO date text, e.g. 1995-07-01 is in batch 199526; 0 if it is no real date."""
-    return iso_week(strict_date(log_date))
-
-
-def calendar_day(year: Column, month: Column, day: Column) -> Column:
+def calendar_day(year: str, month: str, day: str) -> str:
     """The date of three numbers, or null where the calendar or the ISO text form has none.
 
     Agrees with ``strict_date`` on the text ``%04d-%02d-%02d`` without going through the text:
     a year over 9999 lacks the sign its text would need, and one from -999 to -1 lacks a digit.
     """
-    written = year.between(0, 9999) | year.between(-_LAST_YEAR, -1000)
-    first = F.make_date(F.when(written, year), month, F.lit(1))
-    return F.when(day.between(1, F.day(F.last_day(first))), F.date_add(first, day - 1))
+    written = f"{year} BETWEEN 0 AND 9999 OR {year} BETWEEN -{_LAST_YEAR} AND -1000"
+    first = f"make_date(CASE WHEN {written} THEN {year} END, {month}, 1)"
+    return f"CASE WHEN {day} BETWEEN 1 AND day(last_day({first})) THEN date_add({first}, {day} - 1) END"
+
+
+def week_batch_id(log_date: str) -> Column:
+    """``YYYYWW`` of an ISO date text, e.g. 1995-07-01 is in batch 199526; 0 if it is no real date."""
+    return F.expr(iso_week(f"({strict_date(log_date)})"))
 
 
 def register_week_batch_id(spark: SparkSession) -> None:
@@ -43,7 +43,6 @@ def register_week_batch_id(spark: SparkSession) -> None:
     spark.sql(
         f"""
         CREATE OR REPLACE TEMPORARY FUNCTION week_batch_id(log_date STRING) RETURNS INT
-        RETURN SELECT int(coalesce(extract(YEAROFWEEK FROM day) * 100 + weekofyear(day), 0))
-               FROM (SELECT if(log_date RLIKE r'{ISO_DATE}', try_cast(log_date AS DATE), NULL) AS day)
+        RETURN SELECT {iso_week("day")} FROM (SELECT {strict_date("log_date")} AS day)
         """
     )

@@ -1,22 +1,18 @@
-"""Common Log Format lines to records, in native column expressions only.
+"""Common Log Format lines to records, in native expressions only.
 
 Shape of a line: ``host - - [dd/Mon/yyyy:HH:mm:ss -ZZZZ] "METHOD /path PROTOCOL" status bytes``.
 
-The work is split in two steps with a barrier after each, see :func:`_step`:
-
-1. cut the line into host, timestamp, request and the rest;
-2. read the numbers, the date and the request words.
-
-A final projection derives the record. It is left open to column pruning, so a query that needs
-three columns does not pay for the others.
+1. Cut the line into host, timestamp, request and the rest.
+2. Read the numbers, the parts of the date and the words of the request.
+3. Derive the record. This projection is open to column pruning, so a query that needs three
+   columns does not pay for the others.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from hitledger.functions.batching import calendar_day, iso_week
 from hitledger.functions.text import is_blank, strip_blanks, whole_number, words
@@ -31,20 +27,18 @@ _STATUS = r"^[\x00-\x20]*+([+-]?[0-9]++)(?:\s|[\x00-\x20]*+\z)"
 _BYTES = r"^[\x00-\x20]*+\S++\s++([+-]?[0-9]++)(?:\s|[\x00-\x20]*+\z)"
 
 
-def _step(df: DataFrame, keep: Iterable[str], **columns: Column) -> DataFrame:
-    """Compute ``columns`` once per row and keep only them and ``keep``.
+def _select(df: DataFrame, keep: Iterable[str], columns: Mapping[str, str]) -> DataFrame:
+    return df.selectExpr(*keep, *[f"{expression} AS {name}" for name, expression in columns.items()])
 
-    ``inline(array(struct(...)))`` is a generator. Catalyst neither merges projections through one
-    nor pushes a filter on its output below it. With a plain ``select`` a later ``filter`` on
-    ``malformed`` would be rewritten in terms of the raw line, running every pattern many times.
-    The projection below the generator is where Spark shares equal sub-expressions.
-    """
-    df = df.select(*keep, *[column.alias(name) for name, column in columns.items()])
-    return df.select(*keep, F.inline(F.array(F.struct(*columns))))
 
+def barrier(df: DataFrame, keep: Iterable[str], columns: Iterable[str]) -> DataFrame:
+    """Pass ``columns`` on so that nothing above is worked into how they are computed.
 
-def _piece(pieces: str, index: int) -> Column:
-    return F.get(pieces, F.lit(index))
+    ``inline(array(struct(...)))`` is a generator. Catalyst neither merges projections through one
+    nor pushes a filter on its output below it. Without it a ``filter`` on ``malformed`` would be
+    rewritten in terms of the raw line, running every split and pattern many times over.
+    """
+    return df.selectExpr(*keep, f"inline(array(struct({', '.join(columns)})))")
 
 
 def _cut(df: DataFrame, line: str, keep: list[str]) -> DataFrame:
@@ -52,81 +46,72 @@ def _cut(df: DataFrame, line: str, keep: list[str]) -> DataFrame:
 
     Each split stops at the mark it looks for, and a missing mark leaves nulls behind it.
     """
-    df = df.select(*keep, F.col(line).alias("_line"), F.split(line, " ", 2).alias("_by_space"))
+    df = _select(df, keep, {"_line": line, "_by_space": f"split({line}, ' ', 2)"})
     # A blank line has no fields at all; one with a bracket cannot be blank.
-    filled = F.contains("_line", F.lit("[")) | ~is_blank(F.col("_line"))
-    df = df.select(
-        *keep,
-        F.when((F.size("_by_space") == 2) & filled, _piece("_by_space", 0)).alias("host"),
-        F.split(_piece("_by_space", 1), r"\[", 2).alias("_by_bracket"),
-    )
-    df = df.select(*keep, "host", F.split(_piece("_by_bracket", 1), "]", 2).alias("_by_bracket"))
-    df = df.select(
-        *keep,
-        "host",
-        F.when(F.size("_by_bracket") == 2, _piece("_by_bracket", 0)).alias("timestamp"),
-        F.split(_piece("_by_bracket", 1), '"', 3).alias("_by_quote"),
-    )
-    quoted = F.size("_by_quote") == 3
-    df = df.select(
-        *keep,
-        "host",
-        "timestamp",
-        F.when(quoted, _piece("_by_quote", 1)).alias("_request"),
-        _piece("_by_quote", 2).alias("_rest"),
-    )
-    return df.select(*keep, "host", "timestamp", strip_blanks(F.col("_request")).alias("_request"), "_rest")
-
-
-def _read(df: DataFrame, keep: list[str]) -> DataFrame:
-    df = df.select("*", F.split("timestamp", ":", 3).alias("_clock"))
-    df = df.select("*", F.split(F.get("_clock", F.lit(0)), "/", 4).alias("_date"))
-    day, month, year = (F.get("_date", F.lit(i)) for i in range(3))
-    month = F.array_position(F.array(*map(F.lit, MONTHS)), F.upper(month))
-    return _step(
+    filled = f"(contains(_line, '[') OR NOT {is_blank('_line')})"
+    host = f"CASE WHEN size(_by_space) = 2 AND {filled} THEN get(_by_space, 0) END"
+    df = _select(df, keep, {"host": host, "_by_bracket": r"split(get(_by_space, 1), r'\[', 2)"})
+    keep = [*keep, "host"]
+    df = _select(df, keep, {"_by_bracket": "split(get(_by_bracket, 1), ']', 2)"})
+    timestamp = "CASE WHEN size(_by_bracket) = 2 THEN get(_by_bracket, 0) END"
+    df = _select(df, keep, {"timestamp": timestamp, "_by_quote": "split(get(_by_bracket, 1), '\"', 3)"})
+    keep = [*keep, "timestamp"]
+    request = "CASE WHEN size(_by_quote) = 3 THEN get(_by_quote, 1) END"
+    df = _select(df, keep, {"_request": request, "_rest": "get(_by_quote, 2)", "_clock": "split(timestamp, ':', 3)"})
+    return _select(
         df,
-        [*keep, "host", "timestamp"],
-        _day=whole_number(day),
-        _month=F.nullif(month.cast("int"), F.lit(0)),
-        _year=whole_number(year),
-        _hour=whole_number(F.get("_clock", F.lit(1))),
-        _words=words(F.col("_request")),
-        _status=F.regexp_extract("_rest", _STATUS, 1).try_cast("int"),
-        _bytes=F.regexp_extract("_rest", _BYTES, 1).try_cast("bigint"),
+        [*keep, "_rest", "_clock"],
+        {"_request": strip_blanks("_request"), "_date": "split(get(_clock, 0), '/', 4)"},
     )
 
 
-def _dated() -> Column:
-    return F.col("_year").isNotNull() & F.col("_month").isNotNull() & F.col("_day").isNotNull()
-
-
-def _log_date() -> Column:
-    """``YYYY-MM-DD`` with no check of the day: the 45th of July keeps its place in the text."""
-    year, month, day = F.col("_year"), F.col("_month"), F.col("_day")
-    pad = lambda c, n: F.lpad(c.cast("string"), n, "0")
-    usual = year.between(0, 9999) & day.between(0, 99)
-    plain = F.concat(pad(year, 4), F.lit("-"), pad(month, 2), F.lit("-"), pad(day, 2))
-    odd = F.format_string("%04d-%02d-%02d", year, month, day)
-    return F.when(_dated(), F.when(usual, plain).otherwise(odd))
-
-
-def _request_columns() -> dict[str, Column]:
-    """Method, path and protocol by the number of words; a word can be told by how it starts."""
-    first, second, third = (_piece("_words", i) for i in range(3))
-    count = F.size("_words")
-    is_protocol = lambda word: F.startswith(word, F.lit("HTTP/"))
-    one, two, three = count == 1, count == 2, count == 3
-    lone_path = ~is_protocol(first) & F.startswith(first, F.lit("/"))
+def _read(df: DataFrame, keep: list[str]) -> DataFrame:
+    months = ", ".join(f"'{month}'" for month in MONTHS)
+    columns = {
+        "_day": whole_number("get(_date, 0)"),
+        "_month": f"int(nullif(array_position(array({months}), upper(get(_date, 1))), 0))",
+        "_year": whole_number("get(_date, 2)"),
+        "_hour": whole_number("get(_clock, 1)"),
+        "_words": words("_request"),
+        "_status": f"try_cast(regexp_extract(_rest, r'{_STATUS}', 1) AS INT)",
+        "_bytes": f"try_cast(regexp_extract(_rest, r'{_BYTES}', 1) AS BIGINT)",
+    }
+    keep = [*keep, "host", "timestamp"]
+    return barrier(_select(df, keep, columns), keep, columns)
+
+
+def _record() -> dict[str, str]:
+    dated = "(_year IS NOT NULL AND _month IS NOT NULL AND _day IS NOT NULL)"
+    # No check of the day: the 45th of July keeps its place in the text.
+    usual = "_year BETWEEN 0 AND 9999 AND _day BETWEEN 0 AND 99"
+    plain = "concat(lpad(_year, 4, '0'), '-', lpad(_month, 2, '0'), '-', lpad(_day, 2, '0'))"
+    odd = "format_string('%04d-%02d-%02d', _year, _month, _day)"
+    # The number of words tells method, path and protocol apart, or else how a word starts.
+    count, first, second = "size(_words)", "get(_words, 0)", "get(_words, 1)"
+    first_is_protocol, second_is_protocol = f"startswith({first}, 'HTTP/')", f"startswith({second}, 'HTTP/')"
+    lone_path = f"(NOT {first_is_protocol} AND startswith({first}, '/'))"
     return {
-        "http_method": F.when(three, first)
-        .when(two & (is_protocol(second) | ~is_protocol(first)), first)
-        .when(one & ~is_protocol(first) & ~lone_path, first),
-        "resource_path": F.when(three, second)
-        .when(two & ~is_protocol(second), second)
-        .when(one & lone_path, first),
-        "protocol_version": F.when(three, third)
-        .when(two & is_protocol(second), second)
-        .when((two | one) & is_protocol(first), first),
+        "host": "host",
+        "timestamp": "timestamp",
+        "log_date": f"CASE WHEN {dated} THEN CASE WHEN {usual} THEN {plain} ELSE {odd} END END",
+        "log_hour": f"CASE WHEN {dated} THEN coalesce(_hour, 0) ELSE 0 END",
+        "http_method": f"""CASE
+            WHEN {count} = 3 THEN {first}
+            WHEN {count} = 2 AND ({second_is_protocol} OR NOT {first_is_protocol}) THEN {first}
+            WHEN {count} = 1 AND NOT {first_is_protocol} AND NOT {lone_path} THEN {first} END""",
+        "resource_path": f"""CASE
+            WHEN {count} = 3 OR {count} = 2 AND NOT {second_is_protocol} THEN {second}
+            WHEN {count} = 1 AND {lone_path} THEN {first} END""",
+        "protocol_version": f"""CASE
+            WHEN {count} = 3 THEN get(_words, 2)
+            WHEN {count} = 2 AND {second_is_protocol} THEN {second}
+            WHEN {count} IN (1, 2) AND {first_is_protocol} THEN {first} END""",
+        "status_code": "coalesce(_status, 0)",
+        "bytes_transferred": "CASE WHEN _status IS NOT NULL THEN coalesce(_bytes, 0L) ELSE 0L END",
+        "batch_id": iso_week(f"({calendar_day('_year', '_month', '_day')})"),
+        "malformed": f"""NOT coalesce(
+            host IS NOT NULL AND {dated} AND _hour IS NOT NULL AND {count} BETWEEN 1 AND 3 AND _status IS NOT NULL,
+            FALSE)""",
     }
 
 
@@ -136,25 +121,7 @@ def parse(df: DataFrame, line: str = "value", keep: Iterable[str] = ()) -> DataF
     Every input row gives one output row. Rows that do not parse have ``malformed`` set and hold
     what could be read before the fault. ``keep`` names further input columns to carry along.
     """
-    keep = list(keep)
-    read = _read(_cut(df, line, keep), keep)
-    no_bytes = F.lit(0).cast("bigint")
-    sound = (
-        F.col("host").isNotNull()
-        & _dated()
-        & F.col("_hour").isNotNull()
-        & F.size("_words").between(1, 3)
-        & F.col("_status").isNotNull()
-    )
-    derived = {
-        "host": F.col("host"),
-        "timestamp": F.col("timestamp"),
-        "log_date": _log_date(),
-        "log_hour": F.when(_dated(), F.coalesce("_hour", F.lit(0))).otherwise(F.lit(0)),
-        **_request_columns(),
-        "status_code": F.coalesce("_status", F.lit(0)),
-        "bytes_transferred": F.when(F.col("_status").isNotNull(), F.coalesce("_bytes", no_bytes)).otherwise(no_bytes),
-        "batch_id": iso_week(calendar_day(F.col("_year"), F.col("_month"), F.col("_day"))),
-        "malformed": ~F.coalesce(sound, F.lit(False)),
-    }
-    return read.select(*keep, *[derived[name].alias(name) for name in RECORD.fieldNames()])
+    keep = [f"`{name}`" for name in keep]
+    read = _read(_cut(df, f"`{line}`", keep), keep)
+    record = _record()
+    return _select(read, keep, {f"`{name}`": record[name] for name in RECORD.fieldNames()})

@@ -38,7 +38,7 @@ def resource_stats(records: DataFrame, by: tuple[str, ...] = ("batch_id", "resou
     """
     return (
         valid(records)
-        .select("batch_id", path_or_empty(F.col("resource_path")).alias("resource_path"), "host", "bytes_transferred")
+        .select("batch_id", path_or_empty(), "host", "bytes_transferred")
         .groupBy(*by)
         .agg(
             F.count("*").alias("request_count"),
@@ -51,7 +51,7 @@ def resource_stats(records: DataFrame, by: tuple[str, ...] = ("batch_id", "resou
 def host_sets(records: DataFrame) -> DataFrame:
     """Sizes of the host sets per path, taken as sets of (path, host) rows and never held whole."""
     pairs = valid(records).select(
-        "batch_id", path_or_empty(F.col("resource_path")).alias("resource_path"), "host"
+        "batch_id", path_or_empty(), "host"
     )
     return pairs.distinct().groupBy("batch_id", "resource_path").agg(F.count("host").alias("distinct_host_count"))
 

@@ -28,12 +28,12 @@ def malformed(records: DataFrame) -> DataFrame:
     return records.filter("malformed")
 
 
-def path_or_empty(path: Column) -> Column:
-    return F.coalesce(empty_to_null(path), F.lit(NO_PATH))
+def path_or_empty(path: str = "resource_path") -> Column:
+    return F.expr(f"coalesce({empty_to_null(path)}, '{NO_PATH}')").alias(path)
 
 
 def normalize_path(records: DataFrame) -> DataFrame:
-    return records.withColumn("resource_path", path_or_empty(F.col("resource_path")))
+    return records.withColumn("resource_path", path_or_empty())
 
 
 def is_error(status: Column) -> Column:

@@ -5,27 +5,25 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hitledger.functions.text import shorten, whole_number
+from hitledger.functions.text import shorten
 
 
-def sink_date(log_date: Column) -> Column:
+def sink_date(log_date: str) -> Column:
     """A result's date text as a DATE.
 
     A day up to 31 that its month lacks runs on into the next month: 31 February 2024 is stored
     as 2 March. Days outside 1 to 31, which no calendar can place, become null, and so do years
     of other than four digits.
     """
-    pieces = F.split(log_date, "-")
-    number = lambda i: whole_number(F.get(pieces, F.lit(i)))
-    first = F.make_date(number(0), number(1), F.lit(1))
-    placed = F.when(number(2).between(1, 31), F.date_add(first, number(2) - 1))
-    return F.when(log_date.rlike(r"^[0-9]{4}-[0-9]{2}-[0-9]{2}\z"), placed)
+    usual = rf"{log_date} RLIKE r'^[0-9]{{4}}-[0-9]{{2}}-(0[1-9]|[12][0-9]|3[01])\z'"
+    first = f"make_date(int(substr({log_date}, 1, 4)), int(substr({log_date}, 6, 2)), 1)"
+    return F.expr(f"CASE WHEN {usual} THEN date_add({first}, int(substr({log_date}, 9, 2)) - 1) END")
 
 
 def to_store(result: DataFrame, run_id: int) -> DataFrame:
     """A query result as the store keeps it: run id first, real dates, load time last."""
     if "log_date" in result.columns:
-        result = result.withColumn("log_date", sink_date(F.col("log_date")))
+        result = result.withColumn("log_date", sink_date("log_date"))
     return result.select(F.lit(run_id).cast("int").alias("run_id"), "*", F.current_timestamp().alias("loaded_at"))
 
 
@@ -49,7 +47,7 @@ def traffic_listing(table: DataFrame, run_id: int) -> DataFrame:
 def resource_listing(table: DataFrame, run_id: int) -> DataFrame:
     """Paths too long for the report's column end in three dots."""
     listed = of_run(table, run_id).orderBy("batch_id", F.desc("request_count"), "resource_path")
-    return listed.withColumn("resource_path", shorten(F.col("resource_path")))
+    return listed.withColumn("resource_path", F.expr(shorten("resource_path")))
 
 
 def error_listing(table: DataFrame, run_id: int) -> DataFrame:

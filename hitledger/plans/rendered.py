@@ -6,90 +6,79 @@ through a session time zone: ``ts`` has none.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
-FORMS = 40
+from hitledger.functions.parser import barrier
 
-_MONTHS = ("Jan", "Feb", "Mar", "Apr", "May", "Jun", "Jul", "Aug", "Sep", "Oct", "Nov", "Dec")
-_CODES = (200, 200, 200, 304, 302, 404, 403, 500, 501, 200)
+_PARTS = {
+    "form": "event_id % 40",
+    # Form 18 moves through thirteen months, past the turn of the year.
+    "moment": """CASE WHEN event_id % 40 = 18
+                 THEN ts + make_dt_interval(CAST(30 * (event_id DIV 40 % 13) AS INT)) ELSE ts END""",
+    "host": "'host' || user_id % 97 || '.example.com'",
+    "path": "'/' || event_type || '/' || event_id * 31 % 37 || '.html'",
+    "code": """string(get(array(200, 200, 200, 304, 302, 404, 403, 500, 501, 200),
+               CAST(event_id * 7 % 10 AS INT)))""",
+    "size": "string(event_id * 7919 % 65536)",
+}
+
+_CLOCK = {
+    "dd": "lpad(day(moment), 2, '0')",
+    "d": "string(day(moment))",
+    "mon": """get(array('Jan', 'Feb', 'Mar', 'Apr', 'May', 'Jun', 'Jul', 'Aug', 'Sep', 'Oct', 'Nov', 'Dec'),
+              month(moment) - 1)""",
+    "yyyy": "string(year(moment))",
+    "hh": "lpad(hour(moment), 2, '0')",
+    "ms": "lpad(minute(moment), 2, '0') || ':' || lpad(second(moment), 2, '0') || ' -0400'",
+}
+
+_TEXTS = {
+    "any_host": "CASE form WHEN 16 THEN '' WHEN 24 THEN 'h\"]' || host ELSE host END",
+    "stamp": """CASE form
+        WHEN 10 THEN '31/Feb/2024:' || hh || ':' || ms
+        WHEN 11 THEN dd || '/Foo/' || yyyy || ':' || hh || ':' || ms
+        WHEN 12 THEN upper(dd || '/' || mon || '/' || yyyy) || ':' || hh || ':' || ms
+        WHEN 22 THEN dd || '/' || mon || '/' || yyyy
+        WHEN 23 THEN d || '/' || mon || '/' || yyyy || '/x:' || hh || ':' || ms
+        WHEN 29 THEN dd || '/' || mon || '/' || yyyy || ':25:' || ms
+        ELSE dd || '/' || mon || '/' || yyyy || ':' || hh || ':' || ms END""",
+    "request": """CASE form
+        WHEN 2 THEN 'GET ' || path || ' x HTTP/1.0'
+        WHEN 6 THEN 'GET ' || path
+        WHEN 7 THEN 'GET HTTP/1.0'
+        WHEN 8 THEN path
+        WHEN 9 THEN ''
+        WHEN 13 THEN '\t' || 'GET  ' || path || ' HTTP/1.0 '
+        WHEN 14 THEN 'HTTP/1.0'
+        WHEN 15 THEN 'HTTP/1.0 ' || path
+        WHEN 19 THEN 'GET'
+        WHEN 28 THEN 'GET /é' || path || ' HTTP/1.0'
+        ELSE 'GET ' || path || ' HTTP/1.0' END""",
+    "rest": """CASE form WHEN 3 THEN 'abc' WHEN 20 THEN '+404' WHEN 25 THEN code || '.5' ELSE code END
+        || CASE form WHEN 4 THEN ' -' WHEN 5 THEN '' WHEN 17 THEN ' xyz' WHEN 20 THEN ' -5'
+                     WHEN 21 THEN ' 99999999999999999999' ELSE ' ' || size END""",
+}
+
+_LINE = """CASE
+    WHEN form = 0 AND event_id % 80 = 0 THEN ''
+    WHEN form = 0 THEN ' \t '
+    WHEN form = 1 THEN any_host || ' - - "' || request || '" ' || rest
+    WHEN form = 26 THEN 'nospace' || event_id
+    WHEN form = 27 THEN any_host || ' - - [' || stamp || '] "' || request || ' ' || rest
+    ELSE any_host || ' - - [' || stamp || '] "' || request || '" ' || rest END"""
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id", "ts", "user_id", "event_type")
 
 
-def _two(number: Column) -> Column:
-    return F.lpad(number.cast("string"), 2, "0")
+def _texts(columns: dict[str, str]) -> list[str]:
+    return [f"{expression} AS {name}" for name, expression in columns.items()]
 
 
 def render_lines(events: DataFrame) -> DataFrame:
     """``event_id`` and the line ``value``."""
-    form = (F.col("event_id") % FORMS).alias("form")
-    # Form 18 moves through thirteen months, past the turn of the year.
-    moved = F.expr("ts + make_dt_interval(CAST(30 * (event_id DIV 40 % 13) AS INT))")
-    parts = events.select(
-        "event_id",
-        form,
-        F.when(form == 18, moved).otherwise(F.col("ts")).alias("at"),
-        F.concat(F.lit("host"), F.col("user_id") % 97, F.lit(".example.com")).alias("host"),
-        F.concat(F.lit("/"), "event_type", F.lit("/"), F.col("event_id") * 31 % 37, F.lit(".html")).alias("path"),
-        F.get(F.array(*map(F.lit, _CODES)), (F.col("event_id") * 7 % 10).cast("int")).cast("string").alias("code"),
-        (F.col("event_id") * 7919 % 65536).cast("string").alias("size"),
-    )
-    form = F.col("form")
-    day, month, year = F.day("at"), F.get(F.array(*map(F.lit, _MONTHS)), F.month("at") - 1), F.year("at")
-    minute = F.concat(F.lit(":"), _two(F.minute("at")), F.lit(":"), _two(F.second("at")), F.lit(" -0400"))
-    clock = F.concat(F.lit(":"), _two(F.hour("at")), minute)
-    date = F.concat_ws("/", _two(day), month, year.cast("string"))
-    stamp = (
-        F.when(form == 10, F.concat(F.lit("31/Feb/2024"), clock))
-        .when(form == 11, F.concat(F.concat_ws("/", _two(day), F.lit("Foo"), year.cast("string")), clock))
-        .when(form == 12, F.concat(F.upper(date), clock))
-        .when(form == 22, date)
-        .when(form == 23, F.concat(F.concat_ws("/", day.cast("string"), month, year.cast("string"), F.lit("x")), clock))
-        .when(form == 29, F.concat(date, F.lit(":25"), minute))
-        .otherwise(F.concat(date, clock))
-    )
-    path = F.col("path")
-    request = (
-        F.when(form == 2, F.concat(F.lit("GET "), path, F.lit(" x HTTP/1.0")))
-        .when(form == 6, F.concat(F.lit("GET "), path))
-        .when(form == 7, "GET HTTP/1.0")
-        .when(form == 8, path)
-        .when(form == 9, "")
-        .when(form == 13, F.concat(F.lit("\tGET  "), path, F.lit(" HTTP/1.0 ")))
-        .when(form == 14, "HTTP/1.0")
-        .when(form == 15, F.concat(F.lit("HTTP/1.0 "), path))
-        .when(form == 19, "GET")
-        .when(form == 28, F.concat(F.lit("GET /é"), path, F.lit(" HTTP/1.0")))
-        .otherwise(F.concat(F.lit("GET "), path, F.lit(" HTTP/1.0")))
-    )
-    code = F.col("code")
-    status = F.when(form == 3, "abc").when(form == 20, "+404").when(form == 25, F.concat(code, F.lit(".5"))).otherwise(code)
-    size = (
-        F.when(form == 4, " -")
-        .when(form == 5, "")
-        .when(form == 17, " xyz")
-        .when(form == 20, " -5")
-        .when(form == 21, " 99999999999999999999")
-        .otherwise(F.concat(F.lit(" "), "size"))
-    )
-    host = F.when(form == 16, "").when(form == 24, F.concat(F.lit('h"]'), "host")).otherwise(F.col("host"))
-    parts = parts.select(
-        "event_id", "form", host.alias("host"), stamp.alias("stamp"), request.alias("request"),
-        status.alias("status"), size.alias("size"),
-    )
-    tail = F.concat(F.lit('" '), F.col("status"), F.col("size"))
-    line = (
-        F.when((form == 0) & (F.col("event_id") % 80 == 0), "")
-        .when(form == 0, " \t ")
-        .when(form == 1, F.concat(F.col("host"), F.lit(' - - "'), F.col("request"), tail))
-        .when(form == 26, F.concat(F.lit("nospace"), F.col("event_id")))
-        .when(form == 27, F.concat(F.col("host"), F.lit(" - - ["), "stamp", F.lit('] "'), "request", F.lit(" "), "status", "size"))
-        .otherwise(F.concat(F.col("host"), F.lit(" - - ["), "stamp", F.lit('] "'), "request", tail))
-    )
-    rendered = parts.select("event_id", line.alias("value"))
-    # A generator here keeps the rendering out of the parser's expressions: the lines are what the
-    # parser gets, as if read from a file.
-    return rendered.select(F.inline(F.array(F.struct("event_id", "value"))))
+    parts = events.selectExpr("event_id", *_texts(_PARTS)).selectExpr("*", *_texts(_CLOCK))
+    lines = parts.selectExpr("event_id", "form", *_texts(_TEXTS)).selectExpr("event_id", f"{_LINE} AS value")
+    # Keep the rendering out of the parser's expressions: the parser gets lines as if from a file.
+    return barrier(lines, [], ["event_id", "value"])

@@ -23,6 +23,6 @@ def read_lines(spark: SparkSession, path: str | list[str], encoding: str = "UTF-
 
 def lines_view(spark: SparkSession, path: str | list[str], name: str, encoding: str = "UTF-8") -> DataFrame:
     """The same lines as a view ``name`` with one column ``line``; an empty line reads as null."""
-    lines = read_lines(spark, path, encoding).select(empty_to_null(F.col("value")).alias("line"))
+    lines = read_lines(spark, path, encoding).selectExpr(f"{empty_to_null('value')} AS line")
     lines.createOrReplaceTempView(name)
     return lines

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from hitledger.functions.text import strip_blanks, whole_number
+from hitledger.functions.text import BLANKS, whole_number
 
 
 def write_tsv(df: DataFrame, path: str, order: list[str] | None = None) -> None:
@@ -21,16 +21,14 @@ def write_tsv(df: DataFrame, path: str, order: list[str] | None = None) -> None:
     df.select(line.alias("value")).write.mode("overwrite").text(path)
 
 
-def _value(cell: Column, kind: T.DataType) -> Column:
+def _value(cell: str, kind: T.DataType) -> Column:
     if isinstance(kind, T.StringType):
-        return cell
-    text = strip_blanks(cell)
-    if isinstance(kind, (T.IntegerType, T.LongType)):
-        number = whole_number(text, kind.simpleString())
-    else:
-        number = text.try_cast(kind.simpleString())
-    fault = F.raise_error(F.concat(F.lit(f"not a {kind.simpleString()}: "), text))
-    return F.coalesce(number, fault.cast(kind))
+        return F.expr(cell)
+    name = kind.simpleString()
+    text = f"btrim({cell}, '{BLANKS}')"
+    whole = isinstance(kind, (T.IntegerType, T.LongType))
+    number = whole_number(text, name) if whole else f"try_cast({text} AS {name})"
+    return F.expr(f"coalesce({number}, CAST(raise_error('not a {name}: ' || {text}) AS {name}))")
 
 
 def read_tsv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -39,5 +37,5 @@ def read_tsv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     lines = spark.read.text(path).select(F.split(F.regexp_replace("value", r"\t+\z", ""), "\t").alias("cells"))
     lines = lines.filter(F.size("cells") >= len(schema))
     return lines.select(
-        *[_value(F.get("cells", F.lit(i)), f.dataType).alias(f.name) for i, f in enumerate(schema.fields)]
+        *[_value(f"get(cells, {i})", f.dataType).alias(f.name) for i, f in enumerate(schema.fields)]
     )
