@@ -1,0 +1 @@
+"""Web access-log analytics on Spark."""

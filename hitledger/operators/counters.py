@@ -36,3 +36,20 @@ def batch_record_counts(daily_traffic: DataFrame) -> DataFrame:
 def valid_per_batch(records: DataFrame) -> DataFrame:
     """The same counts, from the records."""
     return valid(records).groupBy("batch_id").agg(F.count("*").alias("record_count")).orderBy("batch_id")
+
+
+def per_batch_counts(records: DataFrame) -> DataFrame:
+    """Valid and malformed lines of each batch; over a stage, of one narrow column."""
+    bad = F.col("malformed")
+    return records.groupBy("batch_id").agg(
+        F.count_if(~bad).alias("record_count"), F.count_if(bad).alias("malformed_count")
+    )
+
+
+def totals(per_batch: DataFrame) -> DataFrame:
+    """One row for the whole load: batches with valid records, valid and malformed lines."""
+    return per_batch.agg(
+        F.count_if(F.col("record_count") > 0).alias("total_batches"),
+        F.coalesce(F.sum("record_count"), F.lit(0)).alias("total_records"),
+        F.coalesce(F.sum("malformed_count"), F.lit(0)).alias("malformed_count"),
+    )

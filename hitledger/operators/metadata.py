@@ -7,6 +7,8 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from hitledger.operators.counters import per_batch_counts, totals
+
 QUERY_NAMES = {1: "Q1", 2: "Q2", 3: "Q3"}
 
 
@@ -19,12 +21,7 @@ def run_metadata(
     runtime_ms: int,
 ) -> DataFrame:
     """One row for a run, its counts taken from the records in one pass."""
-    bad = F.col("malformed")
-    counts = records.agg(
-        F.count_distinct(F.when(~bad, F.col("batch_id"))).alias("total_batches"),
-        F.count_if(~bad).alias("total_records"),
-        F.count_if(bad).alias("malformed_count"),
-    )
+    counts = totals(per_batch_counts(records))
     return describe_run(counts, run_id, pipeline_name, batch_size, query_runtimes, runtime_ms)
 
 
@@ -63,16 +60,17 @@ def runtime_slices(counts: DataFrame, runtimes: Mapping[str, int]) -> DataFrame:
     the windows, one per query, stay small whatever the number of records.
     """
     none = counts.agg(F.count("*").alias("n")).filter("n = 0")
-    none = none.select(F.lit(1).alias("batch_id"), F.lit(0).cast("bigint").alias("record_count"))
-    counts = counts.select("batch_id", "record_count").unionByName(none)
+    none = none.select(F.lit(1).alias("batch_id"), F.lit(0).cast("bigint").alias("record_count"), F.lit(1.0).alias("_all"))
+    counts = counts.select("batch_id", "record_count", F.lit(0.0).alias("_all")).unionByName(none)
     timed = [
         F.struct(F.lit(name).alias("query_name"), F.lit(ms).cast("bigint").alias("_runtime"))
         for name, ms in runtimes.items()
     ]
-    rows = counts.select("batch_id", "record_count", F.inline(F.array(*timed)))
+    rows = counts.select("*", F.inline(F.array(*timed)))
     query = Window.partitionBy("query_name")
     total = F.sum("record_count").over(query)
-    exact = F.coalesce(F.try_divide(F.col("_runtime").cast("double") * F.col("record_count"), total), F.lit(0.0))
+    runtime = F.col("_runtime").cast("double")
+    exact = F.coalesce(F.try_divide(runtime * F.col("record_count"), total), runtime * F.col("_all"))
     rows = rows.withColumn("_exact", exact).withColumn("_share", F.floor("_exact"))
     largest_loss = query.orderBy(F.desc(F.col("_exact") - F.col("_share")), F.asc("batch_id"))
     left_over = F.col("_runtime") - F.sum("_share").over(query)

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hitledger.functions.text import shorten
+from hitledger.operators.metadata import latest_run
+from hitledger.sources.store import Store
 
 
 def sink_date(log_date: str) -> Column:
@@ -61,3 +63,24 @@ def error_listing(table: DataFrame, run_id: int) -> DataFrame:
 def with_run(table: DataFrame, runs: DataFrame) -> DataFrame:
     """Result rows with the name and total records of their run."""
     return table.join(runs.select("run_id", "pipeline_name", "total_records"), "run_id")
+
+
+def report(spark: SparkSession, store: Store, run_id: int | None = None) -> dict[str, DataFrame]:
+    """All parts of the report on a run, the latest if none is named, in the order to show them."""
+    runs = store.read(spark, "run_metadata")
+    if run_id is None:
+        latest = latest_run(runs).select("run_id").first()
+        if latest is None:
+            raise LookupError("the store holds no runs")
+        run_id = latest["run_id"]
+    tables = {name: store.read(spark, name, run_id) for name in LISTINGS}
+    return {name: listing(tables[name], run_id) for name, listing in LISTINGS.items()}
+
+
+LISTINGS = {
+    "run_metadata": run_summary,
+    "batch_metadata": batch_listing,
+    "q1_daily_traffic": traffic_listing,
+    "q2_top_resources": resource_listing,
+    "q3_hourly_error": error_listing,
+}

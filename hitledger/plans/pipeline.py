@@ -8,27 +8,28 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from hitledger.functions.parser import parse
 from hitledger.operators import queries as q
-from hitledger.operators.counters import valid_per_batch
+from hitledger.operators.counters import per_batch_counts, totals
 from hitledger.operators.metadata import QUERY_NAMES, describe_run, runtime_slices
-from hitledger.operators.records import valid
 from hitledger.operators.report import to_store
+from hitledger.schemas import DAILY_TRAFFIC, HOURLY_ERRORS, PER_BATCH, TOP_RESOURCES
 from hitledger.session import scratch_path
 from hitledger.sources.lines import read_lines
 from hitledger.sources.stage import read_audit, write_by_batch
 from hitledger.sources.store import Store
-from hitledger.sources.tsv import write_tsv
+from hitledger.sources.tsv import read_tsv, write_tsv
 
 # Fixed value: the batch size noted in a run's record where the caller names none.
 DEFAULT_BATCH_SIZE = 10_000
 
-# Query number: store table, function of records, order of its rows in a report or TSV folder.
-QUERIES: dict[int, tuple[str, Callable[[DataFrame], DataFrame], list[str]]] = {
-    1: ("q1_daily_traffic", q.daily_traffic, ["batch_id", "log_date", "status_code"]),
-    2: ("q2_top_resources", q.top_resources, ["batch_id", "-request_count", "resource_path"]),
-    3: ("q3_hourly_error", q.hourly_errors, ["batch_id", "log_date", "log_hour"]),
+# Query number: store table, function of records, order of its rows as text, columns.
+QUERIES: dict[int, tuple[str, Callable[[DataFrame], DataFrame], list[str], StructType]] = {
+    1: ("q1_daily_traffic", q.daily_traffic, ["batch_id", "log_date", "status_code"], DAILY_TRAFFIC),
+    2: ("q2_top_resources", q.top_resources, ["batch_id", "-request_count", "resource_path"], TOP_RESOURCES),
+    3: ("q3_hourly_error", q.hourly_errors, ["batch_id", "log_date", "log_hour"], HOURLY_ERRORS),
 }
 
 
@@ -59,10 +60,6 @@ def _since(start: float) -> int:
     return round((time.monotonic() - start) * 1000)
 
 
-def _ordered(result: DataFrame, order: list[str]) -> DataFrame:
-    return result.orderBy(*[F.desc(name[1:]) if name.startswith("-") else F.asc(name) for name in order])
-
-
 def run(
     spark: SparkSession,
     input_path: str | list[str],
@@ -72,17 +69,20 @@ def run(
     batch_size: int = DEFAULT_BATCH_SIZE,
     encoding: str = "UTF-8",
     stage: str | None = None,
-    append: bool = False,
+    mode: str = "replace",
+    time_ordered: bool = False,
     tsv: str | None = None,
 ) -> Run:
     """Load ``input_path`` and answer the queries; return the run's id and times.
 
     Lines are parsed once, into an audit table of all records at ``stage`` (a scratch path if none
-    is named), which the queries then read column by column. ``append`` adds to a table already
-    there instead of replacing the batches loaded. ``tsv`` names a folder that gets each result as
-    tab-separated text as well.
+    is named), which the queries then read column by column. ``mode`` says what becomes of rows
+    already there, see :func:`hitledger.sources.stage.write_by_batch`; the queries cover the whole
+    table. ``time_ordered`` says that files hold lines in the order of time, so that the table can
+    be written without a shuffle. ``tsv`` names a folder that gets each result as tab-separated
+    text, from which the store is then loaded.
 
-    A query's time covers its plan and its write. The counts in the run's record come from the
+    A query's time covers its plan and its writes. The counts in the run's record come from the
     stage, whichever queries are asked for. Results are written by the tasks that hold them; only
     ids and times pass through this process. A run that fails still leaves its record.
     """
@@ -91,44 +91,42 @@ def run(
     numbers = select_queries(query)
     this = Run(next_run_id(spark, store), stage or scratch_path(spark, "audit"))
 
-    def describe(counts: DataFrame) -> DataFrame:
+    def record_run(counts: DataFrame) -> None:
         row = describe_run(counts, this.run_id, pipeline_name, batch_size, this.query_runtimes, this.runtime_ms)
-        return row.withColumn("executed_at", F.current_timestamp())
+        store.write("run_metadata", row.withColumn("executed_at", F.current_timestamp()))
 
-    nothing = spark.range(1).select(
-        *[F.lit(0).alias(name) for name in ("total_batches", "total_records", "malformed_count")]
-    )
+    # No rows yet: sums over none of them.
+    per_batch = spark.createDataFrame([], PER_BATCH)
     if store.reserves_runs:
-        store.write("run_metadata", describe(nothing))
-
+        record_run(totals(per_batch))
     start = time.monotonic()
-    counts = nothing
     try:
         records = parse(read_lines(spark, input_path, encoding))
-        write_by_batch(records, this.stage, replace=not append)
+        write_by_batch(records, this.stage, mode=mode, spread=not time_ordered)
         staged = read_audit(spark, this.stage)
-        bad = F.col("malformed")
-        counts = staged.agg(
-            F.count_distinct(F.when(~bad, F.col("batch_id"))).alias("total_batches"),
-            F.count_if(~bad).alias("total_records"),
-            F.count_if(bad).alias("malformed_count"),
-        )
+        # One row per ISO week, read more than once below.
+        per_batch = per_batch_counts(staged).persist()
         for number in numbers:
-            table, ask, order = QUERIES[number]
             began = time.monotonic()
-            result = ask(valid(staged))
-            store.write(table, to_store(result, this.run_id))
+            _answer(spark, number, staged, store, this.run_id, tsv)
             this.query_runtimes[number] = _since(began)
-            if tsv:
-                kept = store.read(spark, table, this.run_id).select(*result.columns)
-                write_tsv(_ordered(result, order) if "log_date" in kept.columns else _ordered(kept, order), f"{tsv}/q{number}")
         runtimes = {QUERY_NAMES[number]: ms for number, ms in this.query_runtimes.items()}
-        slices = runtime_slices(valid_per_batch(staged), runtimes)
+        slices = runtime_slices(per_batch.filter("record_count > 0"), runtimes)
         store.write(
             "batch_metadata",
             slices.select(F.lit(this.run_id).alias("run_id"), "*", F.current_timestamp().alias("loaded_at")),
         )
     finally:
         this.runtime_ms = _since(start)
-        store.write("run_metadata", describe(counts))
+        record_run(totals(per_batch))
+        per_batch.unpersist()
     return this
+
+
+def _answer(spark: SparkSession, number: int, staged: DataFrame, store: Store, run_id: int, tsv: str | None) -> None:
+    table, ask, order, schema = QUERIES[number]
+    result = ask(staged)
+    if tsv:
+        write_tsv(result, f"{tsv}/q{number}", order)
+        result = read_tsv(spark, f"{tsv}/q{number}", schema)
+    store.write(table, to_store(result, run_id))

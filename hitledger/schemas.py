@@ -50,6 +50,9 @@ HOURLY_ERRORS = _struct(
     ("distinct_error_hosts", T.LongType()),
 )
 
+# Lines of one batch, valid and malformed.
+PER_BATCH = _struct(("batch_id", T.IntegerType()), ("record_count", T.LongType()), ("malformed_count", T.LongType()))
+
 RUN_METADATA = _struct(
     ("run_id", T.IntegerType()),
     ("pipeline_name", T.StringType()),

@@ -17,6 +17,8 @@ from hitledger.schemas import RECORD
 AUDIT_COLUMNS = RECORD.fieldNames()
 STAGE_COLUMNS = [name for name in AUDIT_COLUMNS if name != "timestamp"]
 
+MODES = ("replace", "append", "replace-batches")
+
 # Ways to part one batch among writing tasks when the session does not split large ones itself.
 _SALTS = 64
 
@@ -38,23 +40,24 @@ def write_by_batch(
     df: DataFrame,
     path: str,
     fmt: str = "parquet",
-    replace: bool = True,
+    mode: str = "replace",
     compression: str = "snappy",
     max_records_per_file: int = 0,
     spread: bool = True,
 ) -> None:
     """Write one folder per ``batch_id``.
 
-    ``replace`` replaces the batches present in ``df`` and leaves others alone, so a repeated load
-    does not double its rows; otherwise rows are added. Logs that already arrive in time order can
-    be written straight from the scan with ``spread=False``, which saves the shuffle.
+    ``mode`` is ``replace`` for a new table, ``append`` to add rows, or ``replace-batches`` to
+    replace just the batches present in ``df``, so that a repeated load does not double its rows.
+    Logs that already arrive in time order can be written straight from the scan with
+    ``spread=False``, which saves the shuffle.
     """
+    if mode not in MODES:
+        raise ValueError(f"mode must be one of {', '.join(MODES)}, got {mode!r}")
     writer = (spread_by_batch(df) if spread else df).write.format(fmt).partitionBy("batch_id")
     writer = writer.option("compression", compression).option("maxRecordsPerFile", max_records_per_file)
-    if replace:
-        writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").save(path)
-    else:
-        writer.mode("append").save(path)
+    overwrite = "dynamic" if mode == "replace-batches" else "static"
+    writer.option("partitionOverwriteMode", overwrite).mode("append" if mode == "append" else "overwrite").save(path)
 
 
 def _layout(columns: list[str]) -> T.StructType:

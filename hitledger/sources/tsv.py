@@ -10,9 +10,12 @@ from hitledger.functions.text import BLANKS, whole_number
 
 
 def write_tsv(df: DataFrame, path: str, order: list[str] | None = None) -> None:
-    """Replace ``path`` by the rows of ``df``; doubles have six decimals, nulls are empty."""
+    """Replace ``path`` by the rows of ``df``; doubles have six decimals, nulls are empty.
+
+    A name in ``order`` that starts with ``-`` sorts downwards.
+    """
     if order:
-        df = df.orderBy(*order)
+        df = df.orderBy(*[F.desc(name[1:]) if name.startswith("-") else F.asc(name) for name in order])
     cells = [
         F.format_string("%.6f", f.name) if isinstance(f.dataType, T.DoubleType) else F.col(f.name).cast("string")
         for f in df.schema.fields

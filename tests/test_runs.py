@@ -1,0 +1,210 @@
+"""Metadata, report and whole runs."""
+
+import datetime
+
+import pytest
+from pyspark.errors import PySparkException
+
+from hitledger.__main__ import main
+from hitledger.functions.parser import parse
+from hitledger.operators import queries as q
+from hitledger.operators.metadata import latest_run, runtime_slices
+from hitledger.operators.report import report, resource_listing, sink_date, to_store, with_run
+from hitledger.plans.pipeline import next_run_id, run, select_queries
+from hitledger.plans.views import register_views
+from hitledger.schemas import STORE
+from hitledger.session import scratch_path, shared_folder
+from hitledger.sources.lines import read_lines
+from hitledger.sources.store import JdbcStore, ParquetStore
+from hitledger.streaming.ingest import ingest
+from hitledger.sources.stage import read_audit
+
+
+def rows(df):
+    return sorted(map(repr, df.collect()))
+
+
+def counts(spark, pairs):
+    return spark.createDataFrame(pairs, "batch_id int, record_count long")
+
+
+def slices(spark, pairs, **runtimes):
+    got = runtime_slices(counts(spark, pairs), runtimes).orderBy("query_name", "batch_id").collect()
+    return [tuple(row) for row in got]
+
+
+def test_slices_share_out_the_whole_time(spark):
+    assert slices(spark, [(1, 1), (2, 1), (3, 1)], Q1=100) == [("Q1", 1, 1, 34), ("Q1", 2, 1, 33), ("Q1", 3, 1, 33)]
+    assert slices(spark, [(1, 10), (2, 85), (3, 5)], Q1=9, Q2=0) == [
+        ("Q1", 1, 10, 1), ("Q1", 2, 85, 8), ("Q1", 3, 5, 0), ("Q2", 1, 10, 0), ("Q2", 2, 85, 0), ("Q2", 3, 5, 0)
+    ]
+    uneven = [(week, week * 7 % 11) for week in range(1, 60)]
+    assert sum(row[3] for row in slices(spark, uneven, Q3=98_765)) == 98_765
+
+
+def test_slices_of_nothing(spark):
+    assert slices(spark, [], Q1=5, Q2=7) == [("Q1", 1, 0, 5), ("Q2", 1, 0, 7)]
+    assert slices(spark, [(4, 0), (5, 0)], Q1=1) == [("Q1", 4, 0, 1), ("Q1", 5, 0, 0)]
+
+
+def test_latest_run(spark):
+    assert latest_run(spark.createDataFrame([(2,), (11,), (7,)], "run_id int")).first()[0] == 11
+
+
+def test_dates_at_the_sink(spark):
+    want = {
+        "1995-07-01": datetime.date(1995, 7, 1),
+        "1995-02-30": datetime.date(1995, 3, 2),
+        "1996-02-31": datetime.date(1996, 3, 2),
+        "1995-04-31": datetime.date(1995, 5, 1),
+        "1995-07-45": None,
+        "1995-07-00": None,
+        "1995-07-123": None,
+        "19950-07-01": None,
+        "-1995-07-01": None,
+        None: None,
+    }
+    df = spark.createDataFrame([(text,) for text in want], "log_date string")
+    assert dict(map(tuple, df.select("log_date", sink_date("log_date")).collect())) == want
+
+
+def test_long_paths_are_shortened(spark):
+    paths = {"/" + "x" * 43: "/" + "x" * 43, "/" + "x" * 44: "/" + "x" * 40 + "..."}
+    df = spark.createDataFrame([(1, 1, 1, path) for path in paths], "run_id int, batch_id int, request_count int, resource_path string")
+    assert {row["resource_path"] for row in resource_listing(df, 1).collect()} == set(paths.values())
+
+
+def test_select_queries():
+    assert select_queries() == [1, 2, 3] and select_queries(2) == [2] and select_queries([3, 1, 3]) == [1, 3]
+    for wrong in (4, -1, [], [1, 9]):
+        with pytest.raises(ValueError):
+            select_queries(wrong)
+
+
+def test_run(spark, log_folder, tmp_path):
+    store = ParquetStore(str(tmp_path / "store"))
+    first = run(spark, log_folder, store, pipeline_name="one", batch_size=50, tsv=str(tmp_path / "tsv"))
+    second = run(spark, log_folder, store, query=[3], stage=str(tmp_path / "stage"), time_ordered=True)
+    assert (first.run_id, second.run_id) == (1, 2) and next_run_id(spark, store) == 3
+
+    for name, schema in STORE.items():
+        table = store.read(spark, name)
+        assert table.schema == schema
+        assert {row[0] for row in table.select("run_id").distinct().collect()} <= {1, 2}
+    records = parse(read_lines(spark, log_folder))
+    drop = ["run_id", "loaded_at"]
+    for name, ask in (("q1_daily_traffic", q.daily_traffic), ("q2_top_resources", q.top_resources), ("q3_hourly_error", q.hourly_errors)):
+        assert rows(store.read(spark, name, 1).drop(*drop)) == rows(to_store(ask(records), 1).drop(*drop))
+    assert store.read(spark, "q1_daily_traffic", 2).count() == 0
+    assert rows(store.read(spark, "q3_hourly_error", 2).drop(*drop)) == rows(store.read(spark, "q3_hourly_error", 1).drop(*drop))
+
+    one, two = store.read(spark, "run_metadata").orderBy("run_id").collect()
+    assert (one["pipeline_name"], one["batch_size"], two["pipeline_name"], two["batch_size"]) == ("one", 50, "Spark", 10_000)
+    for row in (one, two):
+        assert (row["total_records"], row["malformed_count"]) == (775, 225)
+        assert row["avg_batch_size"] == 775 / row["total_batches"]
+        assert row["runtime_ms"] >= row["q1_runtime_ms"] + row["q2_runtime_ms"] + row["q3_runtime_ms"]
+    assert two["q1_runtime_ms"] == 0 < two["q3_runtime_ms"]
+
+    batches = store.read(spark, "batch_metadata", 1)
+    assert batches.count() == 3 * one["total_batches"]
+    assert batches.filter("query_name = 'Q2'").agg({"batch_runtime_ms": "sum"}).first()[0] == one["q2_runtime_ms"]
+    assert rows(read_audit(spark, second.stage)) == rows(records)
+
+    shown = report(spark, store)
+    assert shown["run_metadata"].first()["run_id"] == 2 and shown["q1_daily_traffic"].count() == 0
+    shown = report(spark, store, 1)
+    listed = [row["request_count"] for row in shown["q2_top_resources"].filter("batch_id = 202402").collect()]
+    assert listed == sorted(listed, reverse=True) and len(listed) == 20
+    assert all(len(row["error_rate"]) == 6 for row in shown["q3_hourly_error"].collect())
+    joined = with_run(store.read(spark, "q1_daily_traffic"), store.read(spark, "run_metadata"))
+    assert {row["pipeline_name"] for row in joined.collect()} == {"one"}
+
+
+def test_reading_one_run_reads_one_folder(spark, log_folder, tmp_path, plan_of):
+    store = ParquetStore(str(tmp_path))
+    run(spark, log_folder, store, query=1)
+    assert "PartitionFilters: [isnotnull(run_id" in plan_of(store.read(spark, "q1_daily_traffic", 1))
+
+
+def test_a_failed_run_leaves_its_record(spark, tmp_path):
+    store = ParquetStore(str(tmp_path / "store"))
+    with pytest.raises(PySparkException):
+        run(spark, str(tmp_path / "missing"), store)
+    row = store.read(spark, "run_metadata").first()
+    assert (row["run_id"], row["total_records"], row["total_batches"], row["avg_batch_size"]) == (1, 0, 0, 0.0)
+    with pytest.raises(ValueError):
+        run(spark, str(tmp_path), store, batch_size=0)
+
+
+def test_run_over_no_lines(spark, tmp_path):
+    (tmp_path / "empty").write_text("")
+    store = ParquetStore(str(tmp_path / "store"))
+    run(spark, str(tmp_path / "empty"), store, query=1)
+    row = store.read(spark, "run_metadata").first()
+    assert (row["total_records"], row["malformed_count"]) == (0, 0)
+    (batch,) = store.read(spark, "batch_metadata").collect()
+    assert (batch["batch_id"], batch["record_count"], batch["batch_runtime_ms"]) == (1, 0, row["q1_runtime_ms"])
+
+
+def test_appending_adds_to_the_table(spark, tmp_path):
+    line = 'h - - [01/Jul/1995:00:00:01 -0400] "GET /a HTTP/1.0" 200 1\n'
+    (tmp_path / "log").write_text(line * 3)
+    store, stage = ParquetStore(str(tmp_path / "store")), str(tmp_path / "stage")
+    for mode, total in (("replace", 3), ("append", 6), ("replace-batches", 3)):
+        done = run(spark, str(tmp_path / "log"), store, query=1, stage=stage, mode=mode)
+        assert store.read(spark, "q1_daily_traffic", done.run_id).first()["request_count"] == total
+
+
+def test_report_of_an_empty_store(spark, tmp_path):
+    with pytest.raises(LookupError):
+        report(spark, ParquetStore(str(tmp_path)))
+
+
+def test_jdbc_options():
+    store = JdbcStore("jdbc:postgresql://db/logs", {"user": "u"}, batch_size=500)
+    assert store.write_options("batch_metadata") == {
+        "user": "u", "batchsize": "500", "numPartitions": "8", "createTableColumnTypes": "query_name VARCHAR(8)"
+    }
+    assert "createTableColumnTypes" not in store.write_options("q1_daily_traffic")
+
+
+def test_command_line(spark, log_folder, tmp_path, capsys):
+    store = str(tmp_path / "store")
+    main(["run", "--input", log_folder, "--store", store, "--query", "1", "--output", str(tmp_path / "out")])
+    main(["report", "--store", store, "1"])
+    main(["load", "--input", log_folder, "--stage", str(tmp_path / "stage"), "--drop"])
+    shown = capsys.readouterr().out
+    assert "run 1:" in shown and "q1_daily_traffic" in shown and "202402" in shown
+    assert read_audit(spark, str(tmp_path / "stage")).count() == 1000
+    with pytest.raises(SystemExit):
+        main(["run", "--input", log_folder, "--store", store, "--query", "4"])
+
+
+def test_views(spark, log_folder):
+    register_views(spark, log_folder)
+    got = spark.sql(
+        """SELECT batch_id, log_date, status_code, count(*) AS request_count, sum(bytes_transferred) AS total_bytes
+           FROM parsed_logs WHERE malformed = 0 AND batch_id = week_batch_id(log_date) GROUP BY ALL"""
+    )
+    assert rows(got) == rows(q.daily_traffic(parse(read_lines(spark, log_folder))))
+    assert spark.sql("SELECT count(*) FROM raw_logs").first()[0] == 1000
+
+
+def test_streaming_takes_each_file_once(spark, tmp_path):
+    folder, stage, progress = tmp_path / "in", str(tmp_path / "stage"), str(tmp_path / "progress")
+    folder.mkdir()
+    line = 'h - - [01/Jul/1995:00:00:01 -0400] "GET /a HTTP/1.0" 200 1\n'
+    for n in range(3):
+        (folder / f"log{n}").write_text(line * 2 + "bad\n")
+        for _ in range(2):
+            ingest(spark, str(folder), stage, progress, files_per_chunk=1).awaitTermination()
+        assert read_audit(spark, stage).count() == 3 * (n + 1)
+    whole = parse(read_lines(spark, str(folder)))
+    assert rows(read_audit(spark, stage)) == rows(whole)
+
+
+def test_shared_folder(spark):
+    assert scratch_path(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
+    assert scratch_path(spark, "x") != scratch_path(spark, "x")
+    assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
