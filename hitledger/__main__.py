@@ -9,7 +9,7 @@ from pyspark.sql import SparkSession
 from hitledger.functions.parser import parse
 from hitledger.operators.counters import etl_counters, valid_per_batch
 from hitledger.operators.report import report
-from hitledger.plans.pipeline import DEFAULT_BATCH_SIZE, run
+from hitledger.plans.runs import DEFAULT_BATCH_SIZE, run
 from hitledger.session import build_session
 from hitledger.sources.lines import read_lines
 from hitledger.sources.stage import MODES, read_audit, write_by_batch

@@ -10,11 +10,12 @@ from pyspark.sql import functions as F
 from hitledger.functions.batching import register_week_batch_id
 from hitledger.functions.parser import parse
 from hitledger.operators import counters, metadata, queries, records, report
-from hitledger.plans.pipeline import DEFAULT_BATCH_SIZE
+from hitledger.plans.runs import DEFAULT_BATCH_SIZE, run
 from hitledger.plans.rendered import events, render_lines
 from hitledger.schemas import DAILY_TRAFFIC, HOURLY_ERRORS
 from hitledger.session import scratch_path
 from hitledger.sources import lines, stage, tsv
+from hitledger.sources.store import ParquetStore
 from hitledger.streaming.ingest import ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -52,6 +53,22 @@ def scan_lines(spark, sf_dir):
     return lines.read_lines(spark, _line_files(spark, sf_dir))
 
 
+@_register
+def scan_latin1(spark, sf_dir):
+    """The lines written and read back as ISO-8859-1."""
+    path = scratch_path(spark, "latin1")
+    encoded = F.encode("value", "ISO-8859-1").cast("string")
+    _lines(spark, sf_dir).select(encoded.alias("value")).write.text(path)
+    return lines.read_lines(spark, path, "ISO-8859-1")
+
+
+@_register
+def scan_lines_view(spark, sf_dir):
+    """The lines as a view, queried in SQL."""
+    lines.lines_view(spark, _line_files(spark, sf_dir), "raw_lines")
+    return spark.sql("SELECT line, count(*) AS copies FROM raw_lines GROUP BY line")
+
+
 @_register
 def filter_blank(spark, sf_dir):
     return records.non_blank(_lines(spark, sf_dir))
@@ -180,8 +197,8 @@ def stage_write_orc(spark, sf_dir):
 
 @_register
 def stage_scan_pruned(spark, sf_dir):
-    """Daily traffic of one week, of which only that week's folder is read."""
-    return queries.daily_traffic(stage.read_stage(spark, _staged(spark, sf_dir), batches=[202402]))
+    """Daily traffic of real weeks: the folder of impossible dates is not read."""
+    return queries.daily_traffic(stage.read_stage(spark, _staged(spark, sf_dir)).filter("batch_id <> 0"))
 
 
 @_register
@@ -241,21 +258,46 @@ def report_batches(spark, sf_dir):
     return report.batch_listing(runtime_slices(spark, sf_dir).select(F.lit(_RUN).alias("run_id"), "*"), _RUN)
 
 
+def _stored(spark: SparkSession, table: str, result: DataFrame) -> DataFrame:
+    """A result put into a store and read back."""
+    store = ParquetStore(scratch_path(spark, "store"))
+    store.write(table, report.to_store(result, _RUN))
+    return store.read(spark, table).drop("loaded_at")
+
+
 @_register
 def report_q1(spark, sf_dir):
-    return report.traffic_listing(report.to_store(q1_daily_traffic(spark, sf_dir), _RUN).drop("loaded_at"), _RUN)
+    return report.traffic_listing(_stored(spark, "q1_daily_traffic", q1_daily_traffic(spark, sf_dir)), _RUN)
 
 
 @_register
 def report_q2(spark, sf_dir):
-    return report.resource_listing(report.to_store(q2_top_resources(spark, sf_dir), _RUN).drop("loaded_at"), _RUN)
+    return report.resource_listing(_stored(spark, "q2_top_resources", q2_top_resources(spark, sf_dir)), _RUN)
 
 
 @_register
 def report_q3(spark, sf_dir):
-    return report.error_listing(report.to_store(q3_hourly_error(spark, sf_dir), _RUN).drop("loaded_at"), _RUN)
+    return report.error_listing(_stored(spark, "q3_hourly_error", q3_hourly_error(spark, sf_dir)), _RUN)
+
+
+@_register
+def report_run(spark, sf_dir):
+    return report.run_summary(_run(spark, sf_dir), _RUN)
 
 
 @_register
 def report_with_run(spark, sf_dir):
     return report.with_run(report_q1(spark, sf_dir), _run(spark, sf_dir))
+
+
+@_register
+def whole_run(spark, sf_dir):
+    """A whole run from text files to the store; what it notes about its batches, without times."""
+    store = ParquetStore(scratch_path(spark, "store"))
+    done = run(spark, _line_files(spark, sf_dir), store)
+    batches = store.read(spark, "batch_metadata", done.run_id)
+    runs = store.read(spark, "run_metadata").drop("executed_at")
+    return batches.join(runs, "run_id").select(
+        "run_id", "pipeline_name", "batch_size", "total_batches", "avg_batch_size", "total_records",
+        "malformed_count", "query_name", "batch_id", "record_count",
+    )

@@ -199,6 +199,8 @@ _WITH_Q3 = _with(_RECORDS, _Q3)
 
 ORACLES: dict[str, str] = {
     "scan_lines": _with(_LINES) + "SELECT value FROM lines",
+    "scan_latin1": _with(_LINES) + "SELECT value FROM lines",
+    "scan_lines_view": _with(_LINES) + "SELECT nullif(value, '') AS line, count(*) AS copies FROM lines GROUP BY 1",
     "filter_blank": _with(_LINES) + "SELECT event_id, value FROM lines WHERE trim(value, ' ') <> ''",
     "parse_fields": _R + f"SELECT event_id, {_RECORD} FROM records",
     "filter_valid": _R + f"SELECT event_id, {_RECORD} FROM valid",
@@ -232,7 +234,7 @@ ORACLES: dict[str, str] = {
     "q3_hourly_error": _WITH_Q3 + "SELECT * FROM q3",
     "stage_write": _R + _STAGED,
     "stage_write_orc": _R + _STAGED,
-    "stage_scan_pruned": _WITH_Q1 + "SELECT * FROM q1 WHERE batch_id = 202402",
+    "stage_scan_pruned": _WITH_Q1 + "SELECT * FROM q1 WHERE batch_id <> 0",
     "audit_stage": _R + f"SELECT {_RECORD} FROM records",
     "stream_ingest": _R + f"SELECT {_RECORD} FROM records",
     "tsv_roundtrip": _WITH_Q1 + "SELECT * FROM q1",
@@ -255,7 +257,13 @@ ORACLES: dict[str, str] = {
           total_request_count,
           CAST(CAST(round(CAST(error_rate AS DECIMAL(18, 6)), 4) AS DECIMAL(18, 4)) AS VARCHAR) AS error_rate,
           distinct_error_hosts FROM q3""",
+    "report_run": _with(_RECORDS, _RUNS)
+    + "SELECT * REPLACE (CAST(CAST(avg_batch_size AS DECIMAL(18, 1)) AS VARCHAR) AS avg_batch_size) FROM runs",
     "report_with_run": _with(_RECORDS, _Q1, _RUNS)
     + f"""SELECT CAST(1 AS INTEGER) AS run_id, batch_id, {_STORED_DATE} AS log_date, status_code, request_count,
           total_bytes, pipeline_name, total_records FROM q1, runs""",
+    "whole_run": _with(_RECORDS, _COUNTS, _RUNS)
+    + """SELECT run_id, pipeline_name, batch_size, total_batches, avg_batch_size, total_records, malformed_count,
+         query_name, batch_id, record_count
+       FROM runs, counts, (VALUES ('Q1'), ('Q2'), ('Q3')) AS q(query_name)""",
 }

@@ -10,7 +10,7 @@ from hitledger.functions.parser import parse
 from hitledger.operators import queries as q
 from hitledger.operators.metadata import latest_run, runtime_slices
 from hitledger.operators.report import report, resource_listing, sink_date, to_store, with_run
-from hitledger.plans.pipeline import next_run_id, run, select_queries
+from hitledger.plans.runs import next_run_id, run, select_queries
 from hitledger.plans.views import register_views
 from hitledger.schemas import STORE
 from hitledger.session import scratch_path, shared_folder
