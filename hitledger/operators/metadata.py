@@ -57,11 +57,12 @@ def runtime_slices(counts: DataFrame, runtimes: Mapping[str, int]) -> DataFrame:
     Shares are rounded down and what is left goes, one millisecond each, to the batches that lost
     the largest fractions (the earlier batch first among equals), so they add up to the run time.
     With no batches at all, batch 1 takes the whole time. ``counts`` has one row per ISO week, so
-    the windows, one per query, stay small whatever the number of records.
+    the array of them and the windows, one per query, stay small whatever the number of records.
+    The array lets the empty case be seen without working out ``counts`` a second time.
     """
-    none = counts.agg(F.count("*").alias("n")).filter("n = 0")
-    none = none.select(F.lit(1).alias("batch_id"), F.lit(0).cast("bigint").alias("record_count"), F.lit(1.0).alias("_all"))
-    counts = counts.select("batch_id", "record_count", F.lit(0.0).alias("_all")).unionByName(none)
+    weeks = counts.agg(F.expr("collect_list(struct(batch_id, record_count, 0D AS _all)) AS weeks"))
+    nothing = "array(struct(1 AS batch_id, 0L AS record_count, 1D AS _all))"
+    counts = weeks.selectExpr(f"inline(CASE WHEN size(weeks) = 0 THEN {nothing} ELSE weeks END)")
     timed = [
         F.struct(F.lit(name).alias("query_name"), F.lit(ms).cast("bigint").alias("_runtime"))
         for name, ms in runtimes.items()

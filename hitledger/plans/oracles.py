@@ -9,10 +9,12 @@ from __future__ import annotations
 _FORMS = """
 forms AS (
   SELECT event_id, event_id % 40 AS k,
-         CASE WHEN event_id % 40 = 18 THEN ts + to_days(CAST(30 * (event_id // 40 % 13) AS INTEGER)) ELSE ts END AS moment,
+         CASE WHEN event_id % 40 = 18 THEN ts + to_days(CAST(30 * (event_id // 40 % 13) AS INTEGER)) ELSE ts END
+           AS moment,
          'host' || (user_id % 97) || '.example.com' AS plain_host,
          '/' || event_type || '/' || (event_id * 31 % 37) || '.html' AS path,
-         [200, 200, 200, 304, 302, 404, 403, 500, 501, 200][CAST(event_id * 7 % 10 AS INTEGER) + 1] AS code,
+         [200, 200, 200, 304, 302, 404, 403, 500, 501, 200][CAST(event_id * 7 % 10 AS INTEGER) + 1]
+           AS code,
          event_id * 7919 % 65536 AS size
   FROM events
 ),
@@ -40,7 +42,8 @@ records AS (
          CASE WHEN k IN (0, 1, 26) THEN NULL ELSE stamp END AS timestamp,
          CASE WHEN k IN (0, 1, 11, 26) THEN NULL WHEN k = 10 THEN '2024-02-31'
               ELSE strftime(moment, '%Y-%m-%d') END AS log_date,
-         CAST(CASE WHEN k IN (0, 1, 11, 22, 26) THEN 0 WHEN k = 29 THEN 25 ELSE hour(moment) END AS INTEGER) AS log_hour,
+         CAST(CASE WHEN k IN (0, 1, 11, 22, 26) THEN 0 WHEN k = 29 THEN 25 ELSE hour(moment) END AS INTEGER)
+           AS log_hour,
          CASE WHEN k IN (0, 1, 2, 8, 14, 15, 26, 27) THEN NULL WHEN k = 9 THEN '' ELSE 'GET' END AS http_method,
          CASE WHEN k IN (0, 1, 2, 7, 9, 14, 19, 26, 27) THEN NULL WHEN k = 28 THEN '/é' || path
               ELSE path END AS resource_path,
@@ -167,8 +170,8 @@ _RUNS = """
 runs AS (
   SELECT CAST(1 AS INTEGER) AS run_id, 'Spark' AS pipeline_name, CAST(10000 AS INTEGER) AS batch_size,
          CAST(count(DISTINCT batch_id) FILTER (NOT malformed) AS INTEGER) AS total_batches,
-         coalesce(count(*) FILTER (NOT malformed) / nullif(CAST(count(DISTINCT batch_id) FILTER (NOT malformed) AS DOUBLE), 0), 0.0)
-           AS avg_batch_size,
+         coalesce(count(*) FILTER (NOT malformed)
+                  / nullif(CAST(count(DISTINCT batch_id) FILTER (NOT malformed) AS DOUBLE), 0), 0.0) AS avg_batch_size,
          count(*) FILTER (NOT malformed) AS total_records, count(*) FILTER (malformed) AS malformed_count,
          CAST(1234 AS BIGINT) AS q1_runtime_ms, CAST(98765 AS BIGINT) AS q2_runtime_ms,
          CAST(7 AS BIGINT) AS q3_runtime_ms, CAST(100006 AS BIGINT) AS runtime_ms
@@ -244,7 +247,7 @@ ORACLES: dict[str, str] = {
     "latest_run": _with(_RECORDS, _RUNS)
     + """SELECT CAST(max(id) AS INTEGER) AS run_id, total_records FROM runs, (VALUES (1), (2), (3)) AS v(id)
          GROUP BY total_records""",
-    "report_batches": _SLICES.replace("SELECT query_name, batch_id", "SELECT CAST(1 AS INTEGER) AS run_id, query_name, batch_id"),
+    "report_batches": _SLICES.replace("SELECT query_name,", "SELECT CAST(1 AS INTEGER) AS run_id, query_name,"),
     "report_q1": _WITH_Q1
     + f"""SELECT CAST(1 AS INTEGER) AS run_id, batch_id, {_STORED_DATE} AS log_date, status_code, request_count,
           total_bytes FROM q1""",

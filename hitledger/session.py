@@ -19,6 +19,8 @@ RECOMMENDED = {
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
 
+_MB = 1 << 20
+
 # One local scratch folder per Python process, made only when the cluster names none.
 _local_scratch: list[str] = []
 
@@ -32,6 +34,26 @@ def build_session(app_name: str = "hitledger", master: str | None = None, **conf
     return builder.getOrCreate()
 
 
+def sized_for(input_bytes: int, cores: int) -> dict[str, str]:
+    """Settings for a load of ``input_bytes`` of text on ``cores`` cores.
+
+    - A scan task reads 128 MB of a small load and up to 1 GB of a large one, so that the number of
+      tasks, and with it of map outputs, stays near 100,000 at 100 TB; a line is dropped from
+      memory once parsed, so the size of a scan task costs time only.
+    - Shuffles start with one partition per 2 GB of text, at least two per core. The largest one, of
+      (batch, path, host), carries three columns of the records after partial aggregation in each task.
+      Adaptive execution joins small partitions.
+    - Staged batches are cut to 256 MB per writing task, which sets the size of their files.
+    """
+    scan = min(max(input_bytes // 100_000, 128 * _MB), 1024 * _MB)
+    shuffle = max(input_bytes // (2048 * _MB), 2 * cores)
+    return {
+        "spark.sql.files.maxPartitionBytes": str(scan),
+        "spark.sql.shuffle.partitions": str(shuffle),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 * _MB),
+    }
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by ``spark.checkpoint.dir``.
 

@@ -13,7 +13,7 @@ from hitledger.operators.report import report, resource_listing, sink_date, to_s
 from hitledger.plans.runs import next_run_id, run, select_queries
 from hitledger.plans.views import register_views
 from hitledger.schemas import STORE
-from hitledger.session import scratch_path, shared_folder
+from hitledger.session import scratch_path, shared_folder, sized_for
 from hitledger.sources.lines import read_lines
 from hitledger.sources.store import JdbcStore, ParquetStore
 from hitledger.streaming.ingest import ingest
@@ -208,3 +208,11 @@ def test_shared_folder(spark):
     assert scratch_path(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
     assert scratch_path(spark, "x") != scratch_path(spark, "x")
     assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
+
+
+def test_settings_grow_with_the_load():
+    small, large = sized_for(10**9, 8), sized_for(10**14, 4000)
+    assert small["spark.sql.shuffle.partitions"] == "16"
+    assert small["spark.sql.files.maxPartitionBytes"] == str(128 << 20)
+    assert 10**14 / int(large["spark.sql.files.maxPartitionBytes"]) <= 100_001
+    assert 40_000 < int(large["spark.sql.shuffle.partitions"]) < 50_000
