@@ -30,12 +30,13 @@ def requested(request, method, path, protocol, **changes):
     )
 
 
+BAD_DATE = dict(log_date=None, log_hour=0, batch_id=0, malformed=True)
+
+
 def ended(rest, status, size, malformed=False):
     return f'h - - {T} "GET /a HTTP/1.0"{rest}', record(status_code=status, bytes_transferred=size, malformed=malformed)
 
 
-BAD_DATE = dict(log_date=None, log_hour=0, batch_id=0, malformed=True)
-
 CASES = [
     # Blank lines and lines cut short keep what came before the fault.
     (None, NOTHING),
@@ -56,8 +57,19 @@ CASES = [
     (f'a[b]"c - - {T} "GET /a HTTP/1.0" 200 1', record(host='a[b]"c')),
     (f'h ] " - {T} "GET /a HTTP/1.0" 200 1', record()),
     (f'h {T} "GET /a HTTP/1.0" 200 1', record()),
+    (f'a[b - - {T} "GET /a HTTP/1.0" 200 1', record(host="a[b")),
+    (f'a[b]c d {T} "GET /a HTTP/1.0" 200 1', record(host="a[b]c")),
+    ("a[b c", {**NOTHING, "host": "a[b"}),
+    ("[] x", {**NOTHING, "host": "[]"}),
+    (f'[ {T} "GET /a HTTP/1.0" 200 1', record(host="[")),
+    (f'é[日 - {T} "GET /a HTTP/1.0" 200 1', record(host="é[日")),
     # Timestamp.
     stamped("01/Jul/1995:07:x", log_hour=7),
+    stamped('01/Jul/1995:07:"x"y', log_hour=7),
+    stamped('01/Jul/1995:07:é"日', log_hour=7),
+    stamped("01/Jul/1995:07:[x", log_hour=7),
+    ('h - - [01/Jul/1995:07:"x" "GET /a HTTP/1.0" 200 1', {**NOTHING, "host": "h"}),
+    ('h - - ["] "GET /a HTTP/1.0" 200 1', record(timestamp='"', **BAD_DATE)),
     stamped("01/Jul/1995:+07", log_hour=7),
     stamped("01/JUL/1995:25:00 -0400", log_hour=25),
     stamped("1/jul/1995:00"),
