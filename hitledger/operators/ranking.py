@@ -9,9 +9,8 @@ from pyspark.sql import functions as F
 
 from hitledger.session import scratch_path
 
-# Up to this k Spark cuts each task's share of a group to k rows before the shuffle
-# (default of spark.sql.optimizer.windowGroupLimitThreshold).
-_CUT_EARLY = 1000
+# Up to this k Spark cuts each task's share of a group to k rows before the shuffle.
+_CUT_EARLY = ("spark.sql.optimizer.windowGroupLimitThreshold", "1000")
 
 # monotonically_increasing_id(): the partition's number above this bit, the row's place below.
 _PLACE_BITS = 33
@@ -23,7 +22,7 @@ def top_k(df: DataFrame, group: Sequence[str], order: Sequence[Column], k: int =
     For a usual ``k`` the shuffle carries at most k rows per group and task. A large ``k`` goes by
     :func:`rank_within`, since a window would gather a whole group in one task.
     """
-    if k > _CUT_EARLY:
+    if k > int(df.sparkSession.conf.get(*_CUT_EARLY)):
         return rank_within(df, group, order, "_rn").filter(F.col("_rn") <= k).drop("_rn")
     place = F.row_number().over(Window.partitionBy(*group).orderBy(*order))
     return df.withColumn("_rn", place).filter(F.col("_rn") <= k).drop("_rn")
