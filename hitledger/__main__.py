@@ -35,6 +35,7 @@ def _arguments() -> argparse.ArgumentParser:
     one = commands.add_parser("run", parents=[source, store], help="load logs and answer the queries")
     one.add_argument("--output", help="folder for results as tab-separated text")
     one.add_argument("--stage", help="folder of the parsed records")
+    one.add_argument("--stage-format", default="parquet", choices=("parquet", "orc"))
     one.add_argument("--mode", default="replace", choices=MODES, help="what becomes of records already there")
     one.add_argument("--query", type=int, default=0, choices=range(4), help="0 for all")
     one.add_argument("--batch", type=int, default=DEFAULT_BATCH_SIZE, help="batch size to note")
@@ -85,6 +86,7 @@ def main(arguments: list[str] | None = None) -> None:
             batch_size=options.batch,
             encoding=options.encoding,
             stage=options.stage,
+            stage_format=options.stage_format,
             mode=options.mode,
             time_ordered=options.time_ordered,
             tsv=options.output,

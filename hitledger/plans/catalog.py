@@ -12,6 +12,7 @@ from hitledger.functions.parser import parse
 from hitledger.operators import counters, metadata, queries, records, report
 from hitledger.plans.runs import DEFAULT_BATCH_SIZE, run
 from hitledger.plans.rendered import events, render_lines
+from hitledger.plans.views import register_stage
 from hitledger.schemas import DAILY_TRAFFIC, HOURLY_ERRORS
 from hitledger.session import scratch_path
 from hitledger.sources import lines, stage, tsv
@@ -201,6 +202,29 @@ def stage_scan_pruned(spark, sf_dir):
     return queries.daily_traffic(stage.read_stage(spark, _staged(spark, sf_dir)).filter("batch_id <> 0"))
 
 
+@_register
+def sql_over_stage(spark, sf_dir):
+    """Top resources asked in SQL, over views of a loaded table."""
+    path = scratch_path(spark, "audit")
+    stage.write_by_batch(parse(_lines(spark, sf_dir)), path)
+    register_stage(spark, path)
+    return spark.sql(
+        """
+        WITH totals AS (
+          SELECT batch_id, if(resource_path = '', '(empty)', resource_path) AS resource_path,
+                 count(*) AS request_count, sum(bytes_transferred) AS total_bytes,
+                 count(DISTINCT host) AS distinct_host_count
+          FROM parsed_logs_stage
+          GROUP BY batch_id, if(resource_path = '', '(empty)', resource_path)
+        ), ranked AS (
+          SELECT *, row_number() OVER (PARTITION BY batch_id ORDER BY request_count DESC, resource_path) AS rn
+          FROM totals
+        )
+        SELECT batch_id, resource_path, request_count, total_bytes, distinct_host_count FROM ranked WHERE rn <= 20
+        """
+    )
+
+
 @_register
 def audit_stage(spark, sf_dir):
     path = scratch_path(spark, "audit")

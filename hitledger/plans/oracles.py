@@ -238,6 +238,7 @@ ORACLES: dict[str, str] = {
     "stage_write": _R + _STAGED,
     "stage_write_orc": _R + _STAGED,
     "stage_scan_pruned": _WITH_Q1 + "SELECT * FROM q1 WHERE batch_id <> 0",
+    "sql_over_stage": _WITH_STATS + "SELECT * FROM q2",
     "audit_stage": _R + f"SELECT {_RECORD} FROM records",
     "stream_ingest": _R + f"SELECT {_RECORD} FROM records",
     "tsv_roundtrip": _WITH_Q1 + "SELECT * FROM q1",

@@ -69,6 +69,7 @@ def run(
     batch_size: int = DEFAULT_BATCH_SIZE,
     encoding: str = "UTF-8",
     stage: str | None = None,
+    stage_format: str = "parquet",
     mode: str = "replace",
     time_ordered: bool = False,
     tsv: str | None = None,
@@ -102,8 +103,8 @@ def run(
     start = time.monotonic()
     try:
         records = parse(read_lines(spark, input_path, encoding))
-        write_by_batch(records, this.stage, mode=mode, spread=not time_ordered)
-        staged = read_audit(spark, this.stage)
+        write_by_batch(records, this.stage, stage_format, mode, spread=not time_ordered)
+        staged = read_audit(spark, this.stage, stage_format)
         # One row per ISO week, read more than once below.
         per_batch = per_batch_counts(staged).persist()
         for number in numbers:

@@ -7,7 +7,10 @@ from pyspark.sql import functions as F
 
 from hitledger.functions.batching import register_week_batch_id
 from hitledger.functions.parser import parse
+from hitledger.operators.counters import batch_catalog
+from hitledger.operators.records import fill_missing, valid
 from hitledger.sources.lines import lines_view
+from hitledger.sources.stage import STAGE_COLUMNS, read_audit
 
 
 def register_views(
@@ -24,3 +27,18 @@ def register_views(
     parsed = parse(raw, line="line").withColumn("malformed", F.col("malformed").cast("int"))
     parsed.createOrReplaceTempView(records)
     return parsed
+
+
+def register_stage(
+    spark: SparkSession,
+    path: str,
+    records: str = "parsed_logs_stage",
+    batches: str = "batch_ids",
+    fmt: str = "parquet",
+) -> DataFrame:
+    """For SQL users: a loaded table's valid records, texts never null, and the list of its batches."""
+    loaded = valid(read_audit(spark, path, fmt))
+    batch_catalog(loaded).createOrReplaceTempView(batches)
+    staged = fill_missing(loaded).select(*STAGE_COLUMNS)
+    staged.createOrReplaceTempView(records)
+    return staged

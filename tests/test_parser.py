@@ -73,6 +73,7 @@ CASES = [
     stamped("01/Jul/1995:+07", log_hour=7),
     stamped("01/JUL/1995:25:00 -0400", log_hour=25),
     stamped("1/jul/1995:00"),
+    stamped("04/ſep/1995:00", log_date="1995-09-04", batch_id=199536),
     stamped("45/Jul/1995:00:00:01 -0400", log_date="1995-07-45", batch_id=0),
     stamped("30/Feb/1995:00:00:01 -0400", log_date="1995-02-30", batch_id=0),
     stamped("123/Jul/1995:00", log_date="1995-07-123", batch_id=0),

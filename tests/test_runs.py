@@ -11,13 +11,13 @@ from hitledger.operators import queries as q
 from hitledger.operators.metadata import latest_run, runtime_slices
 from hitledger.operators.report import report, resource_listing, sink_date, to_store, with_run
 from hitledger.plans.runs import next_run_id, run, select_queries
-from hitledger.plans.views import register_views
+from hitledger.plans.views import register_stage, register_views
 from hitledger.schemas import STORE
 from hitledger.session import scratch_path, shared_folder, sized_for
 from hitledger.sources.lines import read_lines
 from hitledger.sources.store import JdbcStore, ParquetStore
 from hitledger.streaming.ingest import ingest
-from hitledger.sources.stage import read_audit
+from hitledger.sources.stage import read_audit, write_by_batch
 
 
 def rows(df):
@@ -84,7 +84,7 @@ def test_select_queries():
 def test_run(spark, log_folder, tmp_path):
     store = ParquetStore(str(tmp_path / "store"))
     first = run(spark, log_folder, store, pipeline_name="one", batch_size=50, tsv=str(tmp_path / "tsv"))
-    second = run(spark, log_folder, store, query=[3], stage=str(tmp_path / "stage"), time_ordered=True)
+    second = run(spark, log_folder, store, query=[3], stage=str(tmp_path / "stage"), stage_format="orc", time_ordered=True)
     assert (first.run_id, second.run_id) == (1, 2) and next_run_id(spark, store) == 3
 
     for name, schema in STORE.items():
@@ -109,7 +109,7 @@ def test_run(spark, log_folder, tmp_path):
     batches = store.read(spark, "batch_metadata", 1)
     assert batches.count() == 3 * one["total_batches"]
     assert batches.filter("query_name = 'Q2'").agg({"batch_runtime_ms": "sum"}).first()[0] == one["q2_runtime_ms"]
-    assert rows(read_audit(spark, second.stage)) == rows(records)
+    assert rows(read_audit(spark, second.stage, "orc")) == rows(records)
 
     shown = report(spark, store)
     assert shown["run_metadata"].first()["run_id"] == 2 and shown["q1_daily_traffic"].count() == 0
@@ -191,6 +191,24 @@ def test_views(spark, log_folder):
     assert spark.sql("SELECT count(*) FROM raw_logs").first()[0] == 1000
 
 
+def test_staged_views(spark, log_folder, tmp_path):
+    records = parse(read_lines(spark, log_folder))
+    write_by_batch(records, str(tmp_path))
+    register_stage(spark, str(tmp_path))
+    batches = [row[0] for row in spark.sql("SELECT * FROM batch_ids").collect()]
+    assert batches == sorted({row[0] for row in q.daily_traffic(records).collect()})
+    got = spark.sql(
+        """SELECT batch_id, log_date, log_hour,
+                  count(CASE WHEN status_code BETWEEN 400 AND 599 THEN 1 END) AS error_request_count,
+                  count(*) AS total_request_count,
+                  round(count(CASE WHEN status_code BETWEEN 400 AND 599 THEN 1 END) / count(*), 6) AS error_rate,
+                  count(DISTINCT CASE WHEN status_code BETWEEN 400 AND 599 THEN host END) AS distinct_error_hosts
+           FROM parsed_logs_stage GROUP BY batch_id, log_date, log_hour"""
+    )
+    assert rows(got) == rows(q.hourly_errors(records))
+    assert spark.sql("SELECT * FROM parsed_logs_stage WHERE malformed <> 0 OR resource_path IS NULL").count() == 0
+
+
 def test_streaming_takes_each_file_once(spark, tmp_path):
     folder, stage, progress = tmp_path / "in", str(tmp_path / "stage"), str(tmp_path / "progress")
     folder.mkdir()
