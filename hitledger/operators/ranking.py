@@ -28,6 +28,14 @@ def top_k(df: DataFrame, group: Sequence[str], order: Sequence[Column], k: int =
     return df.withColumn("_rn", place).filter(F.col("_rn") <= k).drop("_rn")
 
 
+def _written(df: DataFrame, label: str) -> DataFrame:
+    """``df`` as a table in the shared folder."""
+    spark = df.sparkSession
+    path = scratch_path(spark, label)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def rank_within(df: DataFrame, group: Sequence[str], order: Sequence[Column], rank: str = "rn") -> DataFrame:
     """Number the rows of each group from 1 in ``order``, which must have no ties.
 
@@ -36,14 +44,12 @@ def rank_within(df: DataFrame, group: Sequence[str], order: Sequence[Column], ra
     its group has in earlier partitions. The placed rows are written to the shared folder, so both
     passes over them see the same partitions even if an executor is lost.
     """
-    spark = df.sparkSession
     keys = [*map(F.col, group), *order]
     placed = df.repartitionByRange(*keys).sortWithinPartitions(*keys)
-    placed = placed.withColumn("_at", F.monotonically_increasing_id())
-    path = scratch_path(spark, "ranked")
-    placed.write.parquet(path)
-    placed = spark.read.schema(placed.schema).parquet(path).withColumn("_part", F.shiftright("_at", _PLACE_BITS))
+    placed = _written(placed.withColumn("_at", F.monotonically_increasing_id()), "ranked")
+    placed = placed.withColumn("_part", F.shiftright("_at", _PLACE_BITS))
 
+    # At most one row per range partition and one more per group that starts inside a partition.
     parts = placed.groupBy(*group, "_part").agg(F.count("*").alias("_rows"), F.min("_at").alias("_first"))
     earlier = Window.partitionBy(*group).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     parts = parts.select(
@@ -51,8 +57,9 @@ def rank_within(df: DataFrame, group: Sequence[str], order: Sequence[Column], ra
         F.col("_part").alias("_of"),
         (F.coalesce(F.sum("_rows").over(earlier), F.lit(0)) - F.col("_first") + 1).alias("_shift"),
     )
-    # Sorted by group, so rows of ``parts`` <= range partitions + groups that start inside one;
-    # Spark chooses the join from the size it measures.
+    # Written out, their real size is known when the join is planned: few enough, and Spark
+    # broadcasts them and leaves the placed rows where they are; else it shuffles both.
+    parts = _written(parts, "ranked-parts")
     same = F.col("_part") == F.col("_of")
     for name in group:
         same = same & F.col(name).eqNullSafe(F.col(f"_{name}"))
