@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hitledger.llm import near_dup, quality
+from hitledger.llm import kneser_ney, near_dup, quality
 from hitledger.llm.shared import stored, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -63,3 +63,12 @@ named AS (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id)
 SELECT sets.doc_id, CAST(len(s) AS BIGINT) AS n_shingles, component_id, sets.doc_id = component_id AS kept
 FROM sets JOIN named USING (doc_id)
 """
+
+
+@_register
+def op2_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of all texts by a model of the documents that are not held out."""
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 7 == 2, F.lit(False))
+    docs = table(spark, sf_dir, "documents").select("doc_id", held_out.alias("held_out"), "text")
+    model = kneser_ney.train(docs.where(~F.col("held_out")), order=2)
+    return kneser_ney.score(docs, model).select("doc_id", "held_out", "lm.*", F.lit(model.train_tokens).cast("long").alias("train_tokens"))
