@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hitledger.llm import kneser_ney, near_dup, quality
+from hitledger.llm import grammar, kneser_ney, near_dup, packing, quality
 from hitledger.llm.shared import stored, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -72,3 +73,15 @@ def op2_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", held_out.alias("held_out"), "text")
     model = kneser_ney.train(docs.where(~F.col("held_out")), order=2)
     return kneser_ney.score(docs, model).select("doc_id", "held_out", "lm.*", F.lit(model.train_tokens).cast("long").alias("train_tokens"))
+
+
+@_register
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=2, width=4096)
+
+
+@_register
+def op9_grammar_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents written as compressed id files and read back from them."""
+    docs = table(spark, sf_dir, "documents")
+    return grammar.read_shards(grammar.write_shards(docs, public_tokenizers.path("byte_bpe_50k.json"), end_id=0))

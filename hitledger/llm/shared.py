@@ -8,6 +8,7 @@ import uuid
 import pyarrow as pa
 import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from hitledger.session import scratch_path
 
@@ -72,3 +73,16 @@ def read_file(path: str) -> pa.Buffer:
 
 def with_columns(batch: pa.RecordBatch, **more: pa.Array) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([*batch.columns, *more.values()], names=[*batch.schema.names, *more])
+
+
+def in_order(docs: DataFrame, by: str, text: str, task_bytes: int) -> DataFrame:
+    """``docs`` in ranges of ``by``, sorted in each and one range per partition.
+
+    Rows that share a key are ordered, and spread over ranges, by a hash of the text. There is a
+    partition per ``task_bytes`` of text up to 10,000 partitions, then they grow.
+    """
+    size = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
+    tie = fresh(docs, "tie")
+    parts = min(max(1, -(-size // task_bytes)), 10_000)
+    keyed = docs.withColumn(tie, F.xxhash64(text))
+    return keyed.repartitionByRange(parts, by, tie).sortWithinPartitions(by, tie).drop(tie)
