@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hitledger.llm import grammar, kneser_ney, near_dup, packing, quality
+from hitledger.llm import grammar, kneser_ney, mixing, near_dup, packing, quality, sharding, topk
 from hitledger.llm.shared import stored, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -85,3 +85,36 @@ def op9_grammar_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents written as compressed id files and read back from them."""
     docs = table(spark, sf_dir, "documents")
     return grammar.read_shards(grammar.write_shards(docs, public_tokenizers.path("byte_bpe_50k.json"), end_id=0))
+
+
+@_register
+def op1_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return topk.top_k(vectors, vectors.where(F.col("vec_id") % 20 == 0), k=20, scale=64.0)
+
+
+ORACLE_SQL["op1_top_k"] = """
+WITH whole AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND list_bool_and(list_transform(embedding, lambda x: coalesce(isfinite(x), false)))
+),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(CAST(q.v AS DOUBLE[]), CAST(c.v AS DOUBLE[])) AS BIGINT) AS score
+  FROM whole q JOIN whole c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id
+)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+FROM scored
+QUALIFY rank <= 20
+"""
+
+
+@_register
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.taken_words(table(spark, sf_dir, "documents"))
+
+
+@_register
+def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = sharding.shard_documents(table(spark, sf_dir, "documents"), shards=40)
+    return rows.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
