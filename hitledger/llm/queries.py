@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hitledger.llm import grammar, kneser_ney, mixing, near_dup, packing, quality, sharding, topk
+from hitledger.llm import grammar, html_text, kneser_ney, mixing, near_dup, packing, pii, quality, sharding, topk
 from hitledger.llm.shared import stored, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -118,3 +118,16 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = sharding.shard_documents(table(spark, sf_dir, "documents"), shards=40)
     return rows.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+@_register
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pii.find(docs, pii.learn(docs), "found").select("doc_id", "found.*")
+
+
+@_register
+def op6_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The visible text of every page, its lines and its words."""
+    rows = html_text.extract(table(spark, sf_dir, "pages"), "html", "text")
+    return rows.select("page_id", "url", "text", F.size(F.split("text", "\n")).cast("long").alias("n_lines"), mixing.word_count("text").alias("n_words"))
