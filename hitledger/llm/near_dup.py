@@ -10,9 +10,11 @@ A text's set is its distinct five-word shingles (its whole sequence, if shorter)
    nothing, however many.
 3. Classes that share a band key are candidates. First each is compared with the smallest of its
    bucket; candidates whose sketches allow the threshold are confirmed on full sets, and the links
-   give components. Then only buckets that still hold more than one component matter; in them every
-   pair of classes from different components is compared by sketch, in blocks, and confirmed. Pairs
-   within a component need no comparison: their link would change nothing.
+   give components. Then only buckets that still hold more than one component matter; in them all
+   classes of different components are compared by sketch, in blocks. Here an odd sketch of the whole
+   set joins in: it never differs in more bits than the sets do in shingles, so it rules pairs out for
+   certain. Of the pairs left, those that would connect what earlier pairs connect already wait; if
+   any of the others isn't confirmed, a second round compares all that are still apart.
 
 Links at 0.85 share one of 32 bands with probability 1 - 7e-9, and the sketch is asked for 0.73 only,
 five standard deviations below. All-pairs work is thus confined to buckets of unlike classes; a
@@ -34,12 +36,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hitledger.llm.shared import prepare, stored
+from hitledger.llm.shared import fresh, prepare, stored
 from hitledger.llm.words import find_words, hash_spans, joined, spread, text_slices, windows
 
 SHINGLE = 5
 BANDS, ROWS = 32, 5
 SAMPLES, BITS = 256, 1024
+# Bits of the odd sketch of a whole set.
+PARITY = 4096
 # A sketch's estimate may fall this far short of the threshold before a pair is given up.
 SLACK = 0.12
 # Classes in one block of a bucket.
@@ -101,6 +105,11 @@ def _signatures(minima: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return keys.view(np.int64), np.packbits(odd, axis=1)
 
 
+def _parity(shingles: np.ndarray) -> np.ndarray:
+    """An odd sketch of a whole set: two such differ in no more bits than the sets do in shingles."""
+    return np.packbits((np.bincount((shingles % np.uint64(PARITY)).astype(np.int64), minlength=PARITY) & 1).astype(np.uint8))
+
+
 def similarity(differing: np.ndarray) -> np.ndarray:
     """The similarity estimated from the number of differing bits of two odd sketches."""
     part = np.minimum(differing, BITS // 2 - 1) / BITS
@@ -138,7 +147,7 @@ def sign(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFra
 
 
 def _full_sets(docs: DataFrame, wanted: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """``rep, set_hash, shingles`` of the wanted ids only, from their whole texts, equal rows once."""
+    """``rep, set_hash, shingles, parity`` of the wanted ids only, from their whole texts, equal rows once."""
     rows = docs.select(F.col(doc_id).cast("long").alias("rep"), F.col(text).alias("text")).join(wanted, "rep", "left_semi")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -148,11 +157,11 @@ def _full_sets(docs: DataFrame, wanted: DataFrame, doc_id: str, text: str) -> Da
                 bound = np.concatenate(([0], np.cumsum([len(s) for s in sets])))
                 flat = np.concatenate(sets).view(np.int64)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("rep").slice(lo, hi - lo), pa.array(_set_hashes(sets), pa.binary()), pa.ListArray.from_arrays(bound.astype(np.int32), pa.array(flat))],
-                    names=["rep", "set_hash", "shingles"],
+                    [batch.column("rep").slice(lo, hi - lo), pa.array(_set_hashes(sets), pa.binary()), pa.ListArray.from_arrays(bound.astype(np.int32), pa.array(flat)), pa.array([_parity(s).tobytes() for s in sets], pa.binary())],
+                    names=["rep", "set_hash", "shingles", "parity"],
                 )
 
-    found = rows.mapInArrow(run, "rep long, set_hash binary, shingles array<long>")
+    found = rows.mapInArrow(run, "rep long, set_hash binary, shingles array<long>, parity binary")
     return found.repartition("rep").dropDuplicates(["rep", "set_hash"])
 
 
@@ -200,35 +209,45 @@ def _blocks(members: DataFrame, sizes: DataFrame, block: int) -> DataFrame:
     return rows.withColumn("other", other).select("*", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"))
 
 
-def _unlike(part: np.ndarray, reps: np.ndarray, labels: np.ndarray, sketches: np.ndarray, most: int) -> Iterator[np.ndarray]:
-    """Of a group of two blocks at most, the pairs with different labels whose sketches are near; part: each member's block."""
-    if len(reps) < 2 or labels.min() == labels.max():
+def _unlike(group: dict[str, np.ndarray], most: int, threshold: int, forest: bool) -> Iterator[np.ndarray]:
+    """Pairs of a group (two blocks of a bucket at most) that have different labels and may be linked.
+
+    ``forest``: a pair is left out if pairs before it connect its ends already.
+    """
+    reps, part, comp = group["rep"], group["part"], group["label"].copy()
+    if len(reps) < 2 or comp.min() == comp.max():
         return
     split = part.min() != part.max()
     for k in range(len(reps) - 1):
-        near = labels[k + 1 :] != labels[k]
+        near = comp[k + 1 :] != comp[k]
         if split:
             near &= part[k + 1 :] != part[k]
         at = np.flatnonzero(near) + k + 1
-        at = at[np.bitwise_count(sketches[at] ^ sketches[k]).sum(axis=1, dtype=np.int64) <= most]
-        at = at[reps[at] != reps[k]]
+        at = at[np.bitwise_count(group["sketch"][at] ^ group["sketch"][k]).sum(axis=1, dtype=np.int64) <= most]
+        differ = np.bitwise_count(group["parity"][at] ^ group["parity"][k]).sum(axis=1, dtype=np.int64)
+        both = group["n_shingles"][at] + group["n_shingles"][k]
+        at = at[((100 + threshold) * differ <= (100 - threshold) * both) & (reps[at] != reps[k])]
+        if forest and len(at):
+            at = at[np.unique(comp[at], return_index=True)[1]]
+            comp[np.isin(comp, comp[at])] = comp[k]
         yield np.stack((np.minimum(reps[at], reps[k]), np.maximum(reps[at], reps[k])))
 
 
-def _unlike_pairs(members: DataFrame, most: int) -> DataFrame:
-    """Pairs of a group's members with different labels whose sketches differ in at most ``most`` bits.
+_KEYS = ["bucket", "i", "j"]
+_MEMBER = ["part", "rep", "label", "n_shingles", "sketch", "parity"]
 
-    Groups are read from sorted partitions, one after the other: most are tiny.
-    """
-    keys = ["bucket", "i", "j"]
+
+def _unlike_pairs(members: DataFrame, most: int, threshold: int, forest: bool) -> DataFrame:
+    """The pairs of all groups. Groups are read from sorted partitions, one after the other: most are tiny."""
+    keys = _KEYS
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def groups(rows: pa.Table) -> Iterator[pa.RecordBatch]:
-            n = [rows.column(c).to_numpy() for c in ("bucket", "i", "j", "part", "rep", "label")]
-            sketches = np.frombuffer(b"".join(rows.column("sketch").to_pylist()), np.uint64).reshape(rows.num_rows, -1)
-            cut = np.flatnonzero(np.any([x[1:] != x[:-1] for x in n[:3]], axis=0)) + 1
+            n = {c: rows.column(c).to_numpy() for c in (*keys, *_MEMBER[:4])}
+            n |= {c: np.frombuffer(b"".join(rows.column(c).to_pylist()), np.uint64).reshape(rows.num_rows, -1) for c in _MEMBER[4:]}
+            cut = np.flatnonzero(np.any([n[c][1:] != n[c][:-1] for c in keys], axis=0)) + 1
             bound = [0, *cut.tolist(), rows.num_rows]
-            found = [p for lo, hi in zip(bound, bound[1:]) for p in _unlike(*(x[lo:hi] for x in n[3:]), sketches[lo:hi], most)]
+            found = [p for lo, hi in zip(bound, bound[1:]) for p in _unlike({c: n[c][lo:hi] for c in _MEMBER}, most, threshold, forest)]
             a, b = np.concatenate(found, axis=1) if found else np.zeros((2, 0), np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
 
@@ -249,10 +268,20 @@ def _unlike_pairs(members: DataFrame, most: int) -> DataFrame:
         if held:
             yield from groups(pa.Table.from_batches(held))
 
-    rows = members.select(*keys, "part", "rep", "label", "sketch").repartition(*keys).sortWithinPartitions(*keys, "rep")
+    rows = members.select(*keys, *_MEMBER).repartition(*keys).sortWithinPartitions(*keys, "rep")
     return rows.mapInArrow(run, "a long, b long").distinct()
 
 
+def _mixed(members: DataFrame, labels: DataFrame, detail: DataFrame) -> DataFrame:
+    """Members, in blocks, of the buckets that hold more than one component."""
+    rows = members.select("bucket", "rep").join(labels.withColumnRenamed("node", "rep"), "rep", "left").withColumn("label", F.coalesce("label", "rep"))
+    same = F.sum(F.xxhash64("rep").cast("decimal(38,0)"))
+    mixed = rows.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("n"), same.alias("same")).where("low < high")
+    # Buckets with the same members are one; in a bucket of two, the pair has been compared.
+    mixed = mixed.where("n > 2").groupBy("n", "same").agg(F.min("bucket").alias("bucket")).select("bucket", "n")
+    return _blocks(rows, mixed, BLOCK).join(detail, "rep")
+
+
 def link_components(docs: DataFrame, threshold: int = 85, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` of every document.
 
@@ -278,15 +307,14 @@ def link_components(docs: DataFrame, threshold: int = 85, doc_id: str = "doc_id"
     links = stored(_confirmed(near, sets, threshold), "links")
     labels = components(links)
 
-    labelled = members.select("bucket", "rep", "n").join(labels.withColumnRenamed("node", "rep"), "rep", "left").withColumn("label", F.coalesce("label", "rep"))
-    mixed = labelled.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("n"), F.sum(F.xxhash64("rep").cast("decimal(38,0)")).alias("same")).where("low < high")
-    # Buckets with the same members are one; in a bucket of two, the pair has been compared.
-    mixed = mixed.where("n > 2").groupBy("n", "same").agg(F.min("bucket").alias("bucket")).select("bucket", "n")
-    rest = labelled.select("bucket", "rep", "label").join(mixed.select("bucket"), "bucket", "left_semi").join(sketches, "rep")
-    rest = stored(_unlike_pairs(_blocks(rest, mixed, BLOCK), most), "unlike")
-    more = _confirmed(rest, sets, threshold)
-    links = stored(links.unionByName(more), "links")
-    labels = components(links)
+    detail = sets.select("rep", "parity", F.size("shingles").cast("long").alias("n_shingles")).join(sketches.select("rep", "sketch"), "rep")
+    for forest in (True, False):
+        pairs = stored(_unlike_pairs(_mixed(members, labels, detail), most, threshold, forest), "unlike")
+        more = stored(_confirmed(pairs, sets, threshold), "links")
+        links = links.unionByName(more)
+        labels = components(links)
+        if more.count() == pairs.count():
+            break  # every tree stands, so no pair was left out in vain
 
     named = classes.select("n_shingles", "set_hash", "rep").join(labels.withColumnRenamed("node", "rep"), "rep", "left")
     named = named.select("n_shingles", "set_hash", F.coalesce("label", "rep").alias("component"))
@@ -308,3 +336,21 @@ def _near(pairs: DataFrame, sketches: DataFrame, most: int, threshold: int) -> D
     right = sketches.select(F.col("rep").alias("b"), F.col("sketch").alias("sb"), F.col("n_shingles").alias("nb"))
     rows = pairs.join(right, "b").join(left, "a").where(100 * F.least("na", "nb") >= threshold * F.greatest("na", "nb"))
     return rows.select("a", "b", "sa", "sb").mapInArrow(run, "a long, b long")
+
+
+def one_of_each(docs: DataFrame, threshold: int = 80) -> DataFrame:
+    """One document of each component, whole: that with the smallest id.
+
+    Rows that share an id are one document and give one row. Documents without an id can't be named
+    as copies but by an equal text, so one of each text stays, unless a document with an id has it.
+    """
+    named = docs.where("doc_id IS NOT NULL")
+    kept = link_components(docs, threshold).where("kept AND doc_id IS NOT NULL").select("doc_id").distinct()
+    out = named.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(docs.columns)
+    nameless = docs.where("doc_id IS NULL")
+    if nameless.isEmpty():
+        return out
+    key = fresh(docs, "text_hash")
+    other = named.select(F.xxhash64("text").alias(key)).distinct()
+    nameless = nameless.withColumn(key, F.xxhash64("text")).join(other, key, "left_anti").dropDuplicates([key]).select(docs.columns)
+    return out.unionByName(nameless)
