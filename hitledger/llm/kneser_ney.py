@@ -1,8 +1,8 @@
 """Interpolated modified Kneser-Ney n-gram model: counted in Spark, stored as sorted hash arrays,
 memory-mapped by the workers that score.
 
-Counting. Each task turns its texts into 64-bit word hashes, counts the n-grams of some million
-words with array sorts, and sends each shard one packed array of (context, word, count). A shard's
+Counting. Each task turns its texts into 64-bit word hashes, counts the n-grams of a million
+words at a time with array sorts, and sends each shard one packed array of (context, word, count). A shard's
 task merges what it gets, writes its sorted arrays and sends the next lower order down: that order's
 counts are the numbers of distinct words seen to the left, as Kneser-Ney asks. One job thus runs
 from the highest order to single words. An n-gram's shard follows from its context, so a context's
@@ -43,9 +43,9 @@ from hitledger.llm.words import find_words, hash_spans, joined, text_slices
 START, END = np.uint64(0x51A2F3C4D5E60718), np.uint64(0xE9D8C7B6A5948372)
 _NONE = np.uint64(0)
 # Bytes of training text for each shard; a merging task holds some ten times as much.
-SHARD_BYTES = 8 << 20
+SHARD_BYTES = 5 << 20
 # Words that a task counts at once.
-COUNT_WORDS = 2_000_000
+COUNT_WORDS = 1_000_000
 # Texts read to find the frequent contexts, and how often a word must occur there.
 SAMPLE_BYTES, SAMPLE_LEAST = 32 << 20, 50
 # Shards that a worker keeps mapped.
@@ -238,6 +238,7 @@ def _count_texts(batches: Iterator[pa.RecordBatch], order: int, hot: np.ndarray,
 
     def counted() -> pa.RecordBatch:
         context, low, word = (np.concatenate(x) for x in zip(*held))
+        held.clear()
         rows, count = _summed(_grams(context, word), np.ones(len(word), np.uint64))
         context, low, word = context[rows], low[rows], word[rows]
         found = list(_pack(context, low, word, count, count, _shards(context, word, hot, shards), order))
@@ -250,7 +251,7 @@ def _count_texts(batches: Iterator[pa.RecordBatch], order: int, hot: np.ndarray,
             held.append((contexts[-1], contexts[-2] if order > 1 else contexts[-1], tokens[at]))
             if sum(len(x[0]) for x in held) >= COUNT_WORDS:
                 yield counted()
-                held = []
+                pa.default_memory_pool().release_unused()
     if held:
         yield counted()
 
