@@ -1,0 +1,81 @@
+"""Measures against plain Python, the bound against its definition, verdicts on planted labels."""
+
+import math
+import random
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from hitledger.llm import quality
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def plain(text):
+    words = WORD.findall(text or "")
+    lines = [x for x in (text or "").split("\n") if WORD.search(x)]
+    spots = {}
+    for i in range(len(words) - 2):
+        spots.setdefault(tuple(words[i : i + 3]), []).append(i)
+    marked = {i + k for at in spots.values() if len(at) > 1 for i in at for k in range(3)}
+    return len(words), sum(map(len, words)), sum(c in "#*$%&|<>" for c in text or ""), len(lines), len(lines) - len(set(lines)), len(marked)
+
+
+def test_measures(odd_docs):
+    rows = quality.measure(odd_docs, "q").collect()
+    assert len(rows) == odd_docs.count()
+    for r in rows:
+        assert tuple(r.q) == plain(r.text)
+
+
+def test_odd_texts(spark):
+    texts = ["\n\n", "a\n\na", "a b c a b c", "a\x0bb\x1cc", "é é # <>\r\né é # <>\n", "a a a a", "\x85", " lead\nlead"]
+    rows = quality.measure(spark.createDataFrame([(t,) for t in texts], "text string"), "q").collect()
+    assert {r.text: tuple(r.q) for r in rows} == {t: plain(t) for t in texts}
+
+
+def test_no_rows(no_docs, spark):
+    labels = spark.createDataFrame([], "doc_id long, quality int")
+    assert quality.filter_quality(no_docs, labels).count() == 0
+
+
+@pytest.mark.parametrize("k, n, p", [(0, 10, 0.1), (3, 50, 0.02), (50, 50, 0.3), (7, 900, 0.01)])
+def test_binomial_tail(k, n, p):
+    want = sum(math.comb(n, i) * p**i * (1 - p) ** (n - i) for i in range(k + 1))
+    assert quality.binomial_tail(k, n, p) == pytest.approx(want, rel=1e-9)
+
+
+def test_cutoffs_stop_at_the_first_that_fails():
+    cuts = [3.0, 2.0, 1.0]
+    assert quality.choose_cutoff(cuts, [(0, 500), (0, 500), (40, 500)], [(0, 0.5), (0, 0.9), (0, 1)], 0.02, 0.05) == 2.0
+    assert quality.choose_cutoff(cuts, [(0, 500), (40, 500), (0, 500)], [(0, 0.5)] * 3, 0.02, 0.05) == 3.0
+    assert quality.choose_cutoff(cuts, [(0, 20)] * 3, [(0, 0.5)] * 3, 0.02, 0.05) is None  # too few labels
+    assert quality.choose_cutoff(cuts, [(0, 500)] * 3, [(0.2, 0.3)] * 3, 0.02, 0.05) is None  # of no use
+
+
+def test_bad_documents_go_and_good_ones_stay(spark):
+    draw = random.Random(4)
+    rows, labels = [], []
+    for i in range(4000):
+        bad = i % 4 == 0
+        words = [f"w{draw.randrange(5000)}" + ("$$$" if bad and draw.random() < 0.5 else "") for _ in range(70)]
+        rows.append((i, " ".join(words), "xx" if i % 40 == 1 else "en"))
+        labels.append((i, int(not bad)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(4)
+    kept = {r.doc_id for r in quality.filter_quality(docs, spark.createDataFrame([*labels, (None, 1), (3, None)], "doc_id long, quality int")).collect()}
+    good = {i for i, q in labels if q}
+    assert len(good - kept) <= quality.RISK * len(good)
+    assert len(kept - good) < 0.05 * len(rows)
+    # A stratum with few labels loses nothing.
+    assert {i for i, _, lang in rows if lang == "xx"} <= kept
+
+
+def test_columns_come_through(odd_docs, spark):
+    labels = spark.createDataFrame([(d, 1) for d in range(300)], "doc_id long, quality int")
+    out = quality.filter_quality(odd_docs, labels)
+    assert out.columns == odd_docs.columns
+    want = odd_docs.collect()
+    good = [r for r in want if plain(r.text)[0] >= 50 and 100 * plain(r.text)[5] <= 50 * plain(r.text)[0]]
+    assert out.count() == len(good)  # too few labels for cutoffs, so the base rule alone
+    assert out.where(F.col("m") == "clash").count() > 0
