@@ -1,0 +1,92 @@
+"""The pipeline stage by stage against plain versions, each judged on its own input."""
+
+import re
+import zlib
+from collections import Counter, defaultdict
+
+import public_tokenizers
+import pytest
+from test_mixing import WORD, plain_targets
+from test_near_dup import plain as plain_components
+from test_pii import plain as plain_spans
+from test_quality import plain as plain_measures
+from tokenizers import Tokenizer
+
+import corpus_pipeline
+from hitledger.llm.shared import stored
+
+
+@pytest.fixture(scope="module")
+def sf_dir(spark, odd_rows, tmp_path_factory):
+    path = str(tmp_path_factory.mktemp("sf"))
+    rows = [r[:5] for r in odd_rows]
+    rows += [(300 + i, f"{r[1]} mail a.b{i}@mail.example.com or 10.0.0.{i} " + " ".join(f"u{i}x{k}" for k in range(60)), "en", "a", 1) for i, r in enumerate(rows[-12:])]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").repartition(3).write.parquet(f"{path}/documents.parquet")
+    spark.createDataFrame([(d, d % 2) for d in range(200)], "doc_id long, quality int").write.parquet(f"{path}/labels.parquet")
+    return path
+
+
+def test_stages(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    columns = docs.columns
+    inputs = {}
+    for name, stage in corpus_pipeline.STAGES:
+        inputs[name] = [tuple(r) for r in docs.collect()]
+        docs = stored(stage(spark, docs, sf_dir), name)
+        assert name == "packing" or docs.columns == columns
+    pieces = docs.collect()
+
+    def passes(text):
+        m = plain_measures(text)
+        return m[0] >= 50 and 100 * m[5] <= 50 * m[0]
+
+    judged = [r for r in inputs["quality_rules"] if passes(r[1])]
+    assert Counter(inputs["near_duplicates"]) == Counter(judged)
+
+    want = {c for d, _, c in plain_components([r[:2] for r in judged], 80) if d is not None}
+    kept = inputs["personal_data"]
+    assert sorted(r[0] for r in kept if r[0] is not None) == sorted(want)
+    assert set(kept) <= set(judged) and len(kept) == len(set(kept))
+
+    clean = {r[0]: r for r in inputs["source_mix"]}
+    assert len(clean) == len(kept)
+    for r in kept:
+        spans = sorted((s, e, k) for k, s, e in plain_spans(r[1]))
+        text = r[1]
+        for s, e, k in spans[::-1]:
+            text = text[:s] + ("[EMAIL]", "[IP]", "[CARD]", "[PHONE]")[k] + text[e:]
+        assert clean[r[0]][1] == text and clean[r[0]][4] == len(text)
+
+    sizes, goal = plain_targets(inputs["source_mix"])
+    taken, copies = defaultdict(int), Counter()
+    for r in inputs["packing"]:
+        taken[r[3]] += len(WORD.findall(r[1]))
+        copies[r[0]] += 1
+    assert all(abs(taken[s] - t) <= 0.5 for s, t in goal.items()) and max(copies.values()) <= 4
+
+    plain = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    plain.encode_special_tokens = True
+    left = Counter()
+    for r in pieces:
+        left[(r.doc_id, r.doc_tokens, r.start, r.length, r.ids_crc32)] += 1
+    for r in inputs["packing"]:
+        ids, at = plain.encode(r[1], add_special_tokens=False).ids + [2], 0
+        while at < len(ids):
+            piece = next(p for p in left if p[:3] == (r[0], len(ids), at) and p[4] == zlib.crc32(b"".join(i.to_bytes(4, "little") for i in ids[at : at + p[3]])))
+            left[piece] -= 1
+            if not left[piece]:
+                del left[piece]
+            at += piece[3]
+    assert not left
+
+
+def test_run_agrees_with_itself(spark, sf_dir):
+    rows = [sorted(map(str, corpus_pipeline.run(spark, sf_dir).collect())) for _ in range(2)]
+    assert rows[0] == rows[1] and rows[0]
+    assert not re.search("@mail", " ".join(rows[0]))
+
+
+def test_no_documents(spark, sf_dir, tmp_path):
+    spark.read.parquet(f"{sf_dir}/documents.parquet").limit(0).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.read.parquet(f"{sf_dir}/labels.parquet").limit(0).write.parquet(f"{tmp_path}/labels.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
