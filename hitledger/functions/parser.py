@@ -108,7 +108,7 @@ def _record() -> dict[str, str]:
             WHEN {count} IN (1, 2) AND {first_is_protocol} THEN {first} END""",
         "status_code": "coalesce(_status, 0)",
         "bytes_transferred": "CASE WHEN _status IS NOT NULL THEN coalesce(_bytes, 0L) ELSE 0L END",
-        "batch_id": iso_week(f"({calendar_day('_year', '_month', '_day')})"),
+        "batch_id": iso_week(f"({calendar_day('_year', '_month', '_day')})", "_year"),
         "malformed": f"""NOT coalesce(
             host IS NOT NULL AND {dated} AND _hour IS NOT NULL AND {count} BETWEEN 1 AND 3 AND _status IS NOT NULL,
             FALSE)""",
