@@ -1,4 +1,4 @@
-"""Parsed records on disk, one folder per batch.
+"""Parsed records on disk, one folder per load and, in it, per batch.
 
 Two tables share the layout: the *stage* has the valid records the queries read, the *audit* table
 has every line's record, malformed ones included.
@@ -6,6 +6,8 @@ has every line's record, malformed ones included.
 
 from __future__ import annotations
 
+import hashlib
+import uuid
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,23 +19,33 @@ from hitledger.schemas import RECORD
 AUDIT_COLUMNS = RECORD.fieldNames()
 STAGE_COLUMNS = [name for name in AUDIT_COLUMNS if name != "timestamp"]
 
-MODES = ("replace", "append", "replace-batches")
+MODES = ("replace", "append", "replace-load")
 
 # Ways to part one batch among writing tasks when the session does not split large ones itself.
 _SALTS = 64
 
+# Folders of a table: one per load, in it one per batch.
+_LOAD = "load"
+
 
 def spread_by_batch(df: DataFrame) -> DataFrame:
     """Bring a batch's rows together without forcing a large batch into one task.
 
     One week may hold a third of all rows. A rebalance is sized at run time from the shuffle's
     real partition sizes: large batches are split, small ones share a task. Without adaptive
-    execution the row's own hash parts each batch a fixed number of ways.
+    execution a row's place in its scan parts each batch a fixed number of ways, so that equal rows
+    are parted as well; a task that runs again finds the same places.
     """
     if df.sparkSession.conf.get("spark.sql.adaptive.enabled", "true").lower() == "true":
         return df.hint("rebalance", F.col("batch_id"))
-    salt = F.pmod(F.xxhash64("host", "resource_path", "bytes_transferred"), F.lit(_SALTS))
-    return df.repartition("batch_id", salt)
+    placed = df.withColumn("_salt", F.pmod(F.monotonically_increasing_id(), F.lit(_SALTS)))
+    return placed.repartition("batch_id", "_salt").drop("_salt")
+
+
+def load_name(source: str | Iterable[str]) -> str:
+    """The name of a load, the same each time its input is loaded."""
+    paths = [source] if isinstance(source, str) else sorted(source)
+    return hashlib.sha256("\n".join(paths).encode()).hexdigest()[:16]
 
 
 def write_by_batch(
@@ -44,25 +56,36 @@ def write_by_batch(
     compression: str = "snappy",
     max_records_per_file: int = 0,
     spread: bool = True,
+    load: str | None = None,
 ) -> None:
-    """Write one folder per ``batch_id``.
+    """Write the rows of one load, one folder per ``batch_id`` in the load's own folder.
 
-    ``mode`` is ``replace`` for a new table, ``append`` to add rows, or ``replace-batches`` to
-    replace just the batches present in ``df``, so that a repeated load does not double its rows.
+    ``mode`` is ``replace`` for a new table, ``append`` to add a load, or ``replace-load`` to replace
+    the earlier rows of the load named, and only those: loads may share weeks, and all share the
+    batch 0 of undated lines. An appended load gets a fresh name, so nothing is ever overwritten.
     Logs that already arrive in time order can be written straight from the scan with
     ``spread=False``, which saves the shuffle.
     """
     if mode not in MODES:
         raise ValueError(f"mode must be one of {', '.join(MODES)}, got {mode!r}")
-    writer = (spread_by_batch(df) if spread else df).write.format(fmt).partitionBy("batch_id")
+    if mode == "replace-load" and not load:
+        raise ValueError("name the load to replace")
+    name = uuid.uuid4().hex if mode == "append" or not load else load
+    if not name.replace("-", "").replace("_", "").isalnum():
+        raise ValueError(f"a load's name has letters, digits, - and _ only, got {name!r}")
+    rows = spread_by_batch(df) if spread else df
+    keys, folder = ["batch_id"], f"{path}/{_LOAD}=load-{name}"
+    if mode == "replace":
+        # The whole table is written anew, so that no other load's folder is left.
+        rows, keys, folder = rows.withColumn(_LOAD, F.lit(f"load-{name}")), [_LOAD, "batch_id"], path
+    writer = rows.write.format(fmt).partitionBy(*keys)
     writer = writer.option("compression", compression).option("maxRecordsPerFile", max_records_per_file)
-    overwrite = "dynamic" if mode == "replace-batches" else "static"
-    writer.option("partitionOverwriteMode", overwrite).mode("append" if mode == "append" else "overwrite").save(path)
+    writer.option("partitionOverwriteMode", "static").mode("overwrite").save(folder)
 
 
 def _layout(columns: list[str]) -> T.StructType:
     inner = [RECORD[name] for name in columns if name != "batch_id"]
-    return T.StructType([*inner, RECORD["batch_id"]])
+    return T.StructType([*inner, T.StructField(_LOAD, T.StringType()), RECORD["batch_id"]])
 
 
 def _read(spark, path, columns, fmt, batches) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass, field
 
 from pyspark.errors import AnalysisException
@@ -9,6 +10,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hitledger.schemas import JDBC_TYPES, STORE
+from hitledger.session import create_file
+
+
+# Batches that ranges of a database read are cut from: the weeks of 1990 to 2050.
+BATCH_RANGE = (199001, 205053)
+
+
+def _last_id(runs: DataFrame) -> int:
+    return runs.agg(F.max("run_id")).first()[0] or 0
 
 
 def _in_layout(df: DataFrame, table: str) -> DataFrame:
@@ -20,12 +30,20 @@ class ParquetStore:
     """One folder per table, in it one per run.
 
     A run's rows replace any it wrote before, so a repeated write leaves no copies, and a run's
-    record can be written when the run starts and again when it ends.
+    record can be written when the run starts and again when it ends. A run's id is reserved by a
+    file that only one run can create, on stores that create files atomically (HDFS and local ones).
     """
 
     root: str
     reserves_runs = True
 
+    def reserve(self, spark: SparkSession) -> int:
+        """An id no other run has or will get."""
+        run_id = _last_id(self.read(spark, "run_metadata")) + 1
+        while not create_file(spark, f"{self.root}/_run_ids/{run_id}"):
+            run_id += 1
+        return run_id
+
     def write(self, table: str, rows: DataFrame) -> None:
         writer = _in_layout(rows, table).write.mode("overwrite").partitionBy("run_id")
         writer.option("partitionOverwriteMode", "dynamic").parquet(f"{self.root}/{table}")
@@ -44,7 +62,13 @@ class ParquetStore:
 
 @dataclass(frozen=True)
 class JdbcStore:
-    """Tables of the same names in a database; Spark creates those that are missing."""
+    """Tables of the same names in a database; Spark creates those that are missing.
+
+    Spark only adds rows, so a run's id is reserved by adding a row of a token to the table
+    ``run_ids`` and reading it back: of runs that took the same id, the one with the smallest token
+    keeps it and the others go on. The table must exist or be creatable, and a committed row must be
+    visible to other readers.
+    """
 
     url: str
     properties: dict[str, str] = field(default_factory=dict)
@@ -61,9 +85,31 @@ class JdbcStore:
     def write(self, table: str, rows: DataFrame) -> None:
         _in_layout(rows, table).write.jdbc(self.url, table, mode="append", properties=self.write_options(table))
 
+    def read_options(self, table: str) -> dict[str, str | int]:
+        """Result tables are read over several connections, each a range of batches.
+
+        The bounds only set the ranges' width; rows beyond them, or without a batch, are read too.
+        """
+        if "batch_id" not in STORE[table].fieldNames():
+            return {}
+        first, last = BATCH_RANGE
+        return {"column": "batch_id", "lowerBound": first, "upperBound": last, "numPartitions": self.connections}
+
     def read(self, spark: SparkSession, table: str, run_id: int | None = None) -> DataFrame:
-        rows = spark.read.jdbc(self.url, table, properties=self.properties)
+        rows = spark.read.jdbc(self.url, table, properties=self.properties, **self.read_options(table))
         return rows if run_id is None else rows.filter(F.col("run_id") == run_id)
 
+    def reserve(self, spark: SparkSession) -> int:
+        """An id no other run has or will get."""
+        token = uuid.uuid4().hex
+        run_id = _last_id(self.read(spark, "run_metadata"))
+        while True:
+            run_id += 1
+            mine = spark.createDataFrame([(run_id, token)], "run_id int, token string")
+            mine.write.jdbc(self.url, "run_ids", mode="append", properties=self.properties)
+            taken = spark.read.jdbc(self.url, "run_ids", properties=self.properties)
+            if taken.filter(F.col("run_id") == run_id).agg(F.min("token")).first()[0] == token:
+                return run_id
+
 
 Store = ParquetStore | JdbcStore

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from hitledger.functions.parser import parse
+from hitledger.sources.stage import load_name, write_by_batch
 
 
 def stream_records(spark: SparkSession, folder: str, files_per_chunk: int = 1000) -> DataFrame:
@@ -23,13 +24,18 @@ def ingest(
     files_per_chunk: int = 1000,
     continuous: bool = False,
 ) -> StreamingQuery:
-    """Append new files' records to the audit table at ``stage``, each file exactly once.
+    """Add new files' records to the audit table at ``stage``, each file exactly once.
 
-    The checkpoint remembers which files are loaded and the sink's log which output files count,
-    so a chunk that is repeated after a failure adds nothing twice. By default the query takes what
-    is there now and ends; read the table with :func:`hitledger.sources.stage.read_audit`.
+    The checkpoint remembers which files each chunk has; a chunk is a load of its own, named by the
+    checkpoint and the chunk's number, so one that is repeated after a failure replaces itself.
+    Batch loads and streams can share a table. By default the query takes what is there now and
+    ends; read the table with :func:`hitledger.sources.stage.read_audit`.
     """
-    writer = stream_records(spark, folder, files_per_chunk).writeStream.format("parquet")
-    writer = writer.option("path", stage).option("checkpointLocation", checkpoint).partitionBy("batch_id")
+    name = load_name(checkpoint)
+
+    def write(chunk: DataFrame, number: int) -> None:
+        write_by_batch(chunk, stage, mode="replace-load", load=f"{name}-{number}")
+
+    writer = stream_records(spark, folder, files_per_chunk).writeStream.foreachBatch(write)
     trigger = {"processingTime": "1 minute"} if continuous else {"availableNow": True}
-    return writer.outputMode("append").trigger(**trigger).start()
+    return writer.option("checkpointLocation", checkpoint).trigger(**trigger).start()
