@@ -3,16 +3,17 @@
 from __future__ import annotations
 
 import argparse
+import time
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from hitledger.functions.parser import parse
 from hitledger.operators.counters import etl_counters, valid_per_batch
-from hitledger.operators.report import report
+from hitledger.operators.report import TOTALLED, printed, report
 from hitledger.plans.runs import DEFAULT_BATCH_SIZE, run
-from hitledger.session import build_session
+from hitledger.session import build_session, size_session
 from hitledger.sources.lines import read_lines
-from hitledger.sources.stage import MODES, read_audit, write_by_batch
+from hitledger.sources.stage import MODES, load_name, read_audit, write_by_batch
 from hitledger.sources.store import JdbcStore, ParquetStore, Store
 
 
@@ -36,7 +37,7 @@ def _arguments() -> argparse.ArgumentParser:
     one.add_argument("--output", help="folder for results as tab-separated text")
     one.add_argument("--stage", help="folder of the parsed records")
     one.add_argument("--stage-format", default="parquet", choices=("parquet", "orc"))
-    one.add_argument("--mode", default="replace", choices=MODES, help="what becomes of records already there")
+    one.add_argument("--mode", default="replace", choices=MODES, help="what becomes of loads already there")
     one.add_argument("--query", type=int, default=0, choices=range(4), help="0 for all")
     one.add_argument("--batch", type=int, default=DEFAULT_BATCH_SIZE, help="batch size to note")
     one.add_argument("--pipeline-name", default="Spark")
@@ -57,23 +58,36 @@ def _store(options: argparse.Namespace) -> Store:
     return JdbcStore(options.db_url, {"user": options.db_user, "password": options.db_pass})
 
 
+def _print(listing: DataFrame) -> None:
+    for line in printed(listing):
+        print(line)
+
+
 def _load(spark: SparkSession, options: argparse.Namespace) -> None:
+    """Load, then print what was loaded: lines, batches and the time it took."""
+    start = time.monotonic()
     records = parse(read_lines(spark, options.input, options.encoding))
     write_by_batch(
         records,
         options.stage,
-        mode="replace" if options.drop else "append",
+        mode="replace" if options.drop else "replace-load",
         max_records_per_file=options.batch,
         spread=not options.time_ordered,
+        load=load_name(options.input),
     )
-    stage = read_audit(spark, options.stage)
-    etl_counters(stage).show()
-    valid_per_batch(stage).show(10_000)
+    took = round((time.monotonic() - start) * 1000)
+    loaded = read_audit(spark, options.stage)
+    _print(etl_counters(loaded))
+    batches = valid_per_batch(loaded)
+    _print(batches)
+    print(f"week batches: {batches.count()}, runtime: {took} ms")
 
 
 def main(arguments: list[str] | None = None) -> None:
     options = _arguments().parse_args(arguments)
     spark = build_session()
+    if options.command != "report":
+        size_session(spark, options.input)
     if options.command == "load":
         _load(spark, options)
     elif options.command == "run":
@@ -94,8 +108,10 @@ def main(arguments: list[str] | None = None) -> None:
         print(f"run {done.run_id}: {done.runtime_ms} ms, queries {done.query_runtimes}")
     else:
         for name, listing in report(spark, _store(options), options.run_id).items():
-            print(name)
-            listing.show(10_000, truncate=False)
+            print(f"\n{name}")
+            _print(listing)
+            if name in TOTALLED:
+                print(f"Total rows: {listing.count()}")
 
 
 if __name__ == "__main__":

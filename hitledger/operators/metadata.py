@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hitledger.operators.counters import per_batch_counts, totals
+from hitledger.operators.ranking import rank_within
 
 QUERY_NAMES = {1: "Q1", 2: "Q2", 3: "Q3"}
 
@@ -51,31 +52,38 @@ def describe_run(
     )
 
 
-def runtime_slices(counts: DataFrame, runtimes: Mapping[str, int]) -> DataFrame:
+def runtime_slices(counts: DataFrame, runtimes: Mapping[str, int], path: str | None = None) -> DataFrame:
     """Share each query's run time among the batches by their record counts, to the millisecond.
 
     Shares are rounded down and what is left goes, one millisecond each, to the batches that lost
     the largest fractions (the earlier batch first among equals), so they add up to the run time.
-    With no batches at all, batch 1 takes the whole time. ``counts`` has one row per ISO week, so
-    the array of them and the windows, one per query, stay small whatever the number of records.
-    The array lets the empty case be seen without working out ``counts`` a second time.
+    With no batches at all, batch 1 takes the whole time.
+
+    Faulty dates can make any number of batches, so nothing gathers them: the totals, a number a
+    query, are worked out first and enter as literals, and the largest fractions are found by
+    :func:`hitledger.operators.ranking.rank_within`. This runs jobs when called; tables that the
+    ranking needs are written under ``path``, or to the shared folder if none is named.
     """
-    weeks = counts.agg(F.expr("collect_list(struct(batch_id, record_count, 0D AS _all)) AS weeks"))
-    nothing = "array(struct(1 AS batch_id, 0L AS record_count, 1D AS _all))"
-    counts = weeks.selectExpr(f"inline(CASE WHEN size(weeks) = 0 THEN {nothing} ELSE weeks END)")
+    spark = counts.sparkSession
+    whole = counts.agg(F.count("*").alias("batches"), F.sum("record_count").alias("records")).first()
     timed = [
         F.struct(F.lit(name).alias("query_name"), F.lit(ms).cast("bigint").alias("_runtime"))
         for name, ms in runtimes.items()
     ]
-    rows = counts.select("*", F.inline(F.array(*timed)))
-    query = Window.partitionBy("query_name")
-    total = F.sum("record_count").over(query)
+    if not whole["batches"] or not timed:
+        nothing = [(name, 1, 0, ms) for name, ms in runtimes.items()]
+        return spark.createDataFrame(nothing, "query_name string, batch_id int, record_count bigint, batch_runtime_ms bigint")
+    rows = counts.select("batch_id", "record_count", F.inline(F.array(*timed)))
     runtime = F.col("_runtime").cast("double")
-    exact = F.coalesce(F.try_divide(runtime * F.col("record_count"), total), runtime * F.col("_all"))
+    exact = F.coalesce(F.try_divide(runtime * F.col("record_count"), F.lit(whole["records"])), F.lit(0.0))
     rows = rows.withColumn("_exact", exact).withColumn("_share", F.floor("_exact"))
-    largest_loss = query.orderBy(F.desc(F.col("_exact") - F.col("_share")), F.asc("batch_id"))
-    left_over = F.col("_runtime") - F.sum("_share").over(query)
-    extra = F.when(F.row_number().over(largest_loss) <= left_over, 1).otherwise(0)
+    shared = {row["query_name"]: row["shared"] for row in rows.groupBy("query_name").agg(F.sum("_share").alias("shared")).collect()}
+    left_over = F.lit(0)
+    for name, ms in runtimes.items():
+        left_over = F.when(F.col("query_name") == name, ms - shared[name]).otherwise(left_over)
+    order = [F.desc("_loss"), F.asc("batch_id")]
+    rows = rank_within(rows.withColumn("_loss", F.col("_exact") - F.col("_share")), ["query_name"], order, "_place", path)
+    extra = F.when(F.col("_place") <= left_over, 1).otherwise(0)
     return rows.select("query_name", "batch_id", "record_count", (F.col("_share") + extra).alias("batch_runtime_ms"))
 
 

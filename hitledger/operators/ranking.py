@@ -19,8 +19,9 @@ _PLACE_BITS = 33
 def top_k(df: DataFrame, group: Sequence[str], order: Sequence[Column], k: int = 20) -> DataFrame:
     """The first ``k`` rows of each group.
 
-    For a usual ``k`` the shuffle carries at most k rows per group and task. A large ``k`` goes by
-    :func:`rank_within`, since a window would gather a whole group in one task.
+    For a usual ``k`` the shuffle carries at most k rows per group and task. A ``k`` beyond Spark's
+    limit for that (1,000) gives the same rows by :func:`rank_within`, since a window would gather a
+    whole group in one task; its tables are then written when this is called.
     """
     if k > int(df.sparkSession.conf.get(*_CUT_EARLY)):
         return rank_within(df, group, order, "_rn").filter(F.col("_rn") <= k).drop("_rn")
@@ -28,25 +29,29 @@ def top_k(df: DataFrame, group: Sequence[str], order: Sequence[Column], k: int =
     return df.withColumn("_rn", place).filter(F.col("_rn") <= k).drop("_rn")
 
 
-def _written(df: DataFrame, label: str) -> DataFrame:
-    """``df`` as a table in the shared folder."""
-    spark = df.sparkSession
-    path = scratch_path(spark, label)
+def _written(df: DataFrame, path: str) -> DataFrame:
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def rank_within(df: DataFrame, group: Sequence[str], order: Sequence[Column], rank: str = "rn") -> DataFrame:
+def rank_within(
+    df: DataFrame, group: Sequence[str], order: Sequence[Column], rank: str = "rn", path: str | None = None
+) -> DataFrame:
     """Number the rows of each group from 1 in ``order``, which must have no ties.
 
     Equal to ``row_number()`` over a window, but a group is spread over as many tasks as its rows
     need: range partitions sorted by group and order are numbered in place, and each adds the rows
-    its group has in earlier partitions. The placed rows are written to the shared folder, so both
-    passes over them see the same partitions even if an executor is lost.
+    its group has in earlier partitions. The placed rows are written, so both passes over them see
+    the same partitions even if an executor is lost.
+
+    The two tables are written when this is called, before any action on the result. They go under
+    ``path``, which the caller removes when done with the result, or under a fresh path of the
+    shared folder if none is named.
     """
+    path = path or scratch_path(df.sparkSession, "ranked")
     keys = [*map(F.col, group), *order]
     placed = df.repartitionByRange(*keys).sortWithinPartitions(*keys)
-    placed = _written(placed.withColumn("_at", F.monotonically_increasing_id()), "ranked")
+    placed = _written(placed.withColumn("_at", F.monotonically_increasing_id()), f"{path}/rows")
     placed = placed.withColumn("_part", F.shiftright("_at", _PLACE_BITS))
 
     # At most one row per range partition and one more per group that starts inside a partition.
@@ -59,7 +64,7 @@ def rank_within(df: DataFrame, group: Sequence[str], order: Sequence[Column], ra
     )
     # Written out, their real size is known when the join is planned: few enough, and Spark
     # broadcasts them and leaves the placed rows where they are; else it shuffles both.
-    parts = _written(parts, "ranked-parts")
+    parts = _written(parts, f"{path}/parts")
     same = F.col("_part") == F.col("_of")
     for name in group:
         same = same & F.col(name).eqNullSafe(F.col(f"_{name}"))

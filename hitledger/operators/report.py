@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -60,9 +63,34 @@ def error_listing(table: DataFrame, run_id: int) -> DataFrame:
     )
 
 
-def with_run(table: DataFrame, runs: DataFrame) -> DataFrame:
-    """Result rows with the name and total records of their run."""
-    return table.join(runs.select("run_id", "pipeline_name", "total_records"), "run_id")
+def with_run(table: DataFrame, runs: DataFrame, run_id: int) -> DataFrame:
+    """A run's result rows with the run's name and total records.
+
+    The run's record is one row; it is read when this is called, and its values enter as literals:
+    a join on a run's id would meet all rows on one key. A run without a record has no rows.
+    """
+    run = of_run(runs, run_id).select("pipeline_name", "total_records").first()
+    rows = of_run(table, run_id) if run else table.limit(0)
+    name, records = (run["pipeline_name"], run["total_records"]) if run else (None, None)
+    return rows.withColumns(
+        {"pipeline_name": F.lit(name).cast("string"), "total_records": F.lit(records).cast("bigint")}
+    )
+
+
+def row_totals(tables: dict[str, DataFrame]) -> DataFrame:
+    """Rows of each result that the report counts below its listing."""
+    counted = [
+        tables[name].agg(F.count("*").alias("total_rows")).select(F.lit(name).alias("listing"), "total_rows")
+        for name in TOTALLED
+    ]
+    return reduce(DataFrame.unionByName, counted)
+
+
+def printed(listing: DataFrame) -> Iterator[str]:
+    """A listing as lines of text, the names first; every row, and one partition at a time on the driver."""
+    yield " | ".join(listing.columns)
+    for row in listing.toLocalIterator():
+        yield " | ".join("" if value is None else str(value) for value in row)
 
 
 def report(spark: SparkSession, store: Store, run_id: int | None = None) -> dict[str, DataFrame]:
@@ -77,6 +105,8 @@ def report(spark: SparkSession, store: Store, run_id: int | None = None) -> dict
     return {name: listing(tables[name], run_id) for name, listing in LISTINGS.items()}
 
 
+TOTALLED = ("q1_daily_traffic", "q3_hourly_error")
+
 LISTINGS = {
     "run_metadata": run_summary,
     "batch_metadata": batch_listing,

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,9 +12,10 @@ from hitledger.functions.batching import register_week_batch_id
 from hitledger.functions.parser import parse
 from hitledger.operators import counters, metadata, queries, records, report
 from hitledger.plans.runs import DEFAULT_BATCH_SIZE, run
+from hitledger.plans.runs import QUERIES as RUN_QUERIES
 from hitledger.plans.rendered import events, render_lines
-from hitledger.plans.views import register_stage
-from hitledger.schemas import DAILY_TRAFFIC, HOURLY_ERRORS
+from hitledger.plans.views import register_stage, register_views
+from hitledger.schemas import DAILY_TRAFFIC, HOURLY_ERRORS, TOP_RESOURCES
 from hitledger.session import scratch_path
 from hitledger.sources import lines, stage, tsv
 from hitledger.sources.store import ParquetStore
@@ -228,10 +230,28 @@ def sql_over_stage(spark, sf_dir):
 @_register
 def audit_stage(spark, sf_dir):
     path = scratch_path(spark, "audit")
-    stage.write_by_batch(parse(_lines(spark, sf_dir)), path, max_records_per_file=DEFAULT_BATCH_SIZE)
+    stage.write_by_batch(parse(_lines(spark, sf_dir)), path)
+    return stage.read_audit(spark, path)
+
+
+@_register
+def audit_two_loads(spark, sf_dir):
+    """Two loads of one table that share all their weeks, the second one loaded twice."""
+    path = scratch_path(spark, "audit")
+    parts = _lines(spark, sf_dir)
+    for name, rest in (("even", 0), ("odd", 1), ("odd", 1)):
+        part = parts.filter(F.col("event_id") % 2 == rest)
+        stage.write_by_batch(parse(part), path, mode="replace-load", load=name)
     return stage.read_audit(spark, path)
 
 
+@_register
+def parsed_view(spark, sf_dir):
+    """Raw lines asked in SQL, through the view of their records."""
+    register_views(spark, _line_files(spark, sf_dir))
+    return spark.sql("SELECT * FROM parsed_logs")
+
+
 @_register
 def stream_ingest(spark, sf_dir):
     path = scratch_path(spark, "ingested")
@@ -253,6 +273,34 @@ def tsv_roundtrip_q3(spark, sf_dir):
     return tsv.read_tsv(spark, path, HOURLY_ERRORS)
 
 
+@_register
+def tsv_roundtrip_q2(spark, sf_dir):
+    path = scratch_path(spark, "tsv")
+    tsv.write_tsv(q2_top_resources(spark, sf_dir), path, ["batch_id", "-request_count", "resource_path"])
+    return tsv.read_tsv(spark, path, TOP_RESOURCES)
+
+
+@_register
+def run_through_text(spark, sf_dir):
+    """A whole run whose results go to the store by way of tab-separated text; its top resources."""
+    store = ParquetStore(scratch_path(spark, "store"))
+    done = run(spark, _line_files(spark, sf_dir), store, tsv=scratch_path(spark, "tsv"))
+    return store.read(spark, "q2_top_resources", done.run_id).drop("loaded_at")
+
+
+@_register
+def run_one_query(spark, sf_dir):
+    """A run of one query: the rows that each result table got."""
+    store = ParquetStore(scratch_path(spark, "store"))
+    run(spark, _line_files(spark, sf_dir), store, query=3)
+    tables = [store.read(spark, table) for table, *_ in RUN_QUERIES.values()]
+    counted = [
+        table.agg(F.count("*").alias("result_rows")).select(F.lit(number).alias("query"), "result_rows")
+        for number, table in zip(RUN_QUERIES, tables)
+    ]
+    return reduce(DataFrame.unionByName, counted)
+
+
 @_register
 def runtime_slices(spark, sf_dir):
     runtimes = {metadata.QUERY_NAMES[number]: ms for number, ms in _RUNTIMES.items()}
@@ -309,9 +357,15 @@ def report_run(spark, sf_dir):
     return report.run_summary(_run(spark, sf_dir), _RUN)
 
 
+@_register
+def report_totals(spark, sf_dir):
+    """Rows that the report counts below its listings."""
+    return report.row_totals({"q1_daily_traffic": report_q1(spark, sf_dir), "q3_hourly_error": report_q3(spark, sf_dir)})
+
+
 @_register
 def report_with_run(spark, sf_dir):
-    return report.with_run(report_q1(spark, sf_dir), _run(spark, sf_dir))
+    return report.with_run(report_q1(spark, sf_dir), _run(spark, sf_dir), _RUN)
 
 
 @_register
@@ -320,8 +374,11 @@ def whole_run(spark, sf_dir):
     store = ParquetStore(scratch_path(spark, "store"))
     done = run(spark, _line_files(spark, sf_dir), store)
     batches = store.read(spark, "batch_metadata", done.run_id)
-    runs = store.read(spark, "run_metadata").drop("executed_at")
-    return batches.join(runs, "run_id").select(
+    # A run has one record; its values are set beside each batch.
+    noted = store.read(spark, "run_metadata", done.run_id).drop("executed_at", "run_id")
+    row = noted.first()
+    rows = batches.withColumns({f.name: F.lit(row[f.name]).cast(f.dataType) for f in noted.schema})
+    return rows.select(
         "run_id", "pipeline_name", "batch_size", "total_batches", "avg_batch_size", "total_records",
         "malformed_count", "query_name", "batch_id", "record_count",
     )

@@ -240,9 +240,19 @@ ORACLES: dict[str, str] = {
     "stage_scan_pruned": _WITH_Q1 + "SELECT * FROM q1 WHERE batch_id <> 0",
     "sql_over_stage": _WITH_STATS + "SELECT * FROM q2",
     "audit_stage": _R + f"SELECT {_RECORD} FROM records",
+    "audit_two_loads": _R + f"SELECT {_RECORD} FROM records",
+    "parsed_view": _R + f"SELECT {_RECORD[:_RECORD.index('malformed')]}CAST(malformed AS INTEGER) AS malformed FROM records",
     "stream_ingest": _R + f"SELECT {_RECORD} FROM records",
     "tsv_roundtrip": _WITH_Q1 + "SELECT * FROM q1",
+    "tsv_roundtrip_q2": _WITH_STATS + "SELECT * FROM q2",
     "tsv_roundtrip_q3": _WITH_Q3 + "SELECT * FROM q3",
+    "run_through_text": _WITH_STATS + "SELECT CAST(1 AS INTEGER) AS run_id, * FROM q2",
+    "run_one_query": _WITH_Q3
+    + """SELECT CAST(1 AS INTEGER) AS query, CAST(0 AS BIGINT) AS result_rows UNION ALL SELECT 2, 0
+         UNION ALL SELECT 3, count(*) FROM q3""",
+    "report_totals": _with(_RECORDS, _Q1, _Q3)
+    + """SELECT 'q1_daily_traffic' AS listing, count(*) AS total_rows FROM q1
+         UNION ALL SELECT 'q3_hourly_error', count(*) FROM q3""",
     "runtime_slices": _SLICES,
     "run_metadata": _with(_RECORDS, _RUNS) + "SELECT * FROM runs",
     "latest_run": _with(_RECORDS, _RUNS)

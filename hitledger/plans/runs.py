@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import time
 from collections.abc import Callable, Collection
+from contextlib import suppress
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,9 +17,9 @@ from hitledger.operators.counters import per_batch_counts, totals
 from hitledger.operators.metadata import QUERY_NAMES, describe_run, runtime_slices
 from hitledger.operators.report import to_store
 from hitledger.schemas import DAILY_TRAFFIC, HOURLY_ERRORS, PER_BATCH, TOP_RESOURCES
-from hitledger.session import scratch_path
+from hitledger.session import scratch
 from hitledger.sources.lines import read_lines
-from hitledger.sources.stage import read_audit, write_by_batch
+from hitledger.sources.stage import load_name, read_audit, write_by_batch
 from hitledger.sources.store import Store
 from hitledger.sources.tsv import read_tsv, write_tsv
 
@@ -36,7 +37,7 @@ QUERIES: dict[int, tuple[str, Callable[[DataFrame], DataFrame], list[str], Struc
 @dataclass
 class Run:
     run_id: int
-    stage: str
+    stage: str | None
     runtime_ms: int = 0
     query_runtimes: dict[int, int] = field(default_factory=dict)
 
@@ -50,12 +51,6 @@ def select_queries(query: int | Collection[int] = 0) -> list[int]:
     return wanted
 
 
-def next_run_id(spark: SparkSession, store: Store) -> int:
-    """One more than the largest id so far. Two runs must not start at the same moment."""
-    last = store.read(spark, "run_metadata").agg(F.max("run_id").alias("last")).first()
-    return (last["last"] or 0) + 1
-
-
 def _since(start: float) -> int:
     return round((time.monotonic() - start) * 1000)
 
@@ -76,12 +71,14 @@ def run(
 ) -> Run:
     """Load ``input_path`` and answer the queries; return the run's id and times.
 
-    Lines are parsed once, into an audit table of all records at ``stage`` (a scratch path if none
-    is named), which the queries then read column by column. ``mode`` says what becomes of rows
-    already there, see :func:`hitledger.sources.stage.write_by_batch`; the queries cover the whole
-    table. ``time_ordered`` says that files hold lines in the order of time, so that the table can
-    be written without a shuffle. ``tsv`` names a folder that gets each result as tab-separated
-    text, from which the store is then loaded.
+    Lines are parsed once, into an audit table of all records at ``stage``, which the queries then
+    read column by column. Without a ``stage`` the table is scratch and goes when the run ends.
+    ``mode`` says what becomes of loads already there, see
+    :func:`hitledger.sources.stage.write_by_batch`; the queries cover the whole table. A load is
+    named by its input, so with ``replace-load`` a repeated run replaces just its own rows.
+    ``time_ordered`` says that files hold lines in the order of time, so that the table can be
+    written without a shuffle. ``tsv`` names a folder that gets each result as tab-separated text,
+    from which the store is then loaded.
 
     A query's time covers its plan and its writes. The counts in the run's record come from the
     stage, whichever queries are asked for. Results are written by the tasks that hold them; only
@@ -90,37 +87,44 @@ def run(
     if batch_size <= 0:
         raise ValueError(f"batch_size must be positive, got {batch_size}")
     numbers = select_queries(query)
-    this = Run(next_run_id(spark, store), stage or scratch_path(spark, "audit"))
+    this = Run(store.reserve(spark), stage)
 
     def record_run(counts: DataFrame) -> None:
         row = describe_run(counts, this.run_id, pipeline_name, batch_size, this.query_runtimes, this.runtime_ms)
         store.write("run_metadata", row.withColumn("executed_at", F.current_timestamp()))
 
     # No rows yet: sums over none of them.
-    per_batch = spark.createDataFrame([], PER_BATCH)
+    nothing = totals(spark.createDataFrame([], PER_BATCH))
     if store.reserves_runs:
-        record_run(totals(per_batch))
+        record_run(nothing)
     start = time.monotonic()
-    try:
-        records = parse(read_lines(spark, input_path, encoding))
-        write_by_batch(records, this.stage, stage_format, mode, spread=not time_ordered)
-        staged = read_audit(spark, this.stage, stage_format)
-        # One row per ISO week, read more than once below.
-        per_batch = per_batch_counts(staged).persist()
-        for number in numbers:
-            began = time.monotonic()
-            _answer(spark, number, staged, store, this.run_id, tsv)
-            this.query_runtimes[number] = _since(began)
-        runtimes = {QUERY_NAMES[number]: ms for number, ms in this.query_runtimes.items()}
-        slices = runtime_slices(per_batch.filter("record_count > 0"), runtimes)
-        store.write(
-            "batch_metadata",
-            slices.select(F.lit(this.run_id).alias("run_id"), "*", F.current_timestamp().alias("loaded_at")),
-        )
-    finally:
+    with scratch(spark, "run") as work:
+        table = stage or f"{work}/audit"
+        try:
+            records = parse(read_lines(spark, input_path, encoding))
+            write_by_batch(records, table, stage_format, mode, spread=not time_ordered, load=load_name(input_path))
+            staged = read_audit(spark, table, stage_format)
+            # One row per ISO week, read more than once below.
+            per_batch_counts(staged).write.parquet(f"{work}/batches")
+            per_batch = spark.read.schema(PER_BATCH).parquet(f"{work}/batches")
+            for number in numbers:
+                began = time.monotonic()
+                _answer(spark, number, staged, store, this.run_id, tsv)
+                this.query_runtimes[number] = _since(began)
+            runtimes = {QUERY_NAMES[number]: ms for number, ms in this.query_runtimes.items()}
+            slices = runtime_slices(per_batch.filter("record_count > 0"), runtimes, f"{work}/slices")
+            store.write(
+                "batch_metadata",
+                slices.select(F.lit(this.run_id).alias("run_id"), "*", F.current_timestamp().alias("loaded_at")),
+            )
+        except BaseException:
+            this.runtime_ms = _since(start)
+            # The first fault is the one to tell; it may have taken the session with it.
+            with suppress(Exception):
+                record_run(nothing)
+            raise
         this.runtime_ms = _since(start)
         record_run(totals(per_batch))
-        per_batch.unpersist()
     return this
 
 

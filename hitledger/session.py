@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 # Settings the plans here rely on for size: run-time coalescing, skew splitting in joins and in
@@ -54,22 +59,73 @@ def sized_for(input_bytes: int, cores: int) -> dict[str, str]:
     }
 
 
+def size_session(spark: SparkSession, paths: str | list[str]) -> None:
+    """Set the sizes of :func:`sized_for` in a running session, from the bytes under ``paths``."""
+    total = sum(folder_bytes(spark, path) for path in ([paths] if isinstance(paths, str) else paths))
+    for key, value in sized_for(total, spark.sparkContext.defaultParallelism).items():
+        spark.conf.set(key, value)
+
+
+def _hadoop_path(spark: SparkSession, path: str):
+    """A path and its file system, as Spark itself reaches them."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where, where.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def folder_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes of the files a path, which may hold wildcards, stands for."""
+    where, files = _hadoop_path(spark, path)
+    found = files.globStatus(where)
+    return sum(files.getContentSummary(status.getPath()).getLength() for status in found or [])
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder on whatever store it is in; nothing happens if it isn't there."""
+    where, files = _hadoop_path(spark, path)
+    files.delete(where, True)
+
+
+def create_file(spark: SparkSession, path: str) -> bool:
+    """Create an empty file, and tell whether it was this call that created it."""
+    where, files = _hadoop_path(spark, path)
+    files.mkdirs(where.getParent())
+    try:
+        files.create(where, False).close()
+    except Py4JJavaError as fault:
+        if "AlreadyExists" not in str(fault.java_exception.getClass().getName()):
+            raise
+        return False
+    return True
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
-    Only a single-machine session may go without it; there a temporary folder serves.
+    Only a single-machine session may go without it. It then gets a folder of its own, which goes
+    when the process ends.
     """
     named = spark.conf.get(CHECKPOINT_SETTING, None)
     if named:
         return named.rstrip("/")
     master = spark.conf.get("spark.master", "")
-    if not master.startswith("local"):
+    if master.startswith("local-cluster") or not master.startswith("local"):
         raise ValueError(f"set {CHECKPOINT_SETTING} to a folder shared by all executors")
     if not _local_scratch:
         _local_scratch.append(tempfile.mkdtemp(prefix="hitledger-"))
+        atexit.register(shutil.rmtree, _local_scratch[0], ignore_errors=True)
     return _local_scratch[0]
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh path under the shared folder."""
+    """A fresh path under the shared folder, for a table that is the caller's to remove."""
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def scratch(spark: SparkSession, label: str) -> Iterator[str]:
+    """A fresh path that is removed at the end."""
+    path = scratch_path(spark, label)
+    try:
+        yield path
+    finally:
+        remove(spark, path)

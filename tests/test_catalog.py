@@ -7,9 +7,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
-
-QUERIES = entry.queries()
-ORACLES = entry.oracle_sql()
+from hitledger.plans.catalog import CATALOG as QUERIES
+from hitledger.plans.oracles import ORACLES
 
 TYPES = {"string": "VARCHAR", "int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "boolean": "BOOLEAN"}
 
@@ -38,5 +37,10 @@ def test_query(spark, sf_dir, db, name):
     assert got == want and got
 
 
+def test_all_are_registered():
+    assert QUERIES.items() <= entry.queries().items() and ORACLES.items() <= entry.oracle_sql().items()
+    assert entry.oracle_sql().keys() <= entry.queries().keys()
+
+
 def test_entry(spark):
     assert entry.entry(spark).count() > 0

@@ -1,7 +1,10 @@
 """Metadata, report and whole runs."""
 
 import datetime
+from concurrent.futures import ThreadPoolExecutor
+from pathlib import Path
 
+import numpy as np
 import pytest
 from pyspark.errors import PySparkException
 
@@ -9,11 +12,11 @@ from hitledger.__main__ import main
 from hitledger.functions.parser import parse
 from hitledger.operators import queries as q
 from hitledger.operators.metadata import latest_run, runtime_slices
-from hitledger.operators.report import report, resource_listing, sink_date, to_store, with_run
-from hitledger.plans.runs import next_run_id, run, select_queries
+from hitledger.operators.report import printed, report, resource_listing, sink_date, to_store, traffic_listing, with_run
+from hitledger.plans.runs import run, select_queries
 from hitledger.plans.views import register_stage, register_views
 from hitledger.schemas import STORE
-from hitledger.session import scratch_path, shared_folder, sized_for
+from hitledger.session import folder_bytes, scratch_path, shared_folder, sized_for
 from hitledger.sources.lines import read_lines
 from hitledger.sources.store import JdbcStore, ParquetStore
 from hitledger.streaming.ingest import ingest
@@ -47,6 +50,47 @@ def test_slices_of_nothing(spark):
     assert slices(spark, [(4, 0), (5, 0)], Q1=1) == [("Q1", 4, 0, 1), ("Q1", 5, 0, 0)]
 
 
+def test_slices_of_very_many_batches(spark, plan_of):
+    """A million batches against the rule worked out in one process."""
+    n = 1_000_000
+    table = spark.range(n).selectExpr("int(id) AS batch_id", "id * 7919 % 1013 AS record_count")
+    got = runtime_slices(table, {"Q1": 123_456, "Q2": 7_654_321})
+    plan = plan_of(got)
+    assert "collect_list" not in plan and "Window" not in plan
+    weight = np.arange(n) * 7919 % 1013
+    for name, ms in (("Q1", 123_456), ("Q2", 7_654_321)):
+        exact = float(ms) * weight / weight.sum()
+        share = np.floor(exact).astype(np.int64)
+        share[np.lexsort((np.arange(n), -(exact - share)))[: ms - share.sum()]] += 1
+        rows = got.filter(got.query_name == name).select("batch_id", "batch_runtime_ms").toPandas().sort_values("batch_id")
+        assert (rows.batch_runtime_ms.to_numpy() == share).all()
+
+
+def test_a_run_leaves_no_scratch(spark, log_folder, tmp_path):
+    shared = Path(spark.conf.get("spark.checkpoint.dir"))
+    before = set(shared.iterdir()) if shared.exists() else set()
+    done = run(spark, log_folder, ParquetStore(str(tmp_path / "store")))
+    assert done.stage is None and set(shared.iterdir()) == before
+    with pytest.raises(PySparkException):
+        run(spark, str(tmp_path / "missing"), ParquetStore(str(tmp_path / "store")))
+    assert set(shared.iterdir()) == before
+
+
+def test_two_runs_at_once_have_ids_of_their_own(spark, tmp_path):
+    store = ParquetStore(str(tmp_path))
+    with ThreadPoolExecutor(8) as pool:
+        ids = list(pool.map(lambda _: store.reserve(spark), range(16)))
+    assert sorted(ids) == list(range(1, 17))
+
+
+def test_report_prints_every_row(spark, tmp_path):
+    rows = spark.range(10_500).selectExpr("1 AS run_id", "int(id) AS batch_id", "'2024-01-01' AS log_date", "200 AS status_code", "1L AS request_count", "id AS total_bytes")
+    store = ParquetStore(str(tmp_path))
+    store.write("q1_daily_traffic", to_store(rows.drop("run_id"), 1))
+    lines = list(printed(traffic_listing(store.read(spark, "q1_daily_traffic"), 1)))
+    assert len(lines) == 10_501 and lines[-1].split(" | ")[1] == "10499"
+
+
 def test_latest_run(spark):
     assert latest_run(spark.createDataFrame([(2,), (11,), (7,)], "run_id int")).first()[0] == 11
 
@@ -81,11 +125,11 @@ def test_select_queries():
             select_queries(wrong)
 
 
-def test_run(spark, log_folder, tmp_path):
+def test_run(spark, log_folder, tmp_path, plan_of):
     store = ParquetStore(str(tmp_path / "store"))
     first = run(spark, log_folder, store, pipeline_name="one", batch_size=50, tsv=str(tmp_path / "tsv"))
     second = run(spark, log_folder, store, query=[3], stage=str(tmp_path / "stage"), stage_format="orc", time_ordered=True)
-    assert (first.run_id, second.run_id) == (1, 2) and next_run_id(spark, store) == 3
+    assert (first.run_id, second.run_id) == (1, 2) and store.reserve(spark) == 3 and store.reserve(spark) == 4
 
     for name, schema in STORE.items():
         table = store.read(spark, name)
@@ -117,8 +161,10 @@ def test_run(spark, log_folder, tmp_path):
     listed = [row["request_count"] for row in shown["q2_top_resources"].filter("batch_id = 202402").collect()]
     assert listed == sorted(listed, reverse=True) and len(listed) == 20
     assert all(len(row["error_rate"]) == 6 for row in shown["q3_hourly_error"].collect())
-    joined = with_run(store.read(spark, "q1_daily_traffic"), store.read(spark, "run_metadata"))
+    joined = with_run(store.read(spark, "q1_daily_traffic"), store.read(spark, "run_metadata"), 1)
     assert {row["pipeline_name"] for row in joined.collect()} == {"one"}
+    assert "Join" not in plan_of(joined)
+    assert with_run(store.read(spark, "q1_daily_traffic"), store.read(spark, "run_metadata"), 9).count() == 0
 
 
 def test_reading_one_run_reads_one_folder(spark, log_folder, tmp_path, plan_of):
@@ -151,7 +197,7 @@ def test_appending_adds_to_the_table(spark, tmp_path):
     line = 'h - - [01/Jul/1995:00:00:01 -0400] "GET /a HTTP/1.0" 200 1\n'
     (tmp_path / "log").write_text(line * 3)
     store, stage = ParquetStore(str(tmp_path / "store")), str(tmp_path / "stage")
-    for mode, total in (("replace", 3), ("append", 6), ("replace-batches", 3)):
+    for mode, total in (("replace", 3), ("replace-load", 3), ("append", 6), ("replace-load", 6), ("replace", 3)):
         done = run(spark, str(tmp_path / "log"), store, query=1, stage=stage, mode=mode)
         assert store.read(spark, "q1_daily_traffic", done.run_id).first()["request_count"] == total
 
@@ -167,6 +213,8 @@ def test_jdbc_options():
         "user": "u", "batchsize": "500", "numPartitions": "8", "createTableColumnTypes": "query_name VARCHAR(8)"
     }
     assert "createTableColumnTypes" not in store.write_options("q1_daily_traffic")
+    assert store.read_options("run_metadata") == {}
+    assert store.read_options("q3_hourly_error") == {"column": "batch_id", "lowerBound": 199001, "upperBound": 205053, "numPartitions": 8}
 
 
 def test_command_line(spark, log_folder, tmp_path, capsys):
@@ -176,7 +224,12 @@ def test_command_line(spark, log_folder, tmp_path, capsys):
     main(["load", "--input", log_folder, "--stage", str(tmp_path / "stage"), "--drop"])
     shown = capsys.readouterr().out
     assert "run 1:" in shown and "q1_daily_traffic" in shown and "202402" in shown
+    assert "Total rows: " in shown and "week batches: " in shown and " ms" in shown
+    assert read_audit(spark, str(tmp_path / "stage")).count() == 1000
+    main(["load", "--input", log_folder, "--stage", str(tmp_path / "stage")])
     assert read_audit(spark, str(tmp_path / "stage")).count() == 1000
+    size = folder_bytes(spark, log_folder)
+    assert spark.conf.get("spark.sql.shuffle.partitions") == sized_for(size, 8)["spark.sql.shuffle.partitions"]
     with pytest.raises(SystemExit):
         main(["run", "--input", log_folder, "--store", store, "--query", "4"])
 
@@ -222,6 +275,22 @@ def test_streaming_takes_each_file_once(spark, tmp_path):
     assert rows(read_audit(spark, stage)) == rows(whole)
 
 
+@pytest.mark.parametrize("stream_first", [True, False])
+def test_stream_and_batch_share_a_table(spark, tmp_path, stream_first):
+    folder, stage = tmp_path / "in", str(tmp_path / "stage")
+    folder.mkdir()
+    line = 'h - - [01/Jul/1995:00:00:01 -0400] "GET /a HTTP/1.0" 200 1\n'
+    (folder / "log").write_text(line * 2 + "bad\n")
+    (tmp_path / "more").write_text(line * 4 + "bad\n")
+    steps = [
+        lambda: ingest(spark, str(folder), stage, str(tmp_path / "progress")).awaitTermination(),
+        lambda: write_by_batch(parse(read_lines(spark, str(tmp_path / "more"))), stage, mode="append"),
+    ]
+    for step in steps if stream_first else steps[::-1]:
+        step()
+    assert read_audit(spark, stage).count() == 8
+
+
 def test_shared_folder(spark):
     assert scratch_path(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
     assert scratch_path(spark, "x") != scratch_path(spark, "x")

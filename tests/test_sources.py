@@ -9,7 +9,9 @@ from hitledger.operators import queries as q
 from hitledger.operators.records import non_blank, staged
 from hitledger.schemas import DAILY_TRAFFIC, HOURLY_ERRORS, TOP_RESOURCES
 from hitledger.sources.lines import lines_view, read_lines
-from hitledger.sources.stage import AUDIT_COLUMNS, read_audit, read_stage, spread_by_batch, write_by_batch
+from hitledger.sources.stage import AUDIT_COLUMNS, load_name, read_audit, read_stage, spread_by_batch, write_by_batch
+from hitledger.plans.runs import run
+from hitledger.sources.store import ParquetStore
 from hitledger.sources.tsv import read_tsv, write_tsv
 
 
@@ -87,14 +89,39 @@ def test_write_modes(spark, records, tmp_path):
     one, two = stage.filter("batch_id = 202402"), stage.filter("batch_id = 202403")
     write_by_batch(one, path)
     write_by_batch(two, path, mode="append")
-    write_by_batch(two, path, mode="replace-batches")
     assert rows(read_stage(spark, path)) == rows(one.union(two))
     write_by_batch(two, path, mode="append")
     assert read_stage(spark, path).count() == one.count() + 2 * two.count()
     write_by_batch(one, path)
     assert rows(read_stage(spark, path)) == rows(one)
-    with pytest.raises(ValueError):
-        write_by_batch(one, path, mode="merge")
+    for mode, load in (("merge", "x"), ("replace-load", None), ("replace-load", "a/b")):
+        with pytest.raises(ValueError):
+            write_by_batch(one, path, mode=mode, load=load)
+
+
+@pytest.mark.parametrize("fmt", ["parquet", "orc"])
+def test_loads_that_share_weeks_keep_each_others_rows(spark, tmp_path, fmt):
+    """Two loads with a common week and undated lines, each loaded twice."""
+    path = str(tmp_path / "audit")
+    good = 'h{} - - [01/Jul/1995:00:00:01 -0400] "GET /a HTTP/1.0" 200 1'
+    loads = {"a": [good.format(1), "bad", "worse"], "b": [good.format(2), good.format(3), "bad"]}
+    for name in ("a", "b", "a", "b"):
+        part = spark.createDataFrame([(line,) for line in loads[name]], "value string")
+        write_by_batch(parse(part), path, fmt, mode="replace-load", load=name)
+    assert read_audit(spark, path, fmt).groupBy("batch_id").count().orderBy("batch_id").collect() == [(0, 3), (199526, 3)]
+    assert load_name("x") == load_name(["x"]) != load_name(["x", "y"])
+
+
+def test_equal_rows_are_parted_without_adaptive_execution(spark, tmp_path):
+    for n in range(8):
+        (tmp_path / f"log{n}").write_text("unreadable\n" * 1250)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        spread = spread_by_batch(parse(read_lines(spark, str(tmp_path))))
+        held = spread.groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert len(held) > 4 and sum(n for _, n in held) == 10_000 and max(n for _, n in held) < 5000
 
 
 def test_a_large_batch_is_split_among_tasks(spark, tmp_path):
@@ -113,7 +140,7 @@ def test_a_large_batch_is_split_among_tasks(spark, tmp_path):
         spark.conf.set("spark.sql.adaptive.enabled", "true")
         spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
     for name in ("adaptive", "plain"):
-        files = list((tmp_path / name / "batch_id=199528").glob("*.parquet"))
+        files = list((tmp_path / name).glob("load=*/batch_id=199528/*.parquet"))
         assert len(files) > 1
         assert read_audit(spark, str(tmp_path / name)).count() == 200_000
 
@@ -142,10 +169,21 @@ def test_tsv_round_trip(spark, records, tmp_path, ask, schema, order):
 
 def test_tsv_text(spark, tmp_path):
     path = tmp_path / "tsv"
-    df = spark.createDataFrame([(1, 'a"b\\c', 0.5), (2, None, 2 / 3)], "n int, s string, x double")
+    df = spark.createDataFrame([(1, 'a"b\\c', 0.5), (2, None, 2 / 3), (3, "\\N", None), (4, "\\\\N", 1.0), (5, "", 1.0)], "n int, s string, x double")
     write_tsv(df.coalesce(1), str(path), ["-n"])
     (part,) = path.glob("part-*")
-    assert part.read_text() == '2\t\t0.666667\n1\ta"b\\c\t0.500000\n'
+    assert part.read_text() == '5\t\t1.000000\n4\t\\\\\\N\t1.000000\n3\t\\\\N\t\\N\n2\t\\N\t0.666667\n1\ta"b\\c\t0.500000\n'
+    assert rows(read_tsv(spark, str(path), df.schema).drop("x")) == rows(df.drop("x"))
+
+
+def test_sums_past_64_bits_survive_the_text(spark, tmp_path):
+    line = 'h - - [01/Jul/1995:00:00:01 -0400] "GET /a HTTP/1.0" 200 9000000000000000000'
+    (tmp_path / "log").write_text(f"{line}\n{line}\n{line.replace('200 9', '404 1')}\n")
+    store = ParquetStore(str(tmp_path / "store"))
+    run(spark, str(tmp_path / "log"), store, tsv=str(tmp_path / "tsv"))
+    got = store.read(spark, "q1_daily_traffic").select("status_code", "request_count", "total_bytes")
+    assert rows(got) == ["Row(status_code=200, request_count=2, total_bytes=None)", "Row(status_code=404, request_count=1, total_bytes=1000000000000000000)"]
+    assert [tuple(r) for r in store.read(spark, "q2_top_resources").select("request_count", "total_bytes").collect()] == [(3, None)]
 
 
 def test_tsv_faults(spark, tmp_path):
