@@ -56,9 +56,12 @@ def host_sets(records: DataFrame) -> DataFrame:
     return pairs.distinct().groupBy("batch_id", "resource_path").agg(F.count("host").alias("distinct_host_count"))
 
 
-def resource_ranks(records: DataFrame) -> DataFrame:
-    """All paths of each batch, numbered from the most requested down."""
-    return rank_within(resource_stats(records), ["batch_id"], _most_requested_first())
+def resource_ranks(records: DataFrame, path: str | None = None) -> DataFrame:
+    """All paths of each batch, numbered from the most requested down.
+
+    Writes the ranking's tables under ``path`` when called, see :func:`rank_within`.
+    """
+    return rank_within(resource_stats(records), ["batch_id"], _most_requested_first(), path=path)
 
 
 def top_resources(records: DataFrame, k: int = TOP, scope: str = "batch") -> DataFrame:
