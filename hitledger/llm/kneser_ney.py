@@ -1,8 +1,8 @@
 """Interpolated modified Kneser-Ney n-gram model: counted in Spark, stored as sorted hash arrays,
 memory-mapped by the workers that score.
 
-Counting. Each task turns its texts into 64-bit word hashes, counts the n-grams of a million
-words at a time with array sorts, and sends each shard one packed array of (context, word, count). A shard's
+Counting. Each task turns its texts into 64-bit word hashes, counts the n-grams of some
+100,000 words at a time with array sorts, and sends each shard one packed array of (context, word, count). A shard's
 task merges what it gets, writes its sorted arrays and sends the next lower order down: that order's
 counts are the numbers of distinct words seen to the left, as Kneser-Ney asks. One job thus runs
 from the highest order to single words. An n-gram's shard follows from its context, so a context's
@@ -45,9 +45,11 @@ _NONE = np.uint64(0)
 # Bytes of training text for each shard; a merging task holds some ten times as much.
 SHARD_BYTES = 5 << 20
 # Words that a task counts at once.
-COUNT_WORDS = 1_000_000
+COUNT_WORDS = 600_000
 # Texts read to find the frequent contexts, and how often a word must occur there.
 SAMPLE_BYTES, SAMPLE_LEAST = 32 << 20, 50
+# Bytes of text counted or scored at once, some thirty times as much in working arrays.
+TEXT_BYTES = 1 << 20
 # Shards that a worker keeps mapped.
 MAPPED = 1024
 
@@ -245,7 +247,7 @@ def _count_texts(batches: Iterator[pa.RecordBatch], order: int, hot: np.ndarray,
         return pa.RecordBatch.from_pylist(found, _BLOB_SCHEMA)
 
     for batch in batches:
-        for _, _, data, offsets in text_slices(batch.column("text")):
+        for _, _, data, offsets in text_slices(batch.column("text"), TEXT_BYTES):
             tokens, at, _ = _tokens(data, offsets, order)
             contexts = _contexts(tokens, at, order - 1)
             held.append((contexts[-1], contexts[-2] if order > 1 else contexts[-1], tokens[at]))
@@ -388,7 +390,7 @@ def score(docs: DataFrame, model: Model, text: str = "text", name: str = "lm") -
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lo, hi, data, offsets in text_slices(batch.column(text)):
+            for lo, hi, data, offsets in text_slices(batch.column(text), TEXT_BYTES):
                 tokens, at, first = _tokens(data, offsets, model.order)
                 p, raw = _probabilities(model, tokens, at)
                 base = np.log10((raw + 1) / (model.train_tokens + model.vocabulary + 1))

@@ -15,9 +15,15 @@ from hitledger.session import scratch_path
 _ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
+# Large arrays of a worker go back to the system when freed, so that its memory follows what it holds.
+_ALLOCATION = {"MALLOC_MMAP_THRESHOLD_": str(1 << 20), "MALLOC_TRIM_THRESHOLD_": str(1 << 20), "MALLOC_ARENA_MAX": "2"}
+
+
 def prepare(spark: SparkSession) -> None:
-    """Let Python workers import this package where it isn't installed, as in a local session."""
+    """Let Python workers import this package where it isn't installed, as in a local session, and keep them small."""
     env = spark.sparkContext.environment
+    for name, value in _ALLOCATION.items():
+        env.setdefault(name, value)
     known = env.get("PYTHONPATH", "")
     if _ROOT not in known.split(os.pathsep):
         env["PYTHONPATH"] = os.pathsep.join(filter(None, (_ROOT, known)))
