@@ -287,7 +287,7 @@ def threshold(chances: np.ndarray, right: np.ndarray) -> float:
     too few to tell.
     """
     best = 2.0
-    for t in (0.995, 0.99, 0.98, 0.95, 0.9, 0.8, 0.7, 0.6, 0.5):
+    for t in (0.995, 0.99, 0.98, 0.95, 0.9, 0.85, 0.8):
         n, wrong = int((chances >= t).sum()), int((right[chances >= t] == 0).sum())
         if n and binomial_tail(wrong, n, WRONG) <= ERROR:
             best = t

@@ -51,7 +51,7 @@ sets AS (
 flat AS (SELECT doc_id, len(s) AS n, unnest(s) AS x FROM sets),
 links AS (
   SELECT a.doc_id AS a, b.doc_id AS b
-  FROM flat a JOIN flat b ON a.x = b.x AND a.doc_id <> b.doc_id
+  FROM flat a JOIN flat b ON a.x = b.x AND a.doc_id <> b.doc_id AND 100 * least(a.n, b.n) >= 85 * greatest(a.n, b.n)
   GROUP BY a.doc_id, b.doc_id, a.n, b.n
   HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))
 ),

@@ -117,7 +117,7 @@ def test_trees_learn():
 
 def test_thresholds():
     chances, right = np.linspace(0.3, 1, 4000), np.ones(4000)
-    assert pii.threshold(chances, right) == 0.5
+    assert pii.threshold(chances, right) == 0.8
     right[chances < 0.92] = 0
     assert pii.threshold(chances, right) == 0.95
     assert pii.threshold(chances, np.zeros(4000)) == 2.0
