@@ -3,9 +3,10 @@
 Vectors are dealt to blocks of some thousand by a hash of their id. A block is stored once as a
 matrix with one list per dimension, its rows in descending order of that component. A query walks
 all lists of a block in step, each from the end at which its own component makes the product
-largest; every row met is scored in full. After each step the products at the lists' fronts add up
-to a bound on all rows not met yet; the walk ends when that bound cannot reach the kth result, ties
-included.
+largest; every row met is scored in full. The products at the lists' fronts add up to a bound on all
+rows not met yet; the walk ends at the first of a doubling series of depths where that bound cannot
+reach the kth result known, ties included. A walk that would have to go so deep that it meets most
+rows several times over is done as one pass over the block instead.
 
 Queries come in packs; a pack meets every block, pair by pair, so that a task holds one block and one
 pack. First each query walks one block, chosen by a hash of its id, which gives a score that k rows
@@ -33,54 +34,76 @@ from hitledger.llm.shared import prepare, stored
 
 BLOCK_ROWS, PACK_ROWS = 8192, 512
 FIRST_STEP = 16
+NO_FLOOR = np.iinfo(np.int64).min
 
 _FOUND = "query_id long, vec_id long, score long"
 
 
 class Block:
-    """A block's rows and their lists."""
+    """A block's rows and, per dimension, the list of its rows in descending order of that component."""
 
     def __init__(self, ids: np.ndarray, rows: np.ndarray, lists: np.ndarray) -> None:
-        self.ids, self.rows, self.lists = ids, rows, lists
-        # Products of two such vectors add up exactly in doubles, which have the fast routines.
-        self.exact = rows.shape[1] == 0 or rows.shape[1] * float(np.abs(rows).max(initial=0)) ** 2 < 2.0**52
-        self.wide = rows.astype(np.float64) if self.exact else rows
-
-    def search(self, query_id: int, query: np.ndarray, k: int, floor: int | None) -> tuple[np.ndarray, np.ndarray]:
-        """Ids and scores of the best ``k`` rows but the query's own; rows that score under ``floor`` may be left out."""
-        n, own = len(self.ids), self.ids == query_id
-        if self.exact and len(query) * float(np.abs(query).max(initial=0)) * float(np.abs(self.wide).max(initial=0)) < 2.0**52:
-            rows, query = self.wide, query.astype(np.float64)
-        else:
-            rows = self.rows
-        used = np.flatnonzero(query)
-        down = query[used] > 0
-        met = own.copy()
-        best_id, best = np.zeros(0, np.int64), np.zeros(0, rows.dtype)
-        depth, step = 0, FIRST_STEP
-        while True:
-            to = min(n, depth + step)
-            front = np.concatenate((self.lists[used[down], depth:to].ravel(), self.lists[used[~down], n - to : n - depth].ravel()))
-            if not len(used):  # every row scores 0
-                front, to = np.arange(n), n
-            new = np.zeros(n, bool)
-            new[front] = True
-            new &= ~met
-            met |= new
-            at = np.flatnonzero(new)
-            ids, score = np.concatenate((best_id, self.ids[at])), np.concatenate((best, rows[at] @ query))
-            order = np.lexsort((ids, -score))[:k]
-            best_id, best = ids[order], score[order]
-            depth, step = to, step * 2
-            if depth >= n or met.all():
-                break
-            ends = np.where(down, self.lists[used, depth - 1], self.lists[used, n - depth])
-            bound = float((rows[ends, used] * query[used]).sum()) if rows is self.wide else int((rows[ends, used] * query[used]).sum())
-            # A row not met yet may equal the bound and win a tie by its id.
-            if len(best) == k and best[-1] > bound or floor is not None and bound < floor:
-                break
-        keep = best >= floor if floor is not None else np.ones(len(best), bool)
-        return best_id[keep], best[keep].astype(np.int64)
+        self.ids, self.rows, self.lists = ids, rows.astype(np.int64), lists
+        n = len(ids)
+        # Depths at which walks may end, and the components at the lists' fronts there, from either end.
+        self.depths = np.unique(np.minimum(FIRST_STEP << np.arange(40), max(n, 1)))
+        across = np.arange(rows.shape[1])
+        self.top = np.stack([self.rows[lists[:, min(t, n) - 1], across] for t in self.depths]) if n else None
+        self.bottom = np.stack([self.rows[lists[:, n - min(t, n)], across] for t in self.depths]) if n else None
+        self.scored = 0  # rows scored in full, over all queries
+
+    def _numbers(self, queries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Rows and queries as doubles, which have the fast routines, if all sums stay exact in them."""
+        most = [float(np.abs(x).max(initial=0)) for x in (self.rows, queries)]
+        kind = np.float64 if queries.shape[1] * most[0] * most[1] < 2.0**52 else np.int64
+        return self.rows.astype(kind), queries.astype(kind)
+
+    def _met(self, query: np.ndarray, depth: int) -> np.ndarray:
+        """The rows within ``depth`` of the ends of the lists at which the query's products are largest."""
+        n, down, up = len(self.ids), query > 0, query < 0
+        met = np.zeros(n, bool)
+        met[self.lists[down, :depth].ravel()] = True
+        met[self.lists[up, n - depth :].ravel()] = True
+        return np.flatnonzero(met)
+
+    def search(self, query_ids: np.ndarray, queries: np.ndarray, floors: np.ndarray, k: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """For each query the ids and scores of the best ``k`` rows but its own.
+
+        ``floors``: scores that ``k`` rows elsewhere reach, ``NO_FLOOR`` if not known; rows under them
+        may be left out.
+        """
+        n = len(self.ids)
+        rows, wide = self._numbers(queries)
+        floors = floors.copy()
+        if n:
+            for i in np.flatnonzero(floors == NO_FLOOR):
+                for depth in self.depths:  # until k rows are met
+                    at = self._met(queries[i], int(depth))
+                    at = at[self.ids[at] != query_ids[i]]
+                    if len(at) >= k:
+                        self.scored += len(at)
+                        floors[i] = int(np.partition(rows[at] @ wide[i], len(at) - k)[len(at) - k])
+                        break
+        # What a row not met by each depth can score at most; a row that equals the floor may win a tie by its id.
+        bounds = np.maximum(wide, 0) @ self.top.T.astype(wide.dtype) + np.minimum(wide, 0) @ self.bottom.T.astype(wide.dtype) if n else np.zeros((len(queries), 1))
+        ends = (bounds < floors[:, None]) & (floors != NO_FLOOR)[:, None]
+        stop = np.where(ends.any(axis=1), ends.argmax(axis=1), len(self.depths) - 1)
+        depth = np.where(ends.any(axis=1), self.depths[stop], n)
+        # A walk that would meet most rows several times over is replaced by a pass over the block.
+        used = np.count_nonzero(queries, axis=1)
+        far = (used == 0) | (depth * used >= 2 * n)
+        for lo in range(0, len(queries), max(1, (1 << 19) // max(n, 1))):
+            part = np.arange(lo, min(len(queries), lo + max(1, (1 << 19) // max(n, 1))))
+            passed = part[far[part]]
+            scores = dict(zip(passed.tolist(), wide[passed] @ rows.T)) if len(passed) else {}
+            for i in part.tolist():
+                at = np.arange(n) if i in scores else self._met(queries[i], int(depth[i]))
+                score = scores[i] if i in scores else rows[at] @ wide[i]
+                self.scored += len(at)
+                good = np.flatnonzero((score >= floors[i]) & (self.ids[at] != query_ids[i]))
+                ids, score = self.ids[at[good]], score[good].astype(np.int64)
+                order = np.lexsort((ids, -score))[:k]
+                yield int(query_ids[i]), ids[order], score[order]
 
 
 def _whole(vector: Column, scale: float) -> Column:
@@ -104,17 +127,30 @@ def _matrix(column: pa.ChunkedArray, width: int) -> np.ndarray:
     return out
 
 
+def _least(x: np.ndarray) -> np.ndarray:
+    """Whole numbers in the narrowest type that holds them."""
+    kinds = (np.int8, np.int16, np.int32)
+    most = [int(x.min(initial=0)), int(x.max(initial=0))]
+    return x.astype(next((k for k in kinds if np.iinfo(k).min <= most[0] and most[1] <= np.iinfo(k).max), np.int64))
+
+
+def _array(raw: bytes, *shape: int) -> np.ndarray:
+    """An array back from its bytes; its type follows from their number."""
+    size = max(1, int(np.prod(shape)))
+    return np.frombuffer(raw, f"i{max(1, len(raw) // size)}").reshape(shape)
+
+
 def _packed(rows: DataFrame, key: str, width: int, lists: bool) -> DataFrame:
     """A row per group of at most some thousand vectors: ids, matrix and, for blocks, the lists."""
 
     def run(key_: tuple, group: pa.Table) -> pa.Table:
         group = group.sort_by("vec_id")
         ids, matrix = group.column("vec_id").to_numpy(), _matrix(group.column("v"), width)
-        out = {key: [key_[0].as_py()], "ids": [ids.tobytes()], "matrix": [matrix.tobytes()]}
+        out = {key: [key_[0].as_py()], "ids": [ids.tobytes()], "matrix": [_least(matrix).tobytes()]}
         if lists:
-            out["lists"] = [np.ascontiguousarray(np.argsort(-matrix, axis=0, kind="stable").T.astype(np.int32)).tobytes()]
+            out["lists"] = [_least(np.ascontiguousarray(np.argsort(-matrix, axis=0, kind="stable").T)).tobytes()]
         else:
-            out["floors"] = [group.column("floor").fill_null(np.iinfo(np.int64).min).to_numpy().tobytes()]
+            out["floors"] = [group.column("floor").fill_null(int(NO_FLOOR)).to_numpy().tobytes()]
         return pa.table(out, schema=pa.schema([(key, pa.int32()), ("ids", pa.binary()), ("matrix", pa.binary()), ("lists" if lists else "floors", pa.binary())]))
 
     return rows.groupBy(key).applyInArrow(run, f"{key} int, ids binary, matrix binary, {'lists' if lists else 'floors'} binary")
@@ -126,14 +162,12 @@ def _walk(pairs: DataFrame, width: int, k: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for pair in batch.to_pylist():
-                ids = np.frombuffer(pair["ids"], np.int64)
-                block = Block(ids, np.frombuffer(pair["matrix"], np.int64).reshape(len(ids), width), np.frombuffer(pair["lists"], np.int32).reshape(width, len(ids)))
-                query_ids = np.frombuffer(pair["query_ids"], np.int64)
-                queries = np.frombuffer(pair["queries"], np.int64).reshape(len(query_ids), width)
-                floors = np.frombuffer(pair["floors"], np.int64)
-                for q, query, floor in zip(query_ids.tolist(), queries, floors.tolist()):
-                    found, score = block.search(q, query, k, None if floor == np.iinfo(np.int64).min else floor)
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(found), q)), pa.array(found), pa.array(score)], names=["query_id", "vec_id", "score"])
+                ids, query_ids = (np.frombuffer(pair[c], np.int64) for c in ("ids", "query_ids"))
+                block = Block(ids, _array(pair["matrix"], len(ids), width), _array(pair["lists"], width, len(ids)))
+                queries = _array(pair["queries"], len(query_ids), width).astype(np.int64)
+                found = list(block.search(query_ids, queries, np.frombuffer(pair["floors"], np.int64), k))
+                rows = [np.concatenate(x) for x in zip(*((np.full(len(f), q), f, score) for q, f, score in found))] or [np.zeros(0, np.int64)] * 3
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in rows], names=["query_id", "vec_id", "score"])
 
     return pairs.select("ids", "matrix", "lists", "query_ids", "queries", "floors").mapInArrow(run, _FOUND)
 

@@ -52,24 +52,21 @@ def test_walks_end_early():
     rng = np.random.default_rng(2)
     rows = rng.integers(-3, 4, (4000, 8))
     rows[:30] = 40
-    block = topk.Block(np.arange(4000), rows, np.argsort(-rows, axis=0, kind="stable").T.astype(np.int32))
-    met = []
-
-    class Watched(np.ndarray):
-        def __getitem__(self, at):
-            if isinstance(at, np.ndarray) and at.ndim == 1:
-                met.append(len(at))
-            return super().__getitem__(at)
-
-    block.wide = block.wide.view(Watched)
-    ids, score = block.search(-1, np.full(8, 2), 20, None)
+    block = topk.Block(np.arange(4000), rows, np.argsort(-rows, axis=0, kind="stable").T)
+    ((_, ids, score),) = block.search(np.array([-1]), np.full((1, 8), 2), np.array([topk.NO_FLOOR]), 20)
     assert ids.tolist() == list(range(20)) and set(score.tolist()) == {640}
-    assert sum(met) < 1500
+    assert block.scored < 500
+    # With a floor that nothing here reaches, the first step shows it.
+    ((_, ids, _),) = block.search(np.array([-1]), np.full((1, 8), -2), np.array([49]), 20)
+    assert len(ids) == 0 and block.scored < 1000
 
 
 def test_large_components_stay_exact():
     rows = np.array([[1 << 28, 3], [1 << 28, 4], [5, 1 << 28]])
-    block = topk.Block(np.arange(3), rows, np.argsort(-rows, axis=0, kind="stable").T.astype(np.int32))
-    assert not block.exact
-    ids, score = block.search(9, np.array([1 << 20, 1]), 2, None)
+    block = topk.Block(np.arange(3), rows, np.argsort(-rows, axis=0, kind="stable").T)
+    ((_, ids, score),) = block.search(np.array([9]), np.array([[1 << 20, 1]]), np.array([topk.NO_FLOOR]), 2)
     assert ids.tolist() == [1, 0] and score.tolist() == [(1 << 48) + 4, (1 << 48) + 3]
+    large = np.array([[3037000500, 1], [3037000499, 2]])
+    block = topk.Block(np.arange(2), large, np.argsort(-large, axis=0, kind="stable").T)
+    ((_, ids, score),) = block.search(np.array([9]), np.array([[3037000499, 0]]), np.array([topk.NO_FLOOR]), 2)
+    assert score.tolist() == [3037000499 * 3037000500, 3037000499**2]
