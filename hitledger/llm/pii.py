@@ -43,9 +43,9 @@ from hitledger.llm.quality import binomial_tail
 from hitledger.llm.shared import prepare, with_columns
 
 KINDS = ("email", "ip", "card", "phone")
-LEARN_ROWS = 20_000
+LEARN_ROWS = 10_000
 # Of the rows with a digit or an at-sign, how many are looked at for examples.
-LEARN_DOCS = 20_000
+LEARN_DOCS = 10_000
 WRONG, ERROR = 0.02, 0.05
 
 Span = tuple[int, int, int]  # kind, start, end

@@ -4,7 +4,8 @@ Each rule scores a document, higher being worse, and rejects above a cutoff. Cut
 stratum (language) from labelled documents:
 
 - One half of the labels (by hash of the id), the tuning half, tells which cutoffs are of use: those
-  that reject a larger share of the bad than of the good.
+  that reject a far larger share of the bad than of the good. The mildest that does nearly as much as
+  any is taken, to keep away from good documents.
 - The other half, the holdout, certifies. For a cutoff with ``k`` of ``n`` good documents rejected,
   the exact binomial tail P(X <= k), X ~ Bin(n, risk / rules), is the p-value of "this rule wrongly
   rejects more than its share of the risk". Cutoffs are tested in order from the mildest; the first
@@ -39,7 +40,8 @@ from hitledger.llm.words import find_words, hash_spans, joined, text_slices, win
 # Share of good documents that may be lost in a stratum, and the chance that a bound is broken.
 RISK, ERROR = 0.05, 0.05
 # A cutoff is of use if it rejects at least this many times as large a share of the bad as of the good.
-LIFT = 20.0
+# and at least this share of the bad; of certified cutoffs, the mildest with this part of the most that any rejects.
+LIFT, LEAST_USE, NEARLY = 20.0, 0.05, 0.95
 
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words")
 _STRUCT = pa.struct([(m, pa.int64()) for m in MEASURES])
@@ -137,18 +139,19 @@ def binomial_tail(k: int, n: int, p: float) -> float:
 
 
 def choose_cutoff(cutoffs: list[float], hold: list[tuple[int, int]], tune: list[tuple[float, float]], risk: float, error: float) -> float | None:
-    """The strictest useful cutoff before the first that can't be certified.
+    """The mildest cutoff that does nearly all a rule can, of those before the first that can't be certified.
 
     ``hold``: of each cutoff, good documents rejected and good documents; ``tune``: shares of the
-    good and of the bad rejected.
+    good and of the bad rejected. A rule that is of little use is left out.
     """
-    best = None
+    useful = []
     for cut, (k, n), (good, bad) in zip(cutoffs, hold, tune):
         if n == 0 or binomial_tail(k, n, risk) > error:
             break
-        if bad > 0 and bad >= LIFT * good:
-            best = cut
-    return best
+        if bad >= LEAST_USE and bad >= LIFT * good:
+            useful.append((cut, bad))
+    most = max((bad for _, bad in useful), default=0.0)
+    return next((cut for cut, bad in useful if bad >= NEARLY * most), None)
 
 
 def calibrate(measured: DataFrame, labels: DataFrame, name: str, stratum: str = "lang", risk: float = RISK, error: float = ERROR) -> DataFrame:
