@@ -17,7 +17,7 @@ A-Z lowered, and an end mark, which is predicted like a word.
 
 The arrays lie in the folder ``spark.checkpoint.dir`` names and are mapped, not loaded: what a
 worker touches is shared with its neighbours through the page cache. Where that folder is not a
-mounted file system, a worker maps a copy of the shards that it needs.
+mounted file system, a worker holds the shards that it used last in memory, up to a bound.
 
 Nulls and odd input: a null or empty text is the end mark alone; a null id is a training document;
 repeated rows count each time; without training texts every word has probability 1 / 1; only the id
@@ -26,7 +26,6 @@ and the text are read, so other columns can't clash.
 
 from __future__ import annotations
 
-import tempfile
 from collections import OrderedDict
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
@@ -50,8 +49,8 @@ COUNT_WORDS = 600_000
 SAMPLE_BYTES, SAMPLE_LEAST = 32 << 20, 50
 # Bytes of text counted or scored at once, some thirty times as much in working arrays.
 TEXT_BYTES = 1 << 20
-# Shards that a worker keeps mapped.
-MAPPED = 1024
+# Shards that a worker keeps mapped, and bytes of those it holds in memory where it can't map.
+MAPPED, HELD_BYTES = 1024, 256 << 20
 
 _BLOBS = "shard int, kind string, n long, blob binary"
 _BLOB_SCHEMA = pa.schema([("shard", pa.int32()), ("kind", pa.string()), ("n", pa.int64()), ("blob", pa.binary())])
@@ -145,10 +144,10 @@ def _array_file(path: str, keys: np.ndarray, values: list[np.ndarray]) -> None:
 
 
 class Arrays:
-    """A mapped file of sorted keys and counts."""
+    """Sorted keys and counts of a file's bytes, mapped or in memory."""
 
-    def __init__(self, path: str) -> None:
-        x = np.memmap(path, np.uint8, mode="r")
+    def __init__(self, x: np.ndarray) -> None:
+        self.nbytes = 0 if isinstance(x, np.memmap) else x.nbytes
         n, columns = (int(v) for v in x[:16].view(np.int64))
         large = x[16 : 16 + 8 * columns].view(np.int64)
         at = 16 + 8 * columns
@@ -207,14 +206,8 @@ _mapped: OrderedDict[str, Arrays] = OrderedDict()
 def _arrays(path: str) -> Arrays:
     if path not in _mapped:
         fs, name = file_system(path)
-        if fs.type_name == "local":
-            _mapped[path] = Arrays(name)
-        else:
-            with tempfile.NamedTemporaryFile() as own:
-                own.write(read_file(path))
-                own.flush()
-                _mapped[path] = Arrays(own.name)  # the mapping outlives the file's name
-        while len(_mapped) > MAPPED:
+        _mapped[path] = Arrays(np.memmap(name, np.uint8, mode="r") if fs.type_name == "local" else np.frombuffer(read_file(path), np.uint8))
+        while len(_mapped) > MAPPED or len(_mapped) > 1 and sum(x.nbytes for x in _mapped.values()) > HELD_BYTES:
             _mapped.popitem(last=False)
     _mapped.move_to_end(path)
     return _mapped[path]

@@ -4,6 +4,7 @@ import math
 import random
 from collections import Counter
 
+import numpy as np
 import pytest
 
 from hitledger.llm import kneser_ney as kn
@@ -97,3 +98,17 @@ def test_empty_tables(spark):
     assert kn.score(none.select("text"), model).count() == 0
     row = kn.score(spark.createDataFrame([("a b",)], "text string"), model).first()
     assert (row.lm.n_tokens, row.lm.n_known, row.lm.score, row.lm.base_score) == (3, 0, 0.0, 0.0)
+
+
+def test_arrays_from_memory_and_file(tmp_path):
+    rng = np.random.default_rng(1)
+    keys = np.unique(rng.integers(0, 1 << 63, 1000, dtype=np.uint64))
+    counts = [rng.choice([1, 2, 254, 255, 256, 10**12], len(keys)).astype(np.uint64) for _ in range(2)]
+    path = str(tmp_path / "arrays")
+    kn._array_file(path, keys, counts)
+    asked = np.concatenate((keys[::3], keys[::5] + np.uint64(1)))
+    for made in (kn.Arrays(np.memmap(path, np.uint8, mode="r")), kn.Arrays(np.fromfile(path, np.uint8))):
+        known = dict(zip(keys.tolist(), zip(*(c.tolist() for c in counts))))
+        assert list(zip(*(f.tolist() for f in made.find(asked)))) == [known.get(k, (0, 0)) for k in asked.tolist()]
+    kn._array_file(path, keys[:0], [c[:0] for c in counts])
+    assert kn.Arrays(np.fromfile(path, np.uint8)).find(asked)[0].sum() == 0
