@@ -181,11 +181,10 @@ def components(edges: DataFrame) -> DataFrame:
     """``node, label``: the smallest node reachable over edges (a, b), of every node with an edge.
 
     Alternating large-star and small-star steps; each round's edges are a table in the shared folder,
-    and rounds end when nothing changes (about the logarithm of the longest path).
+    and rounds end when all edges tie a node to its label (about the logarithm of the longest path).
     """
     now = stored(edges.select(F.greatest("a", "b").alias("v"), F.least("a", "b").alias("u")).where("u < v").distinct(), "edges")
-    before = None
-    while True:
+    while not _are_stars(now):
         # Large star: every larger neighbour of a node is tied to the node's smallest neighbour or itself.
         both = now.unionByName(now.select(F.col("u").alias("v"), F.col("v").alias("u")))
         least = both.groupBy("v").agg(F.least(F.min("u"), F.col("v")).alias("m"))
@@ -195,10 +194,15 @@ def components(edges: DataFrame) -> DataFrame:
         least = large.groupBy("v").agg(F.min("u").alias("m"))
         small = large.join(least, "v").select(F.col("u").alias("v"), F.col("m").alias("u")).unionByName(least.select("v", F.col("m").alias("u")))
         now = stored(small.where("u < v").distinct(), "edges")
-        state = now.agg(F.count("*").alias("n"), F.sum(F.xxhash64("v", "u").cast("decimal(38,0)")).alias("s")).first()
-        if state == before:
-            return now.select(F.col("v").alias("node"), F.col("u").alias("label")).unionByName(now.select(F.col("u").alias("node"), F.col("u").alias("label")).distinct())
-        before = state
+    return now.select(F.col("v").alias("node"), F.col("u").alias("label")).unionByName(now.select(F.col("u").alias("node"), F.col("u").alias("label")).distinct())
+
+
+def _are_stars(edges: DataFrame) -> bool:
+    """Whether each node ``v`` has one edge and is no other node's ``u``."""
+    ends = edges.select(F.col("v").alias("x"), F.lit(1).alias("below"), F.lit(0).alias("above"))
+    ends = ends.unionByName(edges.select(F.col("u").alias("x"), F.lit(0).alias("below"), F.lit(1).alias("above")))
+    ends = ends.groupBy("x").agg(F.sum("below").alias("below"), F.max("above").alias("above"))
+    return ends.where("below > 1 OR below = 1 AND above = 1").isEmpty()
 
 
 def _blocks(members: DataFrame, sizes: DataFrame, block: int) -> DataFrame:
@@ -311,9 +315,11 @@ def link_components(docs: DataFrame, threshold: int = 85, doc_id: str = "doc_id"
     for forest in (True, False):
         pairs = stored(_unlike_pairs(_mixed(members, labels, detail), most, threshold, forest), "unlike")
         more = stored(_confirmed(pairs, sets, threshold), "links")
-        links = links.unionByName(more)
-        labels = components(links)
-        if more.count() == pairs.count():
+        confirmed = more.count()
+        if confirmed:
+            links = links.unionByName(more)
+            labels = components(links)
+        if confirmed == pairs.count():
             break  # every tree stands, so no pair was left out in vain
 
     named = classes.select("n_shingles", "set_hash", "rep").join(labels.withColumnRenamed("node", "rep"), "rep", "left")
