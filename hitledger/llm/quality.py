@@ -43,6 +43,9 @@ RISK, ERROR = 0.05, 0.05
 # and at least this share of the bad; of certified cutoffs, the mildest with this part of the most that any rejects.
 LIFT, LEAST_USE, NEARLY = 20.0, 0.05, 0.95
 
+# Cutoffs, of some 50 bytes each, that may be broadcast.
+FEW = 100_000
+
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words")
 _STRUCT = pa.struct([(m, pa.int64()) for m in MEASURES])
 _CUTOFFS = pa.schema([("stratum", pa.string()), ("rule", pa.string()), ("cutoff", pa.float64()), ("rejected", pa.int64()), ("good", pa.int64())])
@@ -196,11 +199,13 @@ def calibrate(measured: DataFrame, labels: DataFrame, name: str, stratum: str =
 def judge(measured: DataFrame, cutoffs: DataFrame, name: str, kept: str, stratum: str = "lang") -> DataFrame:
     """``measured`` with a boolean column ``kept``: passes the base rule and every cutoff of its stratum.
 
-    The cutoffs are one row per stratum; adaptive execution broadcasts them if they measure small
-    and splits a stratum's rows if not.
+    The cutoffs are a row per stratum and rule, counted here: up to ``FEW`` go to every task, so that
+    documents needn't move; beyond that adaptive execution splits the rows of a large stratum.
     """
     key, cuts = fresh(measured, "stratum"), fresh(measured, "cutoffs")
+    cutoffs = stored(cutoffs, "cutoffs")
     by_stratum = cutoffs.groupBy(F.col("stratum").alias(key)).agg(F.map_from_entries(F.collect_list(F.struct("rule", "cutoff"))).alias(cuts))
+    by_stratum = F.broadcast(by_stratum) if cutoffs.count() <= FEW else by_stratum
     joined_rows = measured.join(by_stratum, measured[stratum].eqNullSafe(by_stratum[key]), "left")
     over = F.lit(False)
     for rule, score in _scores(F.col(name)).items():
