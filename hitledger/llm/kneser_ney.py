@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from hitledger.llm.shared import file_system, folder, prepare, read_file, write_file
+from hitledger.llm.shared import file_system, folder, frugal, prepare, read_file, write_file
 from hitledger.llm.words import find_words, hash_spans, joined, text_slices
 
 START, END = np.uint64(0x51A2F3C4D5E60718), np.uint64(0xE9D8C7B6A5948372)
@@ -319,6 +319,7 @@ def train(docs: DataFrame, order: int = 2, text: str = "text") -> Model:
         raise ValueError("orders 1 to 3 are supported")
     spark = docs.sparkSession
     prepare(spark)
+    frugal(spark)
     docs = docs.select(F.col(text).alias("text"))
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     shards = max(1, -(-size // SHARD_BYTES))

@@ -15,26 +15,30 @@ from hitledger.session import scratch_path
 _ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
-# Large arrays of a worker go back to the system when freed, so that its memory follows what it holds.
+# For the C library's allocator: what a worker frees goes back to the system, so that its memory follows what it holds.
 _BATCH_BYTES = ("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
 _ALLOCATION = {"MALLOC_MMAP_THRESHOLD_": str(1 << 20), "MALLOC_TRIM_THRESHOLD_": str(1 << 20), "MALLOC_ARENA_MAX": "2"}
 
 
 def prepare(spark: SparkSession) -> None:
-    """Let Python workers import this package where it isn't installed, as in a local session, and keep them small.
+    """Let Python workers import this package where it isn't installed, as in a local session.
 
     Batches of rows are bounded by bytes, unless the session says how: texts may be of any length.
     """
     if spark.conf.get(_BATCH_BYTES[0], None) is None:
         spark.conf.set(*_BATCH_BYTES)
     env = spark.sparkContext.environment
-    for name, value in _ALLOCATION.items():
-        env.setdefault(name, value)
     known = env.get("PYTHONPATH", "")
     if _ROOT not in known.split(os.pathsep):
         env["PYTHONPATH"] = os.pathsep.join(filter(None, (_ROOT, known)))
 
 
+def frugal(spark: SparkSession) -> None:
+    """Have workers started from now on return large arrays' memory at once; it costs them some time."""
+    for name, value in _ALLOCATION.items():
+        spark.sparkContext.environment.setdefault(name, value)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     prepare(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
