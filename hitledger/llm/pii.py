@@ -9,13 +9,14 @@ bracketed dots, numbers with other separators or without a plus. Boosted trees j
 format (lengths, groups, checks) and its context (neighbouring characters, cue words, digits near
 by). They learn from the corpus: base spans as they stand and rewritten in the candidates' forms, in
 their own context, are positive; candidates that touch no base span, and base spans with a check
-broken, are negative. Per kind the lowest threshold is used at which an exact binomial bound on the
-learning sample's other half still holds the share of wrong spans under ``WRONG``; with no such
-threshold a kind adds nothing. Added spans overlap neither base spans nor each other; the likelier
-goes first.
+broken, are negative. Per kind the lowest threshold is used at which an exact binomial bound still
+holds the share of wrong spans under ``WRONG``, from the counts of all examples of all held-out
+texts; with no such threshold a kind adds nothing. Added spans overlap neither base spans nor each
+other; the likelier goes first.
 
-The trees learn from at most ``LEARN_ROWS`` examples, chosen by a hash, of which only the features
-reach the driver. Everything else works on every whole text.
+A hash of the text says which half of the texts is held out. The trees learn from at most
+``LEARN_ROWS`` examples of the other half, chosen by a hash, of which only the features reach the
+driver. Everything else works on every whole text.
 
 Nulls and odd input: a null or empty text has no spans; equal rows get equal results; a corpus
 without base spans adds none; no rows give no rows. Matching takes time in proportion to the text,
@@ -47,6 +48,8 @@ LEARN_ROWS = 10_000
 # Of the rows with a digit or an at-sign, how many are looked at for examples.
 LEARN_DOCS = 10_000
 WRONG, ERROR = 0.02, 0.05
+# The thresholds tried, the strictest first.
+STEPS = (0.995, 0.99, 0.98, 0.95, 0.9, 0.85, 0.8)
 
 Span = tuple[int, int, int]  # kind, start, end
 
@@ -255,41 +258,65 @@ class Picker:
 
 
 def learn(docs: DataFrame, text: str = "text") -> Picker:
-    """Fit the trees and calibrate the thresholds."""
+    """Fit the trees on a sample of one half of the texts, calibrate the thresholds on all of the other half."""
     prepare(docs.sparkSession)
     rows = docs.select(F.col(text).alias("text")).where(F.col("text").rlike("[0-9@]"))
-    count = rows.count()
-    share = min(1.0, LEARN_DOCS / max(count, 1))
-    rows = rows.where(F.pmod(F.xxhash64("text", F.lit(5)), F.lit(1 << 30)) < int(share * (1 << 30)))
-    width = len(features(0, "", "", ""))
+    held = F.pmod(F.xxhash64("text", F.lit(9)), F.lit(2)) == 1
+    trees = _fitted(rows.where(~held))
+    return Picker(trees, _calibrated(rows.where(held), trees)) if trees else Picker(None)
+
+
+def _fitted(rows: DataFrame) -> boosting.Trees | None:
+    """Trees of a sample of the texts' examples, or none if all are of one class."""
+    share = min(1.0, LEARN_DOCS / max(rows.count(), 1))
+    sample = rows.where(F.pmod(F.xxhash64("text", F.lit(5)), F.lit(1 << 30)) < int(share * (1 << 30)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [(y, f) for t in batch.column("text").to_pylist() for y, f in examples(t, len(t))]
             yield pa.RecordBatch.from_arrays([pa.array([y for y, _ in found], pa.int32()), pa.array([f for _, f in found], pa.list_(pa.float64()))], names=["y", "x"])
 
-    made = rows.mapInArrow(run, "y int, x array<double>").orderBy(F.xxhash64("x", "y"), "y").limit(LEARN_ROWS).collect()
-    if not made:
-        return Picker(None)
-    y, x = np.array([r.y for r in made], float), np.array([r.x for r in made]).reshape(-1, width)
-    other = np.arange(len(y)) % 2 == 1
-    if not 0 < y[~other].mean() < 1:
-        return Picker(None)
-    trees = boosting.fit(x[~other], y[~other])
-    chances = trees.chances(x[other])
-    return Picker(trees, tuple(threshold(chances[x[other, k] == 1], y[other][x[other, k] == 1]) for k in range(len(KINDS))))
+    made = sample.mapInArrow(run, "y int, x array<double>").orderBy(F.xxhash64("x", "y"), "y").limit(LEARN_ROWS).collect()
+    y, x = np.array([r.y for r in made], float), np.array([r.x for r in made])
+    return boosting.fit(x, y) if made and 0 < y.mean() < 1 else None
+
+
+def _calibrated(rows: DataFrame, trees: boosting.Trees) -> tuple[float, ...]:
+    """A threshold per kind, from all examples of all texts by the strictest step that each reaches."""
+    steps = np.array(STEPS)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [(y, f) for t in batch.column("text").to_pylist() for y, f in examples(t, len(t))]
+            if not found:
+                continue
+            x = np.array([f for _, f in found])
+            step = (trees.chances(x)[:, None] < steps).sum(axis=1)
+            group = np.stack((x[:, : len(KINDS)].argmax(axis=1), step, [y for y, _ in found]), axis=1)[step < len(steps)]
+            group, n = np.unique(group, axis=0, return_counts=True)
+            yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.int32()) for c in group.T.astype(np.int32)), pa.array(n, pa.int64())], names=["kind", "step", "y", "n"])
+
+    count = np.zeros((len(KINDS), len(STEPS), 2), np.int64)
+    for r in rows.mapInArrow(run, "kind int, step int, y int, n long").groupBy("kind", "step", "y").agg(F.sum("n").alias("n")).collect():
+        count[r.kind, r.step, r.y] = r.n
+    return tuple(_lowest([(int(wrong), int(wrong + right)) for wrong, right in c.cumsum(axis=0)]) for c in count)
 
 
 def threshold(chances: np.ndarray, right: np.ndarray) -> float:
-    """The lowest of a fixed series at which the share of wrong ones among those picked is bounded, 2 if none is.
+    """The lowest of ``STEPS`` at which the share of wrong ones among those picked is bounded, 2 if none is."""
+    return _lowest([(int((right[chances >= t] == 0).sum()), int((chances >= t).sum())) for t in STEPS])
+
+
+def _lowest(picked: list[tuple[int, int]]) -> float:
+    """The threshold, from the wrong and all examples picked at each step.
 
     Tested from the strictest; the first failure ends the series, except that the strictest may be
     too few to tell.
     """
     best = 2.0
-    for t in (0.995, 0.99, 0.98, 0.95, 0.9, 0.85, 0.8):
-        n, wrong = int((chances >= t).sum()), int((right[chances >= t] == 0).sum())
-        if n and binomial_tail(wrong, n, WRONG) <= ERROR:
+    for t, (wrong, n) in zip(STEPS, picked):
+        # With a share of WRONG or more, the tail is about a half or more.
+        if n and wrong < WRONG * n and binomial_tail(wrong, n, WRONG) <= ERROR:
             best = t
         elif best < 2:
             break

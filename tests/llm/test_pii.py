@@ -85,6 +85,15 @@ def test_picks_other_forms_and_leaves_clean_texts(spark, corpus):
     assert new[2003] == corpus.where("doc_id = 2003").first().text
 
 
+def test_thresholds_count_all_texts(spark, corpus, monkeypatch):
+    """A kind that is rare per text gets a threshold, however few examples the trees learn from."""
+    monkeypatch.setattr(pii, "LEARN_ROWS", 700)
+    monkeypatch.setattr(pii, "LEARN_DOCS", 600)
+    filler = spark.createDataFrame([(9000 + i, f"code {10**12 + 7919 * i * i} and {i}.{i}.{i + 400}.{i % 9} of {i}") for i in range(6000)], corpus.schema)
+    picker = pii.learn(corpus.unionByName(filler))
+    assert picker.trees is not None and max(picker.thresholds) <= 1
+
+
 def test_query_columns(odd_docs, odd_rows):
     rows = pii.find(odd_docs, pii.Picker(None), "found").collect()
     assert len(rows) == len(odd_rows)
