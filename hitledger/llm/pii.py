@@ -14,7 +14,8 @@ holds the share of wrong spans under ``WRONG``, from the counts of all examples
 texts; with no such threshold a kind adds nothing. Added spans overlap neither base spans nor each
 other; the likelier goes first.
 
-A hash of the text says which half of the texts is held out. The trees learn from at most
+A hash of the text says which half of the texts is held out, so copies are all in one half. Equal
+texts, and a span in the same form and context, count once, in learning and in calibration. The trees learn from at most
 ``LEARN_ROWS`` examples of the other half, chosen by a hash, of which only the features reach the
 driver. Everything else works on every whole text.
 
@@ -194,22 +195,27 @@ def _rewritten(kind: int, value: str, draw: random.Random) -> tuple[str, str]:
     return draw.choice((value.lstrip("+"), f"({digits[-10:-7]}) {digits[-7:-4]}-{digits[-4:]}", "-".join((digits[-10:-7], digits[-7:-4], digits[-4:])))), digits + str(draw.randrange(10, 99))
 
 
-def examples(text: str, seed: int) -> Iterator[tuple[int, list[float]]]:
-    """Labelled feature rows of one text."""
+def _example(y: int, kind: int, value: str, before: str, after: str) -> tuple[int, list[float], int]:
+    key = hashlib.blake2b("\0".join((str(y), str(kind), value, before, after)).encode(errors="surrogatepass"), digest_size=8)
+    return y, features(kind, value, before, after), int.from_bytes(key.digest(), "little", signed=True)
+
+
+def examples(text: str, seed: int) -> Iterator[tuple[int, list[float], int]]:
+    """Labelled feature rows of one text, with a hash of the span in its context by which copies are told."""
     draw = random.Random(seed)
     base = base_spans(text)
     for kind, start, end in base:
         around = _context(text, start, end)
         good, bad = _rewritten(kind, text[start:end], draw)
-        yield 1, features(kind, text[start:end], *around)
-        yield 1, features(kind, good, *around)
-        yield 0, features(kind, bad, *around)
+        yield _example(1, kind, text[start:end], *around)
+        yield _example(1, kind, good, *around)
+        yield _example(0, kind, bad, *around)
     covered = _Cover()
     for _, start, end in sorted(base, key=lambda s: s[1:]):
         covered.add(start, end)
     for kind, start, end in candidates(text):
         if not covered.meets(start, end):
-            yield 0, features(kind, text[start:end], *_context(text, start, end))
+            yield _example(0, kind, text[start:end], *_context(text, start, end))
 
 
 class _Cover:
@@ -268,36 +274,37 @@ def learn(docs: DataFrame, text: str = "text") -> Picker:
 
 def _fitted(rows: DataFrame) -> boosting.Trees | None:
     """Trees of a sample of the texts' examples, or none if all are of one class."""
-    share = min(1.0, LEARN_DOCS / max(rows.count(), 1))
-    sample = rows.where(F.pmod(F.xxhash64("text", F.lit(5)), F.lit(1 << 30)) < int(share * (1 << 30)))
+    count = rows.select(F.xxhash64("text", F.lit(5))).distinct().count()
+    share = min(1.0, LEARN_DOCS / max(count, 1))
+    sample = rows.where(F.pmod(F.xxhash64("text", F.lit(5)), F.lit(1 << 30)) < int(share * (1 << 30))).distinct()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [(y, f) for t in batch.column("text").to_pylist() for y, f in examples(t, len(t))]
-            yield pa.RecordBatch.from_arrays([pa.array([y for y, _ in found], pa.int32()), pa.array([f for _, f in found], pa.list_(pa.float64()))], names=["y", "x"])
+            found = [e for t in batch.column("text").to_pylist() for e in examples(t, len(t))]
+            yield pa.RecordBatch.from_arrays([pa.array([y for y, _, _ in found], pa.int32()), pa.array([x for _, x, _ in found], pa.list_(pa.float64())), pa.array([k for _, _, k in found], pa.int64())], names=["y", "x", "key"])
 
-    made = sample.mapInArrow(run, "y int, x array<double>").orderBy(F.xxhash64("x", "y"), "y").limit(LEARN_ROWS).collect()
+    made = sample.mapInArrow(run, "y int, x array<double>, key long").distinct().orderBy("key").limit(LEARN_ROWS).collect()
     y, x = np.array([r.y for r in made], float), np.array([r.x for r in made])
     return boosting.fit(x, y) if made and 0 < y.mean() < 1 else None
 
 
 def _calibrated(rows: DataFrame, trees: boosting.Trees) -> tuple[float, ...]:
-    """A threshold per kind, from all examples of all texts by the strictest step that each reaches."""
+    """A threshold per kind, from all examples of all texts, copies counted once, by the strictest step that each reaches."""
     steps = np.array(STEPS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [(y, f) for t in batch.column("text").to_pylist() for y, f in examples(t, len(t))]
+            found = [e for t in batch.column("text").to_pylist() for e in examples(t, len(t))]
             if not found:
                 continue
-            x = np.array([f for _, f in found])
+            x = np.array([f for _, f, _ in found])
             step = (trees.chances(x)[:, None] < steps).sum(axis=1)
-            group = np.stack((x[:, : len(KINDS)].argmax(axis=1), step, [y for y, _ in found]), axis=1)[step < len(steps)]
-            group, n = np.unique(group, axis=0, return_counts=True)
-            yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.int32()) for c in group.T.astype(np.int32)), pa.array(n, pa.int64())], names=["kind", "step", "y", "n"])
+            rows = np.stack((x[:, : len(KINDS)].argmax(axis=1), step, [y for y, _, _ in found], [k for _, _, k in found]), axis=1)
+            rows = np.unique(rows[step < len(steps)], axis=0)
+            yield pa.RecordBatch.from_arrays([pa.array(rows[:, i].astype(kind)) for i, kind in enumerate((np.int32, np.int32, np.int32, np.int64))], names=["kind", "step", "y", "key"])
 
     count = np.zeros((len(KINDS), len(STEPS), 2), np.int64)
-    for r in rows.mapInArrow(run, "kind int, step int, y int, n long").groupBy("kind", "step", "y").agg(F.sum("n").alias("n")).collect():
+    for r in rows.mapInArrow(run, "kind int, step int, y int, key long").distinct().groupBy("kind", "step", "y").agg(F.count("*").alias("n")).collect():
         count[r.kind, r.step, r.y] = r.n
     return tuple(_lowest([(int(wrong), int(wrong + right)) for wrong, right in c.cumsum(axis=0)]) for c in count)
 

@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from hitledger.llm import boosting, pii
 
@@ -94,6 +95,15 @@ def test_thresholds_count_all_texts(spark, corpus, monkeypatch):
     assert picker.trees is not None and max(picker.thresholds) <= 1
 
 
+def test_copies_count_once(spark, corpus):
+    """A few texts certify nothing, however often each is repeated."""
+    few = [(9000 + i, f"you may call +1 (415) 555-{1200 + i % 8} today") for i in range(6000)]
+    without = corpus.withColumn("text", F.regexp_replace("text", r"or call \+1 \([0-9]+\) [0-9]+-[0-9]+ ", ""))
+    picker = pii.learn(without.unionByName(spark.createDataFrame(few, corpus.schema)))
+    assert picker.trees is not None and picker.thresholds[0] <= 1
+    assert picker.thresholds[3] == 2.0
+
+
 def test_query_columns(odd_docs, odd_rows):
     rows = pii.find(odd_docs, pii.Picker(None), "found").collect()
     assert len(rows) == len(odd_rows)
