@@ -5,6 +5,10 @@ starts a new piece. A text may therefore be cut before any run of white space an
 unit, with the ids of the whole. Units are found and told apart as hashes of a buffer of texts; a
 worker keeps the ids of those it has met (at most ``KEPT`` units, then it starts anew) and passes
 only new ones to the library.
+
+The ids of the operators are those of the library's default call: a special token's text in a
+document, such as ``<|endoftext|>``, gets that token's id. Added tokens lie within a unit unless they
+hold white space or take it in from beside them; a tokenizer with such ones is given whole texts.
 """
 
 from __future__ import annotations
@@ -40,12 +44,17 @@ def find_units(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
 
 
 class Encoder:
-    """Encodes buffers of texts; one per worker and tokenizer file."""
+    """Encodes buffers of texts; one per worker and tokenizer file.
+
+    ``special``: the text of a special token stands for that token, as by the library's default;
+    otherwise it is encoded like any other text.
+    """
 
-    def __init__(self, path: str) -> None:
+    def __init__(self, path: str, special: bool = False) -> None:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark runs a worker per core
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = not special
+        self.whole = any(t.lstrip or t.rstrip or any(map(str.isspace, t.content)) for t in self.tokenizer.get_added_tokens_decoder().values())
         self._forget()
 
     def _forget(self) -> None:
@@ -55,6 +64,10 @@ class Encoder:
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts end to end, and how many each text has."""
+        if self.whole:
+            raw, bounds = data.tobytes(), offsets.tolist()
+            found = [x.ids for x in self.tokenizer.encode_batch([raw[a:b].decode() for a, b in zip(bounds, bounds[1:])], add_special_tokens=False)]
+            return np.array([i for x in found for i in x], np.uint32), np.array([len(x) for x in found], np.int64)
         starts, count = find_units(data, offsets)
         if not len(starts):
             return np.zeros(0, np.uint32), np.zeros(len(offsets) - 1, np.int64)
@@ -119,7 +132,7 @@ _encoders: dict[str, Encoder] = {}
 
 
 def encoder(path: str) -> Encoder:
-    """The worker's encoder for a tokenizer file."""
+    """The worker's encoder for a tokenizer file, with the ids of the library's default."""
     if path not in _encoders:
-        _encoders[path] = Encoder(path)
+        _encoders[path] = Encoder(path, special=True)
     return _encoders[path]

@@ -1,5 +1,6 @@
 """Token ids, grammar files and packing: against the library, exact round trips and plain DP."""
 
+import functools
 import os
 import zlib
 
@@ -9,10 +10,10 @@ import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
-from tokenizers import Tokenizer
+from tokenizers import AddedToken, Tokenizer
 
 from hitledger.llm import grammar, packing
-from hitledger.llm.token_ids import Encoder
+from hitledger.llm.token_ids import Encoder, encoder
 from hitledger.llm.words import text_slices
 
 FILES = ["byte_bpe_50k.json", "word_bpe_49k.json"]
@@ -44,6 +45,54 @@ def test_ids_are_the_librarys(name, texts):
     assert got == want
 
 
+SPECIAL = ["<|endoftext|>", "<|startoftext|>", "<|END", "oftext|>", " ", "  ", "\n", "a", " b", "é", "\u3000", "ΑΣ", "'s", "<|", "12"]
+
+
+unchanged = functools.cache(Tokenizer.from_file)
+
+
+def library(texts, path):
+    return [x.ids for x in unchanged(path).encode_batch(texts, add_special_tokens=False)]
+
+
+def split_ids(ours, texts):
+    got = []
+    for _, _, data, offsets in text_slices(pa.array(texts, pa.string()), limit=40):
+        ids, count = ours.encode(data, offsets)
+        got += [x.tolist() for x in np.split(ids, np.cumsum(count)[:-1])]
+    return got
+
+
+@pytest.mark.parametrize("name", FILES)
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.lists(st.sampled_from(SPECIAL), max_size=12).map("".join), min_size=1, max_size=4))
+def test_special_tokens_are_the_librarys(name, texts):
+    path = public_tokenizers.path(name)
+    assert split_ids(encoder(path), texts) == library(texts, path)
+
+
+@pytest.mark.parametrize("name", FILES)
+def test_added_tokens_that_take_in_space(name, tmp_path):
+    plain = Tokenizer.from_file(public_tokenizers.path(name))
+    plain.add_tokens([AddedToken("<two words>", normalized=False), AddedToken("<r>", rstrip=True, lstrip=True, normalized=False)])
+    path = str(tmp_path / name)
+    plain.save(path)
+    texts = ["a <two words> b", "a  <r>  b\n", "", "plain words"]
+    assert split_ids(encoder(path), texts) == library(texts, path)
+
+
+def test_special_tokens_in_pieces_and_shards(spark):
+    rows = [(1, "a <|endoftext|> b"), (2, "<|startoftext|>x<|endoftext|>"), (3, "c")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for name, end, made in (
+        (FILES[0], 0, lambda path: grammar.read_shards(grammar.write_shards(docs, path, end_id=0)).collect()),
+        (FILES[1], 2, lambda path: packing.pack(docs, path, end_id=2, width=1024).collect()),
+    ):
+        path = public_tokenizers.path(name)
+        want = {(d, crc(ids + [end])) for (d, _), ids in zip(rows, library([t for _, t in rows], path))}
+        assert {(r.doc_id, r.ids_crc32) for r in made(path)} == want
+
+
 @settings(max_examples=100, deadline=None)
 @given(st.lists(st.lists(st.integers(0, 3), min_size=1, max_size=60), min_size=1, max_size=30))
 def test_grammar_round_trip(docs):
