@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hitledger.llm import grammar, html_text, kneser_ney, mixing, near_dup, packing, pii, quality, sharding, topk
+from hitledger.llm import fill_middle, grammar, html_text, kneser_ney, mixing, near_dup, packing, pii, quality, sharding, topk
 from hitledger.llm.shared import stored, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -131,3 +131,40 @@ def op6_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The visible text of every page, its lines and its words."""
     rows = html_text.extract(table(spark, sf_dir, "pages"), "html", "text")
     return rows.select("page_id", "url", "text", F.size(F.split("text", "\n")).cast("long").alias("n_lines"), mixing.word_count("text").alias("n_words"))
+
+
+@_register
+def op11_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Forms of all texts: digests of the outputs and of the texts rebuilt from them."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    rows = fill_middle.fill_middle(docs, "fim").select("doc_id", "fim.*")
+    digests = [F.sha2(F.col("output"), 256).alias("output_sha256"), F.sha2(fill_middle.restored(F.col("output"), F.col("form")), 256).alias("restored_sha256")]
+    return rows.select("doc_id", "n", "form", "prefix_chars", "middle_chars", *digests)
+
+
+ORACLE_SQL["op11_fill_middle"] = r"""
+WITH units AS (
+  SELECT doc_id, coalesce(text, '') AS text, sha256('42:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h,
+    regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS u
+  FROM documents
+),
+hashed AS (
+  SELECT *, CAST(len(u) AS BIGINT) AS n, CAST('0x' || substr(h, 1, 8) AS BIGINT) AS h1, CAST('0x' || substr(h, 9, 8) AS BIGINT) AS h2,
+    CAST('0x' || substr(h, 17, 8) AS BIGINT) AS h3, CAST('0x' || substr(h, 25, 8) AS BIGINT) AS h4
+  FROM units
+),
+cut AS (
+  SELECT *, CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 % 100 >= 50 THEN 'plain'
+      WHEN h4 % 100 < 80 THEN 'spm' ELSE 'psm' END AS form,
+    least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b
+  FROM hashed
+),
+parts AS (
+  SELECT doc_id, text, n, form, array_to_string(u[1:a], '') AS p, array_to_string(u[a + 1:b], '') AS m, array_to_string(u[b + 1:], '') AS s FROM cut
+)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN CAST(length(p) AS BIGINT) END AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN CAST(length(m) AS BIGINT) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+  sha256(text) AS restored_sha256
+FROM parts
+"""

@@ -65,7 +65,6 @@ def test_stages(spark, sf_dir):
     assert all(abs(taken[s] - t) <= 0.5 for s, t in goal.items()) and max(copies.values()) <= 4
 
     plain = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
-    plain.encode_special_tokens = True
     left = Counter()
     for r in pieces:
         left[(r.doc_id, r.doc_tokens, r.start, r.length, r.ids_crc32)] += 1
