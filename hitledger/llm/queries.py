@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hitledger.llm import fill_middle, grammar, html_text, kneser_ney, mixing, near_dup, packing, pii, quality, sharding, topk
+from hitledger.llm import fill_middle, grammar, html_text, kneser_ney, mixing, near_dup, packing, pii, quality, sharding, topk, url_filter
 from hitledger.llm.shared import stored, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -168,3 +168,15 @@ SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN CAST(length(p) AS BIGINT)
   sha256(text) AS restored_sha256
 FROM parts
 """
+
+
+# Host, start of the path and verdict of each rule.
+URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
+
+
+@_register
+def op13_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(table(spark, sf_dir, "pages"), URL_RULES)
+
+
+ORACLE_SQL["op13_url_filter"] = url_filter.judge_sql(URL_RULES)
