@@ -108,8 +108,10 @@ def urls(n):
     draw = random.Random(n)
     for i in range(n):
         good = draw.random() < 0.5
-        host = f"{draw.choice(('news', 'books', 'paper') if good else ('pills', 'bets', 'casino'))}{draw.randrange(50)}.{draw.choice(('example.net', 'example.org', 'example.com'))}"
-        lang = draw.choice(("en", "fr")) if good else draw.choice(("de", "xx"))
+        top = draw.choice(("net", "org", "com"))
+        host = f"{draw.choice(('news', 'books', 'paper') if good else ('pills', 'bets', 'casino'))}{draw.randrange(50)}.example.{top}"
+        # The rules reject all of net but its pages in English.
+        lang = draw.choice(("en", "fr" if top != "net" else "en")) if good else draw.choice(("de", "xx"))
         yield i, f"https://{host}/{lang}/{draw.randrange(10**draw.randrange(1, 5))}"
 
 
