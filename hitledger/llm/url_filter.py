@@ -15,8 +15,9 @@ and one of rejected URLs, each a variable-order Markov model of up to ``ORDER``
 3. Scores are whole millionths, so that sums don't depend on their order. A URL's score is divided by
    its characters and put into steps of 0.01.
 4. The cutoff is the step with the smallest sum of both classes' error rates over *all* calibration
-   URLs, counted in steps; of equals the lowest, which rejects least. Without URLs of both classes on
-   both sides everything that no rule fits is accepted.
+   URLs, counted in steps; of equals the lowest, which rejects least, and of the steps between two that
+   have URLs the middle. Without URLs of both classes on both sides everything that no rule fits is
+   accepted.
 
 Only the models are fitted on a bounded sample: about ``TRAIN_URLS`` different URLs a class, chosen by
 hash. The model table is counted and broadcast up to ``BROADCAST_ROWS`` strings; beyond that the same
@@ -157,13 +158,13 @@ def cutoff(scored: DataFrame) -> int | None:
     good, bad = sum(s[1] for s in steps), sum(s[2] for s in steps)
     if not good or not bad:
         return None
-    best, lost, passed = None, 0, bad
+    best, lost, passed, before = None, 0, bad, steps[0][0]
     for step, a, r in [*steps, (steps[-1][0] + 1, 0, 0)]:
         # Both rates over their common denominator.
         wrong = lost * bad + passed * good
         if best is None or wrong < best[0]:
-            best = wrong, step
-        lost, passed = lost + a, passed - r
+            best = wrong, (before + step + 1) // 2
+        lost, passed, before = lost + a, passed - r, step
     return best[1]
 
 
@@ -274,7 +275,7 @@ def judge_sql(rules: Sequence[Rule], order: int = ORDER, train_urls: int = TRAIN
 )""",
         f"""lowest AS (
   SELECT CASE WHEN (SELECT count(*) FROM sides) = 2 AND (SELECT sum(a) > 0 AND sum(r) > 0 FROM held)
-    THEN (SELECT step FROM errors ORDER BY wrong, step LIMIT 1) ELSE -{MOST_STEPS} END AS step
+    THEN (SELECT CAST(floor((coalesce(before, step) + step + 1) / 2.0) AS BIGINT) FROM (SELECT *, lag(step) OVER (ORDER BY step) AS before FROM errors) ORDER BY wrong, step LIMIT 1) ELSE -{MOST_STEPS} END AS step
 )""",
     ]
     return (
