@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hitledger.llm import fill_middle, grammar, html_text, kneser_ney, mixing, near_dup, packing, pii, quality, sharding, topk, url_filter
+from hitledger.llm import divergence, fill_middle, grammar, html_text, kneser_ney, mixing, near_dup, packing, pii, quality, sharding, topk, url_filter
 from hitledger.llm.shared import stored, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -170,6 +170,47 @@ FROM parts
 """
 
 
+@_register
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
+ORACLE_SQL["op12_source_divergence"] = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS doc, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w
+  FROM documents
+),
+words AS (SELECT doc, lang, source, unnest(w) AS term FROM docs),
+kept AS (SELECT lang, term, CAST(count(*) AS HUGEINT) AS n FROM words GROUP BY lang, term HAVING count(DISTINCT doc) >= 3),
+langs AS (SELECT lang, sum(n) AS n, CAST(count(*) AS HUGEINT) AS v FROM kept GROUP BY lang),
+sources AS (SELECT DISTINCT lang, source FROM docs),
+counts AS (SELECT lang, source, term, count(*) AS n FROM words GROUP BY lang, source, term),
+dense AS (
+  SELECT lang, source, term, kept.n AS lang_n, CAST(coalesce(counts.n, 0) AS HUGEINT) AS n
+  FROM sources JOIN kept USING (lang) LEFT JOIN counts USING (lang, source, term)
+),
+totals AS (SELECT lang, source, CAST(sum(n) AS HUGEINT) AS total FROM dense GROUP BY lang, source),
+shares AS (
+  SELECT lang, source, term, dense.n, 1 + (1000000000 * (dense.n + 1)) // (total + v) AS p, 1 + (1000000000 * (lang_n + 1)) // (langs.n + v) AS q
+  FROM dense JOIN totals USING (lang, source) JOIN langs USING (lang)
+),
+pairs AS (
+  SELECT a.lang, a.source, b.source AS item, coalesce((
+    SELECT sum(((x.p - y.p) * (x.p - y.p)) // y.p) FROM shares x JOIN shares y ON x.term = y.term
+    WHERE x.lang = a.lang AND x.source = a.source AND y.lang = a.lang AND y.source = b.source), 0) AS value
+  FROM sources a JOIN sources b ON a.lang = b.lang AND a.source <> b.source
+),
+terms AS (SELECT lang, source, term AS item, ((p - q) * (p - q)) // q AS value FROM shares WHERE n > 0 AND p > q),
+ranked AS (
+  SELECT 'pair' AS part, *, row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item) AS rank FROM pairs
+  UNION ALL
+  SELECT 'term' AS part, *, row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item) AS rank FROM terms
+)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank FROM ranked WHERE part = 'pair' OR rank <= 200
+"""
+
+
 # Host, start of the path and verdict of each rule.
 URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
 
