@@ -278,8 +278,8 @@ def audit(docs: DataFrame, least: int = LEAST_DOCS, top: int = TOP_TERMS, lang:
     levels = rows.groupBy("lang", "source", "p", "p0").agg(F.count("*").alias("m")).join(other, "lang").where("source <> item")
     forth = f"m * ({distance('p', 'q0')} - {distance('p0', 'q0')})"
     back = f"m * ({distance('q0', 'p')} - {distance('q0', 'p0')})"
-    alone = levels.selectExpr("lang", f"inline(array(struct(source, item, CAST({forth} AS DECIMAL(38,0)) AS value), struct(item, source, CAST({back} AS DECIMAL(38,0)) AS value)))")
-    alone = alone.toDF("lang", "source", "item", "value")
+    both_ways = f"struct(source, item, CAST({forth} AS DECIMAL(38,0)) AS value), struct(item AS source, source AS item, CAST({back} AS DECIMAL(38,0)) AS value)"
+    alone = levels.selectExpr("lang", f"inline(array({both_ways}))")
     sorted_rows = rows.select("lang", "source", "term", "p", "p0").repartition("lang", "term").sortWithinPartitions("lang", "term")
     shared = sorted_rows.mapInArrow(corrections, "lang string, source string, item string, value long")
     shared = shared.withColumn("value", F.col("value").cast("decimal(38,0)"))
