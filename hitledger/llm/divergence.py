@@ -2,11 +2,12 @@
 
 1. *Index in one pass* (:func:`index_runs`): a task counts the terms of its texts per (lang, source)
    in memory, occurrences and documents. When a block is full (``BLOCK_TERMS`` entries or
-   ``BLOCK_BYTES`` of text) it is spilled as runs: per group and hash shard, the terms in order with
-   their counts, packed in one row. The hash takes group and term, so a common term's groups go to
-   different shards and what meets is one entry per block.
-2. *Merge* (:func:`frequencies`): each shard merges the runs of a group by a heap into one row per
-   term. There is a shard per ``SHARD_BYTES`` of text, so that a shard stays small at any size.
+   ``BLOCK_BYTES`` of text) it is spilled as a run: per group, the terms in order and their counts,
+   packed into some fifteen bytes a term. At the task's end, or when its runs reach ``RUN_BYTES``,
+   they are merged by a heap, and each group's terms go out in order, once.
+2. *Merge* (:func:`frequencies`): what tasks send is dealt by a hash of group and term and summed in
+   each hash shard, so that a common term's groups go to different shards and what meets is one row
+   per merge.
 3. Terms in at least ``least`` documents of their language are kept. A group, or a language, gives
    each kept term ``p = 1 + floor(10^9 (count + 1) / (N + V))``.
 4. Divergence of group p from q over all kept terms is the sum of ``floor((p - q)^2 / q)``. Terms that
@@ -28,10 +29,9 @@ No rows give no rows. Only the three columns are read, so others can't clash.
 from __future__ import annotations
 
 import heapq
-import zlib
 from collections import Counter
 from collections.abc import Iterator
-from itertools import groupby
+from itertools import groupby, islice
 from operator import itemgetter
 
 import numpy as np
@@ -42,7 +42,8 @@ from pyspark.sql import functions as F
 from hitledger.llm.shared import prepare, stored
 
 BLOCK_TERMS, BLOCK_BYTES = 200_000, 64 << 20
-SHARD_BYTES = 16 << 20
+# Packed runs that a task holds, and rows that it sends at once.
+RUN_BYTES, BATCH = 64 << 20, 50_000
 # Bytes of text whose words are listed at once.
 PIECE = 1 << 20
 # Sums of pairs that a task holds.
@@ -53,9 +54,9 @@ LEAST_DOCS, TOP_TERMS = 3, 200
 # Letters as they are counted, everything else as a blank: A-Z fold to a-z, bytes of other characters stay.
 _FOLD = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
 
-_RUN = pa.schema([("shard", pa.int32()), ("lang", pa.string()), ("source", pa.string()), ("terms", pa.binary()), ("counts", pa.binary())])
-_RUN_DDL = "shard int, lang string, source string, terms binary, counts binary"
-_FREQUENCY = pa.schema([("lang", pa.string()), ("source", pa.string()), ("term", pa.string()), ("count", pa.int64()), ("docs", pa.int64())])
+_RUN = pa.schema([("lang", pa.string()), ("source", pa.string()), ("term", pa.string()), ("count", pa.int64()), ("docs", pa.int64())])
+
+Group = tuple[str, str]
 
 
 def _pieces(raw: bytes) -> Iterator[list[bytes]]:
@@ -72,66 +73,47 @@ def _pieces(raw: bytes) -> Iterator[list[bytes]]:
 class Block:
     """Postings of a part of the texts: per group, occurrences and documents of each term."""
 
-    def __init__(self, shards: int):
-        self.shards = shards
-        self.clear()
-
-    def clear(self) -> None:
-        self.groups: dict[tuple[str, str], tuple[Counter, Counter]] = {}
+    def __init__(self):
+        self.groups: dict[Group, tuple[Counter, Counter]] = {}
         self.entries = self.bytes = 0
 
     def full(self) -> bool:
         return self.entries >= BLOCK_TERMS or self.bytes >= BLOCK_BYTES
 
-    def add(self, group: tuple[str, str], terms: list[bytes], new: set[bytes]) -> None:
+    def add(self, group: Group, terms: list[bytes], new: set[bytes]) -> None:
+        """Terms of a text, and those of them that the text had not shown before."""
         counts, docs = self.groups.setdefault(group, (Counter(), Counter()))
-        before = len(counts)
+        before = len(docs)
         counts.update(terms)
         docs.update(new)
-        self.entries += len(counts) - before
-
-    def runs(self) -> Iterator[pa.RecordBatch]:
-        for (lang, source), (counts, docs) in self.groups.items():
-            seed = zlib.crc32(f"{lang}\0{source}".encode())
-            terms = sorted(docs)
-            shard = np.fromiter((zlib.crc32(t, seed) % self.shards for t in terms), np.int32, len(terms))
-            order = np.argsort(shard, kind="stable")
-            numbers = np.array([[counts[t] for t in terms], [docs[t] for t in terms]], np.int64)
-            rows = []
-            for part in np.split(order, np.flatnonzero(np.diff(shard[order])) + 1):
-                rows.append((int(shard[part[0]]), lang, source, b" ".join([terms[i] for i in part]), numbers[:, part].tobytes()))
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), _RUN)], schema=_RUN)
-
-
-def _index(shards: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block = Block(shards)
-        for batch in batches:
-            for lang, source, text in zip(*(batch.column(c) for c in range(3))):
-                group = lang.as_py(), source.as_py()
-                # The empty term stands for the group itself, in every block that has a document of it.
-                seen: set[bytes] = set()
-                block.add(group, [], {b""})
-                raw = text.as_buffer()
-                for terms in _pieces(raw.to_pybytes() if raw is not None else b""):
-                    new = set(terms) - seen
-                    block.add(group, terms, new)
-                    block.bytes += sum(map(len, terms))
-                    seen |= new
-                    if block.full():
-                        yield from block.runs()
-                        block.clear()
-        yield from block.runs()
-
-    return run
+        self.entries += len(docs) - before
+        self.bytes += sum(map(len, terms))
 
 
-def index_runs(docs: DataFrame, lang: str = "lang", source: str = "source", text: str = "text") -> DataFrame:
-    """Runs of the texts' terms: ``shard, lang, source, terms, counts``, the terms of a row in order."""
-    prepare(docs.sparkSession)
-    size = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
-    texts = docs.select(*(F.coalesce(c, F.lit("")).alias(name) for c, name in ((lang, "lang"), (source, "source"), (text, "text"))))
-    return texts.mapInArrow(_index(max(1, -(-size // SHARD_BYTES))), _RUN_DDL)
+class Runs:
+    """Term-sorted runs of a task's blocks, packed."""
+
+    def __init__(self):
+        self.packed: dict[Group, list[tuple[bytes, bytes]]] = {}
+        self.bytes = 0
+
+    def spill(self, block: Block) -> None:
+        for group, (counts, docs) in block.groups.items():
+            terms = sorted(counts.keys() | docs.keys())
+            numbers = np.array([[counts[t] for t in terms], [docs[t] for t in terms]], np.int64)
+            run = b" ".join(terms), numbers.tobytes()
+            self.packed.setdefault(group, []).append(run)
+            self.bytes += sum(map(len, run))
+
+    def merged(self) -> Iterator[pa.RecordBatch]:
+        """All runs as one row per group and term, each group's in order."""
+        for (lang, source), runs in self.packed.items():
+            entries = heapq.merge(*(_entries(*run) for run in runs)) if len(runs) > 1 else _entries(*runs[0])
+            sums = ((term, *map(sum, zip(*(e[1:] for e in same)))) for term, same in groupby(entries, itemgetter(0))) if len(runs) > 1 else entries
+            while rows := list(islice(sums, BATCH)):
+                terms, counts, docs = zip(*rows)
+                names = [pa.array([name] * len(rows), pa.string()) for name in (lang, source)]
+                yield pa.RecordBatch.from_arrays([*names, pa.array(terms, pa.binary()).cast(pa.string()), pa.array(counts), pa.array(docs)], schema=_RUN)
 
 
 def _entries(terms: bytes, counts: bytes) -> Iterator[tuple[bytes, int, int]]:
@@ -139,33 +121,41 @@ def _entries(terms: bytes, counts: bytes) -> Iterator[tuple[bytes, int, int]]:
     return zip(terms.split(b" "), *numbers)
 
 
-def merge(shard: pa.Table) -> pa.Table:
-    """All runs of a shard as one row per group and term."""
-    runs: dict[tuple[str, str], list[tuple[bytes, bytes]]] = {}
-    for lang, source, terms, counts in zip(*(shard.column(c).to_pylist() for c in ("lang", "source", "terms", "counts"))):
-        runs.setdefault((lang, source), []).append((terms, counts))
-    tables = []
-    for (lang, source), parts in runs.items():
-        names, numbers = [], []
-        for term, entries in groupby(heapq.merge(*(_entries(*p) for p in parts)), itemgetter(0)):
-            occurs = docs = 0
-            for _, n, d in entries:
-                occurs += n
-                docs += d
-            names.append(term)
-            numbers.append((occurs, docs))
-        n = len(names)
-        numbers = np.array(numbers, np.int64)
-        own = [pa.array([lang]).take(pa.array(np.zeros(n, np.int32))), pa.array([source]).take(pa.array(np.zeros(n, np.int32)))]
-        columns = [*own, pa.array(names, pa.binary()).cast(pa.string()), pa.array(numbers[:, 0]), pa.array(numbers[:, 1])]
-        tables.append(pa.Table.from_arrays(columns, schema=_FREQUENCY))
-    return pa.concat_tables(tables) if tables else _FREQUENCY.empty_table()
+def _index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    block, runs = Block(), Runs()
+    for batch in batches:
+        for lang, source, text in zip(*(batch.column(c) for c in range(3))):
+            group = lang.as_py(), source.as_py()
+            # The empty term stands for the group itself.
+            block.add(group, [], {b""})
+            seen: set[bytes] = set()
+            raw = text.as_buffer()
+            for terms in _pieces(raw.to_pybytes() if raw is not None else b""):
+                new = set(terms) - seen
+                block.add(group, terms, new)
+                seen |= new
+                if block.full():
+                    runs.spill(block)
+                    block = Block()
+                    if runs.bytes >= RUN_BYTES:
+                        yield from runs.merged()
+                        runs = Runs()
+    runs.spill(block)
+    yield from runs.merged()
+
+
+def index_runs(docs: DataFrame, lang: str = "lang", source: str = "source", text: str = "text") -> DataFrame:
+    """Merged runs of the texts' terms: ``lang, source, term, count, docs``, a task's terms of a group in order."""
+    prepare(docs.sparkSession)
+    texts = docs.select(*(F.coalesce(c, F.lit("")).alias(name) for c, name in ((lang, "lang"), (source, "source"), (text, "text"))))
+    return texts.mapInArrow(_index, "lang string, source string, term string, count long, docs long")
 
 
 def frequencies(docs: DataFrame, lang: str = "lang", source: str = "source", text: str = "text") -> DataFrame:
     """``lang, source, term, count, docs``: a row per group and term, and one with the empty term per group."""
-    runs = index_runs(docs, lang, source, text)
-    return runs.groupBy("shard").applyInArrow(merge, "lang string, source string, term string, count long, docs long")
+    # Dealt before they are summed: a task has each group and term once, so summing there first would be in vain.
+    runs = index_runs(docs, lang, source, text).repartition("lang", "source", "term")
+    return runs.groupBy("lang", "source", "term").agg(F.sum("count").alias("count"), F.sum("docs").alias("docs"))
 
 
 def share(count: str, total: str, terms: str) -> Column:

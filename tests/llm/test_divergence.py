@@ -9,7 +9,7 @@ import pytest
 from conftest import prose
 
 from hitledger.llm import divergence
-from hitledger.llm.divergence import Block, audit, corrections, frequencies, index_runs, merge
+from hitledger.llm.divergence import audit, corrections
 
 TERM = re.compile(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+")
 
@@ -56,7 +56,7 @@ def made(n, seed):
         yield lang, source, " ".join(draw.choice(vocabulary[: draw.choice((10, 40, 90))]) for _ in range(draw.randrange(30)))
 
 
-@pytest.mark.parametrize("bounds", [{}, {"BLOCK_TERMS": 7, "SHARD_BYTES": 500, "PIECE": 20, "PAIRS": 2}, {"BLOCK_BYTES": 100}])
+@pytest.mark.parametrize("bounds", [{}, {"BLOCK_TERMS": 7, "RUN_BYTES": 500, "PIECE": 20, "PAIRS": 2, "BATCH": 3}, {"BLOCK_BYTES": 100}])
 def test_many_small_blocks_give_the_same(spark, monkeypatch, bounds):
     for name, value in bounds.items():
         monkeypatch.setattr(divergence, name, value)
@@ -75,36 +75,36 @@ def test_no_rows(no_docs):
     assert audit(no_docs).collect() == []
 
 
-def test_runs_are_in_order_and_merge_to_the_counts(spark, monkeypatch):
+@pytest.mark.parametrize("run_bytes", [1, 10**9])
+def test_runs_are_in_order_and_merge_to_the_counts(monkeypatch, run_bytes):
     monkeypatch.setattr(divergence, "BLOCK_TERMS", 50)
-    monkeypatch.setattr(divergence, "SHARD_BYTES", 2000)
-    rows = list(made(200, 2))
-    docs = spark.createDataFrame(rows, "lang string, source string, text string").repartition(3)
-    runs = index_runs(docs).collect()
-    assert len({r.shard for r in runs}) > 3
-    for r in runs:
-        terms = bytes(r.terms).split(b" ")
-        assert terms == sorted(set(terms)) and len(r.counts) == 16 * len(terms)
-    found = {(r.lang, r.source, r.term): (r["count"], r.docs) for r in frequencies(docs).collect()}
+    monkeypatch.setattr(divergence, "RUN_BYTES", run_bytes)
+    rows = [(lang or "", source or "", text) for lang, source, text in made(200, 2)]
+    batch = pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows)], names=["lang", "source", "text"])
+    out = [r for b in divergence._index(iter([batch])) for r in b.to_pylist()]
+    found = defaultdict(lambda: [0, 0])
+    for r in out:
+        found[r["lang"], r["source"], r["term"]][0] += r["count"]
+        found[r["lang"], r["source"], r["term"]][1] += r["docs"]
+    assert len(out) == len(found) if run_bytes > 1 else len(out) > len(found)
+    if run_bytes > 1:
+        keys = [(r["lang"], r["source"], r["term"].encode()) for r in out]
+        assert all(a < b for a, b in zip(keys, keys[1:]) if a[:2] == b[:2])
     want = defaultdict(lambda: [0, 0])
     for lang, source, text in rows:
+        want[lang, source, ""][1] += 1
         for t, n in Counter(terms_of(text)).items():
-            want[lang or "", source or "", t][0] += n
-            want[lang or "", source or "", t][1] += 1
-    assert {k: v for k, v in found.items() if k[2]} == {k: tuple(v) for k, v in want.items()}
-    assert {k[:2] for k in found if not k[2]} == {(a or "", b or "") for a, b, _ in rows}
-
-
-def test_a_long_text_is_one_document():
-    text = prose(3, 60_000).encode()
-    block, seen = Block(1), set()
-    for terms in divergence._pieces(text * 4):
-        block.add(("en", "s"), terms, set(terms) - seen)
-        seen |= set(terms)
-    (run,) = block.runs()
-    rows = merge(pa.Table.from_batches([run])).to_pylist()
-    want = Counter(terms_of((text * 4).decode()))
-    assert {r["term"]: (r["count"], r["docs"]) for r in rows} == {t: (n, 1) for t, n in want.items()}
+            want[lang, source, t][0] += n
+            want[lang, source, t][1] += 1
+    assert found == want
+
+
+def test_a_long_text_is_one_document(monkeypatch):
+    monkeypatch.setattr(divergence, "BLOCK_TERMS", 100)
+    text = prose(3, 60_000) * 4
+    batch = pa.RecordBatch.from_arrays([pa.array([x]) for x in ("en", "s", text)], names=["lang", "source", "text"])
+    rows = [r for b in divergence._index(iter([batch])) for r in b.to_pylist()]
+    assert {r["term"]: (r["count"], r["docs"]) for r in rows if r["term"]} == {t: (n, 1) for t, n in Counter(terms_of(text)).items()}
 
 
 @pytest.mark.parametrize("size", [1, 3, 1000])
