@@ -30,9 +30,8 @@ from __future__ import annotations
 
 import heapq
 from collections import Counter
-from collections.abc import Iterator
-from itertools import groupby, islice
-from operator import itemgetter
+from collections.abc import Iterator, Set
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -41,7 +40,7 @@ from pyspark.sql import functions as F
 
 from hitledger.llm.shared import prepare, stored
 
-BLOCK_TERMS, BLOCK_BYTES = 200_000, 64 << 20
+BLOCK_TERMS, BLOCK_BYTES = 400_000, 64 << 20
 # Packed runs that a task holds, and rows that it sends at once.
 RUN_BYTES, BATCH = 64 << 20, 50_000
 # Bytes of text whose words are listed at once.
@@ -58,6 +57,9 @@ _RUN = pa.schema([("lang", pa.string()), ("source", pa.string()), ("term", pa.st
 
 Group = tuple[str, str]
 
+# One document beside the occurrences, of which a block has fewer.
+_DOCUMENT = 1 << 40
+
 
 def _pieces(raw: bytes) -> Iterator[list[bytes]]:
     """The terms of a text, some at a time."""
@@ -71,22 +73,26 @@ def _pieces(raw: bytes) -> Iterator[list[bytes]]:
 
 
 class Block:
-    """Postings of a part of the texts: per group, occurrences and documents of each term."""
+    """Postings of a part of the texts: per group and term, documents and occurrences in one number."""
 
     def __init__(self):
-        self.groups: dict[Group, tuple[Counter, Counter]] = {}
+        self.groups: dict[Group, dict[bytes, int]] = {}
         self.entries = self.bytes = 0
 
     def full(self) -> bool:
         return self.entries >= BLOCK_TERMS or self.bytes >= BLOCK_BYTES
 
-    def add(self, group: Group, terms: list[bytes], new: set[bytes]) -> None:
-        """Terms of a text, and those of them that the text had not shown before."""
-        counts, docs = self.groups.setdefault(group, (Counter(), Counter()))
-        before = len(docs)
-        counts.update(terms)
-        docs.update(new)
-        self.entries += len(docs) - before
+    def add(self, group: Group, terms: Counter, seen: Set[bytes] = frozenset()) -> None:
+        """Terms of a text, of which it has shown ``seen`` before."""
+        held = self.groups.setdefault(group, {})
+        before, get = len(held), held.get
+        if seen:
+            for term, n in terms.items():
+                held[term] = get(term, 0) + n + (0 if term in seen else _DOCUMENT)
+        else:
+            for term, n in terms.items():
+                held[term] = get(term, 0) + n + _DOCUMENT
+        self.entries += len(held) - before
         self.bytes += sum(map(len, terms))
 
 
@@ -98,21 +104,20 @@ class Runs:
         self.bytes = 0
 
     def spill(self, block: Block) -> None:
-        for group, (counts, docs) in block.groups.items():
-            terms = sorted(counts.keys() | docs.keys())
-            numbers = np.array([[counts[t] for t in terms], [docs[t] for t in terms]], np.int64)
-            run = b" ".join(terms), numbers.tobytes()
+        for group, held in block.groups.items():
+            terms = sorted(held)
+            both = np.fromiter(map(held.__getitem__, terms), np.int64, len(terms))
+            run = b" ".join(terms), np.stack([both % _DOCUMENT, both // _DOCUMENT]).tobytes()
             self.packed.setdefault(group, []).append(run)
             self.bytes += sum(map(len, run))
 
     def merged(self) -> Iterator[pa.RecordBatch]:
         """All runs as one row per group and term, each group's in order."""
         for (lang, source), runs in self.packed.items():
-            entries = heapq.merge(*(_entries(*run) for run in runs)) if len(runs) > 1 else _entries(*runs[0])
-            sums = ((term, *map(sum, zip(*(e[1:] for e in same)))) for term, same in groupby(entries, itemgetter(0))) if len(runs) > 1 else entries
-            while rows := list(islice(sums, BATCH)):
+            entries = _summed(heapq.merge(*(_entries(*run) for run in runs))) if len(runs) > 1 else _entries(*runs[0])
+            while rows := list(islice(entries, BATCH)):
                 terms, counts, docs = zip(*rows)
-                names = [pa.array([name] * len(rows), pa.string()) for name in (lang, source)]
+                names = [pa.repeat(pa.scalar(name, pa.string()), len(rows)) for name in (lang, source)]
                 yield pa.RecordBatch.from_arrays([*names, pa.array(terms, pa.binary()).cast(pa.string()), pa.array(counts), pa.array(docs)], schema=_RUN)
 
 
@@ -121,19 +126,32 @@ def _entries(terms: bytes, counts: bytes) -> Iterator[tuple[bytes, int, int]]:
     return zip(terms.split(b" "), *numbers)
 
 
+def _summed(entries: Iterator[tuple[bytes, int, int]]) -> Iterator[tuple[bytes, int, int]]:
+    term, count, docs = next(entries)
+    for other, n, d in entries:
+        if other == term:
+            count += n
+            docs += d
+        else:
+            yield term, count, docs
+            term, count, docs = other, n, d
+    yield term, count, docs
+
+
 def _index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     block, runs = Block(), Runs()
     for batch in batches:
         for lang, source, text in zip(*(batch.column(c) for c in range(3))):
             group = lang.as_py(), source.as_py()
             # The empty term stands for the group itself.
-            block.add(group, [], {b""})
+            block.add(group, Counter({b"": 0}))
             seen: set[bytes] = set()
             raw = text.as_buffer()
-            for terms in _pieces(raw.to_pybytes() if raw is not None else b""):
-                new = set(terms) - seen
-                block.add(group, terms, new)
-                seen |= new
+            raw = raw.to_pybytes() if raw is not None else b""
+            for terms in map(Counter, _pieces(raw)):
+                block.add(group, terms, seen)
+                if len(raw) > PIECE:
+                    seen.update(terms)
                 if block.full():
                     runs.spill(block)
                     block = Block()
