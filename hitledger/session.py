@@ -85,19 +85,50 @@ def remove(spark: SparkSession, path: str) -> None:
     files.delete(where, True)
 
 
-def create_file(spark: SparkSession, path: str) -> bool:
-    """Create an empty file, and tell whether it was this call that created it."""
+def create_file(spark: SparkSession, path: str, text: str = "") -> bool:
+    """Create a file with ``text``, and tell whether it was this call that created it."""
     where, files = _hadoop_path(spark, path)
     files.mkdirs(where.getParent())
     try:
-        files.create(where, False).close()
+        out = files.create(where, False)
     except Py4JJavaError as fault:
         if "AlreadyExists" not in str(fault.java_exception.getClass().getName()):
             raise
         return False
+    out.write(bytearray(text.encode()))
+    out.close()
     return True
 
 
+def read_file(spark: SparkSession, path: str) -> str:
+    """A small file's text."""
+    where, files = _hadoop_path(spark, path)
+    stream = files.open(where)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def make_folder(spark: SparkSession, path: str) -> None:
+    where, files = _hadoop_path(spark, path)
+    files.mkdirs(where)
+
+
+def list_folder(spark: SparkSession, path: str) -> list[tuple[str, int]] | None:
+    """Names in a folder and when each last changed, in milliseconds; None if there is no such folder."""
+    where, files = _hadoop_path(spark, path)
+    if not files.exists(where):
+        return None
+    return sorted((status.getPath().getName(), status.getModificationTime()) for status in files.listStatus(where))
+
+
+def whole_path(spark: SparkSession, path: str) -> str:
+    """A path in one form, however it was typed: absolute, with its file system, without a slash at the end."""
+    where, files = _hadoop_path(spark, path)
+    return files.makeQualified(where).toString()
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
