@@ -87,5 +87,21 @@ def runtime_slices(counts: DataFrame, runtimes: Mapping[str, int], path: str | N
     return rows.select("query_name", "batch_id", "record_count", (F.col("_share") + extra).alias("batch_runtime_ms"))
 
 
+# In the order in which they can happen to a run.
+EVENTS = ("started", "failed", "finished")
+
+
+def run_history(events: DataFrame) -> DataFrame:
+    """One row per run: the last that is known of it. A run that was killed stays ``started``.
+
+    Events are only ever added. Of a run's events the one that comes last in :data:`EVENTS` counts, and
+    of equal ones, as from a repeated write, the latest.
+    """
+    stage = F.array_position(F.array(*map(F.lit, EVENTS)), F.col("event"))
+    rest = [c for c in events.columns if c != "run_id"]
+    last = F.max_by(F.struct(*rest), F.struct(stage, F.col("executed_at")))
+    return events.groupBy("run_id").agg(last.alias("_last")).select("run_id", *(F.col("_last")[c].alias(c) for c in rest))
+
+
 def latest_run(runs: DataFrame) -> DataFrame:
     return runs.orderBy(F.desc("run_id")).limit(1)

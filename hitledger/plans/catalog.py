@@ -8,13 +8,15 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from hitledger.functions.arrays import register_top_rows
 from hitledger.functions.batching import register_week_batch_id
 from hitledger.functions.parser import parse
 from hitledger.operators import counters, metadata, queries, records, report
+from hitledger.plans import by_batch, tables
 from hitledger.plans.runs import DEFAULT_BATCH_SIZE, run
 from hitledger.plans.runs import QUERIES as RUN_QUERIES
 from hitledger.plans.rendered import events, render_lines
-from hitledger.plans.views import register_stage, register_views
+from hitledger.plans.views import register_parse_log_line, register_stage, register_views
 from hitledger.schemas import DAILY_TRAFFIC, HOURLY_ERRORS, TOP_RESOURCES
 from hitledger.session import scratch_path
 from hitledger.sources import lines, stage, tsv
@@ -382,3 +384,176 @@ def whole_run(spark, sf_dir):
         "run_id", "pipeline_name", "batch_size", "total_batches", "avg_batch_size", "total_records",
         "malformed_count", "query_name", "batch_id", "record_count",
     )
+
+
+@_register
+def observed_counters(spark, sf_dir):
+    """Lines, valid and malformed records, as the job that loaded them counted them."""
+    path = scratch_path(spark, "audit")
+    loaded = stage.write_by_batch(parse(_lines(spark, sf_dir)), path, load="lines")
+    return spark.createDataFrame(
+        [(loaded.total_lines, loaded.valid_records, loaded.malformed_records)],
+        "total_lines bigint, valid_records bigint, malformed_records bigint",
+    )
+
+
+@_register
+def observed_batches(spark, sf_dir):
+    """Valid records per batch over two loads, from the table's log alone."""
+    path = _two_loads(spark, sf_dir)
+    return stage.observed_batches(spark, path).filter("record_count > 0").select("batch_id", "record_count")
+
+
+@_register
+def stream_counters(spark, sf_dir):
+    """The counts that a stream's chunks left, added up."""
+    path = scratch_path(spark, "ingested")
+    ingest(spark, _line_files(spark, sf_dir), path, scratch_path(spark, "progress"), files_per_chunk=1).awaitTermination()
+    names = ("total_lines", "valid_records", "malformed_records")
+    return stage.observed_counters(spark, path).agg(*(F.sum(c).alias(c) for c in names))
+
+
+def _two_loads(spark: SparkSession, sf_dir: str, after=lambda path: None) -> str:
+    """Lines of the earlier events loaded first, then the others; ``after`` runs behind each load."""
+    path = scratch_path(spark, "audit")
+    parts = _lines(spark, sf_dir)
+    middle = parts.agg(F.max("event_id")).first()[0] // 2
+    for name, part in (("early", F.col("event_id") <= middle), ("late", F.col("event_id") > middle)):
+        stage.write_by_batch(parse(parts.filter(part)), path, mode="replace-load", load=name)
+        after(path)
+    return path
+
+
+def _by_batch(spark: SparkSession, sf_dir: str, number: int) -> DataFrame:
+    root = scratch_path(spark, "results")
+    _two_loads(spark, sf_dir, lambda path: by_batch.refresh(spark, path, root, number))
+    return by_batch.read_results(spark, root, number)
+
+
+@_register
+def q1_by_batch(spark, sf_dir):
+    """The table of daily traffic, brought up to date after each of two loads."""
+    return _by_batch(spark, sf_dir, 1)
+
+
+@_register
+def q2_by_batch(spark, sf_dir):
+    return _by_batch(spark, sf_dir, 2)
+
+
+@_register
+def q3_by_batch(spark, sf_dir):
+    return _by_batch(spark, sf_dir, 3)
+
+
+@_register
+def parse_log_line_sql(spark, sf_dir):
+    """Records of the lines by the SQL table function."""
+    _lines(spark, sf_dir).createOrReplaceTempView("rendered_lines")
+    register_parse_log_line(spark)
+    return spark.sql("SELECT event_id, r.* FROM rendered_lines, LATERAL parse_log_line(value) AS r")
+
+
+def _named(spark: SparkSession, sf_dir: str) -> None:
+    """All tables by name, in a database of their own, told of a second load."""
+    name = scratch_path(spark, "db").rsplit("/", 1)[1].replace("-", "_")
+    spark.sql(f"CREATE DATABASE {name} LOCATION '{scratch_path(spark, 'db')}'")
+    spark.sql(f"USE {name}")
+    root = scratch_path(spark, "results")
+
+    def after(path: str) -> None:
+        by_batch.refresh(spark, path, root)
+        tables.create_tables(spark, stage=path, results=root)
+
+    tables.create_tables(spark, logs=_line_files(spark, sf_dir))
+    _two_loads(spark, sf_dir, after)
+
+
+def _by_name(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
+    before = spark.catalog.currentDatabase()
+    try:
+        _named(spark, sf_dir)
+        return spark.sql(sql)
+    finally:
+        spark.sql(f"USE {before}")
+
+
+@_register
+def table_raw_logs(spark, sf_dir):
+    return _by_name(spark, sf_dir, f"SELECT line, count(*) AS copies FROM {tables.LINES} GROUP BY line")
+
+
+@_register
+def table_audit(spark, sf_dir):
+    return _by_name(spark, sf_dir, f"SELECT {', '.join(stage.AUDIT_COLUMNS)} FROM {tables.AUDIT}")
+
+
+@_register
+def table_batch_ids(spark, sf_dir):
+    return _by_name(spark, sf_dir, f"SELECT batch_id FROM {tables.BATCHES}")
+
+
+@_register
+def table_top_resources(spark, sf_dir):
+    """Top resources asked of the staged table and the list of batches by name."""
+    return _by_name(spark, sf_dir, tables.top_resources_sql())
+
+
+@_register
+def table_q3_hourly_error(spark, sf_dir):
+    """The result table by name."""
+    return _by_name(spark, sf_dir, f"SELECT {', '.join(HOURLY_ERRORS.fieldNames())} FROM q3_hourly_error")
+
+
+@_register
+def compacted_stage(spark, sf_dir):
+    """Four appended loads merged into one."""
+    path = scratch_path(spark, "audit")
+    parts = _lines(spark, sf_dir)
+    for rest in range(4):
+        stage.write_by_batch(parse(parts.filter(F.col("event_id") % 4 == rest)), path, mode="append")
+    stage.compact(spark, path)
+    return stage.read_audit(spark, path)
+
+
+@_register
+def run_history(spark, sf_dir):
+    """What is known of three runs: one finished, one failed, one that was killed."""
+    store = ParquetStore(scratch_path(spark, "store"))
+    counts = counters.totals(counters.per_batch_counts(_records(spark, sf_dir))).persist()
+    nothing = counts.select(*(F.lit(0).cast(kind).alias(c) for c, kind in counts.dtypes))
+    for run_id, events in ((1, ("started", "finished")), (2, ("started", "failed")), (3, ("started",))):
+        for event in events:
+            seen = counts if event == "finished" else nothing
+            store.note(event, metadata.describe_run(seen, run_id, _PIPELINE, DEFAULT_BATCH_SIZE, {}, 0))
+    return metadata.run_history(store.read(spark, "run_events")).select("run_id", "event", "total_batches", "total_records", "malformed_count")
+
+
+@_register
+def top_rows_sql(spark, sf_dir):
+    """The 20 most requested paths of each batch from an array of text rows, some of them unfit."""
+    register_top_rows(spark)
+    row = F.array("resource_path", F.col("request_count").cast("string"), F.col("total_bytes").cast("string"), F.col("distinct_host_count").cast("string"))
+    none = F.lit(None).cast("string")
+    unfit = F.array(
+        F.lit(None).cast("array<string>"),
+        F.array(F.lit("/short"), F.lit("999999999")),
+        F.array(F.lit("/no-number"), F.lit("many"), F.lit("1"), F.lit("1")),
+        F.array(F.lit("/no-count"), none, F.lit("1"), F.lit("1")),
+    )
+    keyed = F.struct(F.col("resource_path"), row.alias("row"))
+    arrays = q2_top_resources(spark, sf_dir).groupBy("batch_id").agg(F.array_sort(F.collect_list(keyed)).alias("rows"))
+    arrays = arrays.select("batch_id", F.concat(unfit, F.col("rows.row")).alias("rows"))
+    arrays.createOrReplaceTempView("batch_rows")
+    return spark.sql(
+        """SELECT batch_id, int(place) AS place, r[0] AS resource_path, r[1] AS request_count
+           FROM (SELECT batch_id, top_rows(rows, 25) AS top FROM batch_rows) LATERAL VIEW posexplode(top) AS place, r"""
+    )
+
+
+@_register
+def run_side_by_side(spark, sf_dir):
+    """A run that asks its queries at the same time; its hourly errors."""
+    store = ParquetStore(scratch_path(spark, "store"))
+    done = run(spark, _line_files(spark, sf_dir), store, side_by_side=True)
+    return store.read(spark, "q3_hourly_error", done.run_id).drop("loaded_at").withColumn("log_date", F.col("log_date").cast("string"))

@@ -200,6 +200,9 @@ _WITH_Q1 = _with(_RECORDS, _Q1)
 _WITH_STATS = _with(_RECORDS, _STATS)
 _WITH_Q3 = _with(_RECORDS, _Q3)
 
+_COUNTERS = """SELECT count(*) AS total_lines, count(*) FILTER (NOT malformed) AS valid_records,
+       count(*) FILTER (malformed) AS malformed_records FROM records"""
+
 ORACLES: dict[str, str] = {
     "scan_lines": _with(_LINES) + "SELECT value FROM lines",
     "scan_latin1": _with(_LINES) + "SELECT value FROM lines",
@@ -280,4 +283,30 @@ ORACLES: dict[str, str] = {
     + """SELECT run_id, pipeline_name, batch_size, total_batches, avg_batch_size, total_records, malformed_count,
          query_name, batch_id, record_count
        FROM runs, counts, (VALUES ('Q1'), ('Q2'), ('Q3')) AS q(query_name)""",
+    "observed_counters": _R + _COUNTERS,
+    "observed_batches": _with(_RECORDS, _COUNTS) + "SELECT * FROM counts",
+    "stream_counters": _R + _COUNTERS,
+    "q1_by_batch": _WITH_Q1 + "SELECT * FROM q1",
+    "q2_by_batch": _WITH_STATS + "SELECT * FROM q2",
+    "q3_by_batch": _WITH_Q3 + "SELECT * FROM q3",
+    "parse_log_line_sql": _R + f"SELECT event_id, {_RECORD} FROM records",
+    "table_raw_logs": _with(_LINES) + "SELECT value AS line, count(*) AS copies FROM lines GROUP BY 1",
+    "table_audit": _R + f"SELECT {_RECORD} FROM records",
+    "table_batch_ids": _R + "SELECT DISTINCT batch_id FROM valid",
+    "table_top_resources": _WITH_STATS + "SELECT * FROM q2",
+    "table_q3_hourly_error": _WITH_Q3 + "SELECT * FROM q3",
+    "compacted_stage": _R + f"SELECT {_RECORD} FROM records",
+    "run_history": _with(_RECORDS, _RUNS)
+    + """SELECT run_id, 'finished' AS event, total_batches, total_records, malformed_count FROM runs
+         UNION ALL SELECT 2, 'failed', 0, 0, 0 UNION ALL SELECT 3, 'started', 0, 0, 0""",
+    "top_rows_sql": _WITH_STATS
+    + """SELECT batch_id, resource_path, request_count,
+         CAST(row_number() OVER (PARTITION BY batch_id ORDER BY n DESC, place) - 1 AS INTEGER) AS place
+       FROM (
+         SELECT batch_id, resource_path, CAST(request_count AS VARCHAR) AS request_count, request_count AS n, resource_path AS place
+         FROM q2
+         UNION ALL SELECT DISTINCT batch_id, '/no-number', 'many', 0, '0' FROM q2
+         UNION ALL SELECT DISTINCT batch_id, '/no-count', NULL, 0, '1' FROM q2)""",
+    "run_side_by_side": _WITH_Q3
+    + f"SELECT CAST(1 AS INTEGER) AS run_id, * REPLACE ({_STORED_DATE} AS log_date) FROM q3",
 }

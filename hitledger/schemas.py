@@ -68,6 +68,9 @@ RUN_METADATA = _struct(
     ("executed_at", T.TimestampType()),
 )
 
+# What happens to a run, each as a row of its own: started, then finished or failed.
+RUN_EVENTS = T.StructType([*RUN_METADATA.fields, T.StructField("event", T.StringType(), True)])
+
 BATCH_METADATA = _struct(
     ("run_id", T.IntegerType()),
     ("batch_id", T.IntegerType()),
@@ -98,5 +101,6 @@ STORE = {
 # Column types a JDBC store creates where Spark's default would differ.
 JDBC_TYPES = {
     "run_metadata": "pipeline_name VARCHAR(64)",
+    "run_events": "pipeline_name VARCHAR(64), event VARCHAR(8)",
     "batch_metadata": "query_name VARCHAR(8)",
 }

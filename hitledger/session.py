@@ -89,6 +89,14 @@ def create_file(spark: SparkSession, path: str, text: str = "") -> bool:
     """Create a file with ``text``, and tell whether it was this call that created it."""
     where, files = _hadoop_path(spark, path)
     files.mkdirs(where.getParent())
+    if files.getUri().getScheme() == "file":
+        # Hadoop's local file system looks first and creates then; the operating system does it in one step.
+        try:
+            with open(where.toUri().getPath(), "x") as out:
+                out.write(text)
+        except FileExistsError:
+            return False
+        return True
     try:
         out = files.create(where, False)
     except Py4JJavaError as fault:
