@@ -228,6 +228,13 @@ def test_command_line(spark, log_folder, tmp_path, capsys):
     assert read_audit(spark, str(tmp_path / "stage")).count() == 1000
     main(["load", "--input", log_folder, "--stage", str(tmp_path / "stage")])
     assert read_audit(spark, str(tmp_path / "stage")).count() == 1000
+    for _ in range(2):
+        main(["refresh", "--stage", str(tmp_path / "stage"), "--results", str(tmp_path / "results"), "--query", "1"])
+    main(["compact", "--stage", str(tmp_path / "stage"), "--keep-hours", "0"])
+    shown = capsys.readouterr().out
+    assert "query 1: all batches" in shown and "query 1: 0 batches" in shown and "nothing to merge" in shown
+    assert read_audit(spark, str(tmp_path / "stage")).count() == 1000
+    main(["run", "--input", log_folder, "--store", store, "--side-by-side", "--max-batches", "0"])
     size = folder_bytes(spark, log_folder)
     assert spark.conf.get("spark.sql.shuffle.partitions") == sized_for(size, 8)["spark.sql.shuffle.partitions"]
     with pytest.raises(SystemExit):
