@@ -2,8 +2,12 @@
 
 Documents are encoded in ascending order of id, a range of ids per task, and written in shards of
 some million ids. In each shard frequent pairs of neighbouring ids are replaced by new symbols
-(nonterminals), again and again: a round counts all pairs, takes the most frequent, and replaces
-their occurrences, an occurrence giving way to an overlapping one of a more frequent pair. No pair reaches over the end of a document, so each document is a run of symbols of its own.
+(nonterminals), again and again: a round takes the most frequent pairs and replaces their
+occurrences, an occurrence giving way to an overlapping one of a more frequent pair. Pairs are counted
+once; after that only what replacements took away and made is. Rounds end when no pair is left that
+can be replaced eight times, or when all symbols of two bytes are used, since with a third byte for
+every symbol files would grow. No pair reaches over the end of a document, so each document is a run
+of symbols of its own.
 
 A file holds, in this order, little-endian: ``RPAIR001``; six int64: documents, rules, symbols,
 vocabulary, bytes per symbol, ids; document ids (int64) and whether each is known (uint8, padded to
@@ -37,25 +41,23 @@ MAGIC = b"RPAIR001"
 # Ids in a shard, at least; a document is never divided.
 SHARD_IDS = 1 << 20
 TASK_BYTES = 32 << 20
-# Rounds of replacement, most rules added in each, and the least number of times a pair must be replaced.
-ROUNDS, RULES_A_ROUND, LEAST = 10, 2048, 8
+# Rules added in each round, and the least number of times a pair must be replaced.
+RULES_A_ROUND, LEAST = 4096, 8
 # Symbols of a shard, rules included, so that they fit in two bytes where the vocabulary does.
 SYMBOLS = 1 << 16
 
 _HASH = np.uint64(0x9E3779B97F4A7C15)
 
 
-def _ranks(keys: np.ndarray, pairs: np.ndarray) -> np.ndarray:
-    """The place of each key in ``pairs``, by frequency, or their number if it isn't among them."""
-    order = np.argsort(pairs)
-    ranked = pairs[order]
-    seen = np.zeros(1 << 16, bool)
-    seen[(ranked * _HASH >> np.uint64(48)).astype(np.int64)] = True
-    out = np.full(len(keys), len(pairs), np.int32)
-    maybe = np.flatnonzero(seen[(keys * _HASH >> np.uint64(48)).astype(np.int64)])
-    at = np.minimum(np.searchsorted(ranked, keys[maybe]), len(ranked) - 1)
-    hit = ranked[at] == keys[maybe]
-    out[maybe[hit]] = order[at[hit]]
+def _index(keys: np.ndarray, pairs: np.ndarray) -> np.ndarray:
+    """The place of each key in the sorted ``pairs``, or -1: by a hash table, and by search where two pairs share a slot."""
+    slots = np.full(1 << 20, -1, np.int32)
+    slots[(pairs * _HASH >> np.uint64(44)).astype(np.int32)] = np.arange(len(pairs), dtype=np.int32)
+    out = slots[(keys * _HASH >> np.uint64(44)).astype(np.int32)]
+    other = np.flatnonzero(out >= 0)
+    other = other[pairs[out[other]] != keys[other]]
+    at = np.minimum(np.searchsorted(pairs, keys[other]), len(pairs) - 1)
+    out[other] = np.where(pairs[at] == keys[other], at, -1)
     return out
 
 
@@ -72,44 +74,84 @@ def _without_overlap(rank: np.ndarray, none: int) -> np.ndarray:
     return np.sort(np.concatenate(out))
 
 
+class Pairs:
+    """The pair that begins at each place, by number, and how often each occurs; number 0 is of no interest.
+
+    Pairs that occur fewer than ``LEAST`` times are of none, for good: a pair gets new occurrences only in
+    the round that makes one of its symbols.
+    """
+
+    def __init__(self, symbols: np.ndarray, last: np.ndarray):
+        self.keys, self.counts = np.zeros(1, np.uint64), np.zeros(1, np.int64)
+        self.at = np.zeros(max(len(symbols) - 1, 0), np.int32)
+        self.number(symbols, last, np.arange(len(self.at)))
+
+    def number(self, symbols: np.ndarray, last: np.ndarray, places: np.ndarray) -> None:
+        """Number the pairs at ``places``, all of them new."""
+        self.at[places] = 0
+        places = places[~last[places]]
+        keys = symbols[places].astype(np.uint64) << np.uint64(32) | symbols[places + 1]
+        ranked = np.sort(keys)
+        first = np.flatnonzero(np.concatenate((np.ones(min(1, len(ranked)), bool), ranked[1:] != ranked[:-1])))
+        count = np.diff(np.append(first, len(ranked)))
+        often = count >= LEAST
+        pairs = ranked[first[often]]
+        if len(pairs):
+            found = _index(keys, pairs)
+            known = found >= 0
+            self.at[places[known]] = found[known] + np.int32(len(self.keys))
+            self.keys, self.counts = np.concatenate((self.keys, pairs)), np.concatenate((self.counts, count[often]))
+
+    def most_frequent(self, most: int) -> np.ndarray:
+        # Pairs as frequent as each other come in a mixed order, so that a chain of them isn't worked off one by one.
+        often = np.flatnonzero(self.counts >= LEAST)
+        return often[np.lexsort((self.keys[often] * _HASH, -self.counts[often]))][:most]
+
+
 def compress(ids: np.ndarray, bounds: np.ndarray, vocabulary: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Symbols, each document's first symbol and the end, and rules as rows (left, right).
 
-    ``bounds``: each document's first id and the end.
+    ``bounds``: each document's first id and the end. Goes on until no pair is left that can be replaced
+    ``LEAST`` times, or the symbols fill ``SYMBOLS``. Pairs are counted once; from then on only what
+    replacements take away and make is counted.
     """
     symbols, last = ids.astype(np.uint32), np.zeros(len(ids), bool)
     last[bounds[1:] - 1] = True
     rules: list[np.ndarray] = []
     made = 0
     room = max(0, SYMBOLS - vocabulary) if vocabulary < SYMBOLS else 1 << 30
-    for _ in range(ROUNDS):
-        keys = symbols[:-1].astype(np.uint64) << np.uint64(32) | symbols[1:]
-        inside = ~last[:-1]
-        ranked = np.sort(keys[inside])
-        first = np.flatnonzero(np.concatenate((np.ones(min(1, len(ranked)), bool), ranked[1:] != ranked[:-1])))
-        count = np.diff(np.append(first, len(ranked)))
-        often = np.flatnonzero(count >= LEAST)
-        # Pairs as frequent as each other come in a mixed order, so that a chain of them isn't worked off one by one.
-        best = often[np.lexsort((ranked[first[often]] * _HASH, -count[often]))][: min(RULES_A_ROUND, room - made)]
-        if not len(best):
-            break
-        pairs = ranked[first[best]]
-        none = len(pairs)
-        rank = _ranks(keys, pairs)
-        rank[~inside] = none
+    pairs = Pairs(symbols, last)
+    while len(best := pairs.most_frequent(min(RULES_A_ROUND, room - made))):
+        none = len(best)
+        rank_of = np.full(len(pairs.keys), none, np.int32)
+        rank_of[best] = np.arange(none)
+        rank = rank_of[pairs.at]
         chosen = _without_overlap(rank, none)
         used = np.bincount(rank[chosen], minlength=none)
         worth = used >= LEAST
+        # Those that others overlap too often are left; without them the rest can be counted on.
+        pairs.counts[best[~worth]] = 0
         chosen = chosen[worth[rank[chosen]]]
         if not len(chosen):
-            break
+            continue
+        left, right = (part[best[worth]] for part in (pairs.keys >> np.uint64(32), pairs.keys & np.uint64(0xFFFFFFFF)))
+        rules.append(np.stack((left, right), axis=1).astype(np.uint32))
+        gone = np.zeros(len(symbols), bool)
+        gone[chosen] = gone[chosen + 1] = True
+        gone[np.maximum(chosen - 1, 0)] = True
+        pairs.counts -= np.bincount(pairs.at[gone[:-1]], minlength=len(pairs.counts))
         name = vocabulary + made + np.cumsum(worth) - 1
-        rules.append(np.stack((pairs[worth] >> np.uint64(32), pairs[worth] & np.uint64(0xFFFFFFFF)), axis=1).astype(np.uint32))
         symbols[chosen] = name[rank[chosen]]
         last[chosen] = last[chosen + 1]
         stay = np.ones(len(symbols), bool)
         stay[chosen + 1] = False
         symbols, last = symbols[stay], last[stay]
+        pairs.at = np.append(pairs.at, 0)[stay][:-1]
+        place = chosen - np.arange(len(chosen))
+        beside = np.zeros(len(symbols), bool)
+        beside[place] = True
+        beside[place[place > 0] - 1] = True
+        pairs.number(symbols, last, np.flatnonzero(beside[:-1]))
         made += int(worth.sum())
     return symbols, np.concatenate(([0], np.flatnonzero(last) + 1)), np.concatenate(rules) if rules else np.zeros((0, 2), np.uint32)
 

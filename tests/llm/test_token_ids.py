@@ -198,3 +198,24 @@ def test_empty_table(spark):
     none = spark.createDataFrame([], "doc_id long, text string")
     assert packing.pack(none, public_tokenizers.path(FILES[1]), end_id=2).count() == 0
     assert grammar.read_shards(grammar.write_shards(none, public_tokenizers.path(FILES[0]), end_id=0)).count() == 0
+
+
+def test_pairs_are_replaced_until_none_is_left_that_pays():
+    """No pair, counted anew in the result, is left with many occurrences; a run of one id takes many rounds."""
+    draw = np.random.default_rng(5)
+    words = [draw.integers(0, 500, draw.integers(2, 9)) for _ in range(200)]
+    ids = np.concatenate([words[i] for i in draw.zipf(1.3, 20_000) % 200] + [np.full(5000, 7)]).astype(np.uint32)
+    bounds = np.array([0, 3, len(ids) // 2, len(ids)])
+    symbols, first, rules = grammar.compress(ids, bounds, 500)
+    assert len(symbols) < len(ids) / 4 and max(grammar.expansion_lengths(rules, 500)) >= 256
+
+    def expanded(s):
+        return [int(s)] if s < 500 else [x for part in rules[s - 500] for x in expanded(part)]
+
+    assert [x for s in symbols for x in expanded(s)] == ids.tolist()
+    assert [sum(len(expanded(s)) for s in symbols[a:b]) for a, b in zip(first, first[1:])] == np.diff(bounds).tolist()
+    pairs = {}
+    for a, b in zip(first, first[1:]):
+        for pair in zip(symbols[a : b - 1].tolist(), symbols[a + 1 : b].tolist()):
+            pairs[pair] = pairs.get(pair, 0) + 1
+    assert max(pairs.values()) < 4 * grammar.LEAST
