@@ -62,11 +62,17 @@ def _index(keys: np.ndarray, pairs: np.ndarray) -> np.ndarray:
 
 
 def _without_overlap(rank: np.ndarray, none: int) -> np.ndarray:
-    """Places of occurrences, none next to another: those of lower rank than both neighbours, then what they leave, thrice."""
+    """Places of occurrences, none next to another: those of lower rank than both neighbours, then what they leave, thrice.
+
+    Of a run of equal ranks, as a pair of equal symbols makes, every second place counts.
+    """
     free = np.concatenate((np.full(1, none, np.int32), rank, np.full(1, none, np.int32)))
     at, out = np.flatnonzero(free < none), []
     for _ in range(3):
-        best = at[(free[at] < free[at - 1]) & (free[at] <= free[at + 1])]
+        own, left, right = free[at], free[at - 1], free[at + 1]
+        index = np.arange(len(at))
+        odd = (index - np.maximum.accumulate(np.where(left == own, 0, index))) % 2 == 1
+        best = at[(own <= left) & (own <= right) & ~odd]
         out.append(best - 1)
         for step in (-1, 0, 1):
             free[best + step] = none
