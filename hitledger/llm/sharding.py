@@ -7,10 +7,17 @@ shards of near equal bytes:
    reruns agree) gives weighted quantiles: the splitters of some 64 fine ranges per shard. A key that
    fills several quantiles gets a range of its own.
 2. Every record finds its range by binary search, and the ranges' bytes are counted exactly.
-3. Overfull ranges are subdivided: one with several keys by key, so that equal texts stay together, a
-   single hot key by a hash of the record's id.
-4. The resulting cells, in order, are dealt to shards by their running bytes. A record's slot is its
-   cell's offset in the shard plus its rank in the cell, so that no task sorts a whole shard.
+3. Overfull ranges are subdivided into cells: one with several keys by key, so that equal texts stay
+   together, a single hot key by a hash of the record's place in the table of keys, so that equal
+   records are parted as well.
+4. A hot key of up to a shard's share stays whole: such keys are dealt to the shards from the largest
+   down, there and back, and all their cells go along. The other cells, in order, fill what room the
+   shards then have up to a common level. A key beyond a shard's share is parted like any other cells.
+   A record's slot is its cell's offset in the shard plus its rank in the cell, so that no task sorts
+   a whole shard.
+
+Equal texts therefore meet in one shard unless they alone outgrow it, and that comes first: where many
+groups of more than half a shard leave no equal shares, shards differ by up to such a group.
 
 The splitters (at most 65,536 numbers) are all that passes through the driver. Sizes come within
 about a cell, 1.5 % of a shard, of each other, unless single records are larger.
@@ -23,6 +30,7 @@ text are read, so other columns can't clash.
 from __future__ import annotations
 
 import math
+from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -72,45 +80,67 @@ def _range_of(key: Column, splitters: list[int]) -> Column:
 
 
 def _with_cell(rows: DataFrame, ranges: DataFrame, share: float) -> DataFrame:
-    """``rows`` (with doc_id, key, range) and the part of an overfull range that each is in."""
+    """``rows`` (with place, key, range) and the part of an overfull range that each is in."""
     parts = F.greatest(F.lit(1), F.ceil(F.col("range_bytes") / F.lit(share))).cast("int")
     over = ranges.where(F.col("range_bytes") > 2 * share).select("range", parts.alias("parts"), "low", "high")
     rows = rows.join(over, "range", "left")
     by_key = F.least(F.floor((F.col("key") - F.col("low")) / (F.col("high") - F.col("low") + 1) * F.col("parts")), F.col("parts") - 1)
-    by_id = F.pmod(F.xxhash64("doc_id", F.lit(11)), F.col("parts"))
-    part = F.when(F.col("parts").isNull(), 0).when(F.col("low") == F.col("high"), by_id).otherwise(by_key)
+    by_place = F.pmod(F.xxhash64("place", F.lit(11)), F.col("parts"))
+    part = F.when(F.col("parts").isNull(), 0).when(F.col("low") == F.col("high"), by_place).otherwise(by_key)
     return rows.withColumn("part", part.cast("int")).drop("parts", "low", "high")
 
 
 def assign(keys: DataFrame, shards: int) -> DataFrame:
-    """``keys`` (doc_id, size, key and more) with ``shard`` and ``slot``.
+    """``keys`` (doc_id, size, key, place and more) with ``shard`` and ``slot``.
 
-    ``keys`` is read several times; give a stored table.
+    ``keys`` is read several times; give a stored table, its places all different.
     """
     count, total = keys.agg(F.count("*"), F.coalesce(F.sum("size"), F.lit(0))).first()
     ranges = min(max(RANGES_A_SHARD * shards, -(-count // ROWS_A_RANGE)), MOST_RANGES)
     share = max(1.0, total / ranges)
     rows = keys.withColumn("range", _range_of(F.col("key"), _splitters(keys, ranges, total)))
     sums = rows.groupBy("range").agg(F.sum("size").alias("range_bytes"), F.min("key").alias("low"), F.max("key").alias("high"))
-    # The ranges' sums are read twice, and a few thousand rows.
-    rows = _with_cell(rows, stored(sums, "ranges"), share)
-
+    # The ranges' sums are read several times, and a few thousand rows.
+    sums = stored(sums, "ranges")
+    rows = _with_cell(rows, sums, share)
     cells = rows.groupBy("range", "part").agg(F.sum("size").alias("bytes"), F.count("*").alias("rows"))
+
+    whole = sums.where((F.col("low") == F.col("high")) & (F.col("range_bytes") > 2 * share) & (F.col("range_bytes") <= total / shards))
+    turn = (F.row_number().over(Window.orderBy(F.desc("range_bytes"), "range")) - 1) % (2 * shards)
+    whole = stored(whole.select("range", "range_bytes", F.least(turn, F.lit(2 * shards - 1) - turn).cast("int").alias("own")), "whole-keys")
+    held = [0] * shards
+    for row in whole.groupBy("own").agg(F.sum("range_bytes").alias("bytes")).collect():
+        held[row.own] = row.bytes
+    bounds = _filled(held, total - sum(held))
+    cells = cells.join(whole.select("range", "own"), "range", "left")
+    other = F.when(F.col("own").isNull(), F.col("bytes")).otherwise(0)
     running = Window.orderBy("range", "part").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    middle = F.sum("bytes").over(running) - F.col("bytes") / 2
-    cells = cells.withColumn("shard", F.least(F.floor(middle * shards / float(max(total, 1))), F.lit(shards - 1)).cast("int"))
+    middle = F.sum(other).over(running) - F.floor(F.col("bytes") / 2)
+    cells = cells.withColumn("middle", middle)
+    cells = cells.withColumn("shard", F.coalesce("own", F.least(_range_of(F.col("middle"), bounds), F.lit(shards - 1))).cast("int"))
     earlier = Window.partitionBy("shard").orderBy("range", "part").rowsBetween(Window.unboundedPreceding, -1)
     cells = cells.select("range", "part", "shard", F.coalesce(F.sum("rows").over(earlier), F.lit(0)).alias("first"))
 
-    rank = F.row_number().over(Window.partitionBy("range", "part").orderBy("key", "doc_id"))
+    rank = F.row_number().over(Window.partitionBy("range", "part").orderBy("key", "doc_id", "place"))
     placed = rows.withColumn("rank", rank).join(stored(cells, "cells"), ["range", "part"])
-    return placed.withColumn("slot", F.col("first") + F.col("rank") - 1).drop("range", "part", "rank", "first")
+    return placed.withColumn("slot", F.col("first") + F.col("rank") - 1).drop("range", "part", "rank", "first", "place")
+
+
+def _filled(held: list[int], rest: int) -> list[int]:
+    """Where, along ``rest`` bytes, each shard but the last is full, if all are filled from ``held`` to one level."""
+    lowest, level = sorted(held), 0.0
+    for n in range(1, len(lowest) + 1):
+        level = (rest + sum(lowest[:n])) / n
+        if n == len(lowest) or level <= lowest[n]:
+            break
+    ends = list(accumulate(max(0.0, level - h) for h in held))
+    return [math.ceil(x) for x in ends[:-1]]
 
 
 def shard_documents(docs: DataFrame, shards: int, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``doc_id, size, text_crc32, shard, slot`` of every record."""
     text_column = F.coalesce(F.col(text), F.lit(""))
-    keys = docs.select(F.col(doc_id).cast("long").alias("doc_id"), record_size(text).alias("size"), F.crc32(text_column).alias("text_crc32"), text_key(text).alias("key"))
+    keys = docs.select(F.col(doc_id).cast("long").alias("doc_id"), record_size(text).alias("size"), F.crc32(text_column).alias("text_crc32"), text_key(text).alias("key"), F.monotonically_increasing_id().alias("place"))
     return assign(stored(keys, "shard-keys"), shards).select("doc_id", "size", "text_crc32", "shard", "slot")
 
 
@@ -119,7 +149,7 @@ def write_shards(docs: DataFrame, path: str, shards: int, doc_id: str = "doc_id"
 
     Ids name the records here; records that share an id and a text get each slot once.
     """
-    placed = assign(stored(docs.select(F.col(doc_id).cast("long").alias("doc_id"), record_size(text).alias("size"), text_key(text).alias("key")), "shard-keys"), shards)
+    placed = assign(stored(docs.select(F.col(doc_id).cast("long").alias("doc_id"), record_size(text).alias("size"), text_key(text).alias("key"), F.monotonically_increasing_id().alias("place")), "shard-keys"), shards)
     same = Window.partitionBy("doc_id", "key").orderBy("slot")
     placed = placed.select("doc_id", "key", "shard", "slot", F.row_number().over(same).alias("copy"))
     names = {c: fresh(docs, c) for c in ("shard", "slot", "key", "copy")}

@@ -73,3 +73,42 @@ def test_written_shards(odd_docs, odd_rows, spark, tmp_path):
     assert back.count() == len(odd_rows)
     assert sorted(str(r.text) for r in back.collect()) == sorted(str(r[1]) for r in odd_rows)
     check([r for r in back.select("size", F.crc32(F.coalesce("text", F.lit(""))).alias("text_crc32"), "shard", "slot", sharding.record_size("text").alias("s")).withColumn("size", F.col("s")).collect()], [r[1] for r in odd_rows], 4)
+
+
+def spread(rows, shards):
+    total, where = defaultdict(int), defaultdict(set)
+    for r in rows:
+        total[r.shard] += r.size
+        where[r.text_crc32].add(r.shard)
+    return [total[s] for s in range(shards)], where
+
+
+def test_groups_are_whole_up_to_a_shards_share(spark):
+    """Copies that make up from a thirtieth to nearly all of a shard, beside many small texts."""
+    rows = [(i, f"small text {i} " * 20) for i in range(6000)]
+    for g in range(40):
+        rows += [(10_000 + 100 * g + i, f"group {g} " * 300) for i in range(1 + 2 * (g % 20))]
+    rows += [(90_000 + i, "a pair " * 6000) for i in range(2)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    got = sharding.shard_documents(docs, 8).collect()
+    check(got, [t for _, t in rows], 8)
+    total, where = spread(got, 8)
+    assert all(len(s) == 1 for s in where.values())
+    assert max(total) < 1.05 * sum(total) / 8 and min(total) > 0.95 * sum(total) / 8
+
+
+def test_equal_texts_without_ids_and_repeated_rows_are_parted(spark):
+    for doc_id in (None, 7):
+        rows = [(doc_id, "the same text") for _ in range(4000)] + [(i, f"other {i}") for i in range(4000)]
+        got = sharding.shard_documents(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), 8).collect()
+        check(got, [t for _, t in rows], 8)
+        total, where = spread(got, 8)
+        assert max(total) < 1.1 * sum(total) / 8 and min(total) > 0.9 * sum(total) / 8
+        assert sum(len(s) > 1 for s in where.values()) == 1
+
+
+def test_room_is_filled_to_one_level():
+    assert sharding._filled([0, 0, 0, 0], 40) == [10, 20, 30]
+    assert sharding._filled([12, 0, 0, 0], 28) == [0, 10, 19]
+    assert sharding._filled([0, 100, 0], 20) == [10, 10]
+    assert sharding._filled([5], 3) == [] and sharding._filled([0, 0], 0) == [0]
