@@ -1,12 +1,12 @@
 """Exact top-k search by Fagin's threshold algorithm over sorted per-dimension lists.
 
 Vectors are dealt to blocks of some thousand by a hash of their id. A block is stored once as a
-matrix with one list per dimension, its rows in descending order of that component. A query walks
-all lists of a block in step, each from the end at which its own component makes the product
-largest; every row met is scored in full. The products at the lists' fronts add up to a bound on all
-rows not met yet; the walk ends at the first of a doubling series of depths where that bound cannot
-reach the kth result known, ties included. A walk that would have to go so deep that it meets most
-rows several times over is done as one pass over the block instead.
+matrix with one list per dimension, its rows in descending order of that component. A query reads a
+block's lists, each from the end at which its own component makes the product largest; every row met
+is scored in full, once. The products at the lists' fronts add up to a bound on all rows not met yet;
+the walk ends as soon as that bound is less than the kth score known, which rises as rows are met, or
+when no row is left. In each step those lists are read on whose fronts fall fastest, to twice their
+depth, since they lower the bound most for the rows they cost.
 
 Queries come in packs; a pack meets every block, pair by pair, so that a task holds one block and one
 pack. First each query walks one block, chosen by a hash of its id, which gives a score that k rows
@@ -45,65 +45,69 @@ class Block:
     def __init__(self, ids: np.ndarray, rows: np.ndarray, lists: np.ndarray) -> None:
         self.ids, self.rows, self.lists = ids, rows.astype(np.int64), lists
         n = len(ids)
-        # Depths at which walks may end, and the components at the lists' fronts there, from either end.
+        # Depths to which a list is read step by step, and the components at its fronts there, from either end.
         self.depths = np.unique(np.minimum(FIRST_STEP << np.arange(40), max(n, 1)))
         across = np.arange(rows.shape[1])
         self.top = np.stack([self.rows[lists[:, min(t, n) - 1], across] for t in self.depths]) if n else None
         self.bottom = np.stack([self.rows[lists[:, n - min(t, n)], across] for t in self.depths]) if n else None
-        self.scored = 0  # rows scored in full, over all queries
+        # Rows scored in full, walks, and walks that the bound ended with rows not met, over all queries.
+        self.scored, self.walks, self.bounded = 0, 0, 0
 
     def _numbers(self, queries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Rows and queries as doubles, which have the fast routines, if all sums stay exact in them."""
+        """Rows and queries as floating numbers, which have the fast routines, if all sums stay exact in them."""
         most = [float(np.abs(x).max(initial=0)) for x in (self.rows, queries)]
-        kind = np.float64 if queries.shape[1] * most[0] * most[1] < 2.0**52 else np.int64
+        largest = queries.shape[1] * most[0] * most[1]
+        kind = np.float32 if largest < 2.0**23 else np.float64 if largest < 2.0**52 else np.int64
         return self.rows.astype(kind), queries.astype(kind)
 
-    def _met(self, query: np.ndarray, depth: int) -> np.ndarray:
-        """The rows within ``depth`` of the ends of the lists at which the query's products are largest."""
-        n, down, up = len(self.ids), query > 0, query < 0
-        met = np.zeros(n, bool)
-        met[self.lists[down, :depth].ravel()] = True
-        met[self.lists[up, n - depth :].ravel()] = True
-        return np.flatnonzero(met)
-
     def search(self, query_ids: np.ndarray, queries: np.ndarray, floors: np.ndarray, k: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         """For each query the ids and scores of the best ``k`` rows but its own.
 
         ``floors``: scores that ``k`` rows elsewhere reach, ``NO_FLOOR`` if not known; rows under them
         may be left out.
         """
-        n = len(self.ids)
         rows, wide = self._numbers(queries)
-        floors = floors.copy()
-        if n:
-            for i in np.flatnonzero(floors == NO_FLOOR):
-                for depth in self.depths:  # until k rows are met
-                    at = self._met(queries[i], int(depth))
-                    at = at[self.ids[at] != query_ids[i]]
-                    if len(at) >= k:
-                        self.scored += len(at)
-                        floors[i] = int(np.partition(rows[at] @ wide[i], len(at) - k)[len(at) - k])
-                        break
-        # What a row not met by each depth can score at most; a row that equals the floor may win a tie by its id.
-        bounds = np.maximum(wide, 0) @ self.top.T.astype(wide.dtype) + np.minimum(wide, 0) @ self.bottom.T.astype(wide.dtype) if n else np.zeros((len(queries), 1))
-        ends = (bounds < floors[:, None]) & (floors != NO_FLOOR)[:, None]
-        stop = np.where(ends.any(axis=1), ends.argmax(axis=1), len(self.depths) - 1)
-        depth = np.where(ends.any(axis=1), self.depths[stop], n)
-        # A walk that would meet most rows several times over is replaced by a pass over the block.
-        used = np.count_nonzero(queries, axis=1)
-        far = (used == 0) | (depth * used >= 2 * n)
-        for lo in range(0, len(queries), max(1, (1 << 19) // max(n, 1))):
-            part = np.arange(lo, min(len(queries), lo + max(1, (1 << 19) // max(n, 1))))
-            passed = part[far[part]]
-            scores = dict(zip(passed.tolist(), wide[passed] @ rows.T)) if len(passed) else {}
-            for i in part.tolist():
-                at = np.arange(n) if i in scores else self._met(queries[i], int(depth[i]))
-                score = scores[i] if i in scores else rows[at] @ wide[i]
-                self.scored += len(at)
-                good = np.flatnonzero((score >= floors[i]) & (self.ids[at] != query_ids[i]))
-                ids, score = self.ids[at[good]], score[good].astype(np.int64)
-                order = np.lexsort((ids, -score))[:k]
-                yield int(query_ids[i]), ids[order], score[order]
+        for own, query, floor in zip(query_ids.tolist(), wide, floors.tolist()):
+            ids, score = self._walk(rows, query, own, floor, k)
+            order = np.lexsort((ids, -score))[:k]
+            yield own, ids[order], score[order]
+
+    def _walk(self, rows: np.ndarray, query: np.ndarray, own: int, floor: int, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """Ids and scores of rows, the best ``k`` not under ``floor`` among them."""
+        n, ids, scores = len(self.ids), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        if not n:
+            return ids, scores
+        self.walks += 1
+        # A query of zeros finds all rows equal; any list leads to them.
+        used = np.flatnonzero(query) if query.any() else np.zeros(1, np.int64)
+        down = query[used] > 0
+        fronts = np.where(down, self.top[:, used], self.bottom[:, used]) * query[used]
+        falls = (fronts[:-1] - fronts[1:]) / np.diff(self.depths)[:, None]
+        across, level = np.arange(len(used)), np.full(len(used), -1)
+        chosen, met, left = across, np.zeros(n, bool), n
+        while True:
+            known = met.copy()
+            for i in chosen.tolist():
+                lo, hi = self.depths[level[i]] if level[i] >= 0 else 0, self.depths[level[i] + 1]
+                of = self.lists[used[i]]
+                met[of[lo:hi] if down[i] else of[n - hi : n - lo]] = True
+            level[chosen] += 1
+            at = np.flatnonzero(met & ~known)
+            self.scored += len(at)
+            left -= len(at)
+            score = (rows[at] @ query).astype(np.int64)
+            good = (score >= floor) & (self.ids[at] != own)
+            ids, scores = np.concatenate((ids, self.ids[at[good]])), np.concatenate((scores, score[good]))
+            if len(ids) >= k:
+                floor = max(floor, int(np.partition(scores, len(ids) - k)[len(ids) - k]))
+                best = scores >= floor
+                ids, scores = ids[best], scores[best]
+            # A row not met that equals the kth may win the tie by its id, so the bound must be less.
+            if not left or fronts[level, across].sum() < floor:
+                self.bounded += left > 0
+                return ids, scores
+            fall = falls[level, across]
+            chosen = np.flatnonzero(fall >= fall.max() / 2)
 
 
 def _whole(vector: Column, scale: float) -> Column:
@@ -185,7 +189,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 20, vec_id: str = "ve
     asked = stored(whole_vectors(queries, vec_id, vector, scale), "queries")
     count, width = rows.agg(F.count("*"), F.coalesce(F.max(F.size("v")), F.lit(0))).first()
     asked_count, asked_width = asked.agg(F.count("*"), F.coalesce(F.max(F.size("v")), F.lit(0))).first()
-    width, blocks, packs = max(width, asked_width), max(1, -(-count // BLOCK_ROWS)), max(1, -(-asked_count // PACK_ROWS))
+    width, blocks, packs = max(width, asked_width, 1), max(1, -(-count // BLOCK_ROWS)), max(1, -(-asked_count // PACK_ROWS))
     place = F.xxhash64("vec_id")
     block = stored(_packed(rows.withColumn("block", F.pmod(place, F.lit(blocks)).cast("int")), "block", width, lists=True), "blocks")
 

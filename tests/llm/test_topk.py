@@ -70,3 +70,26 @@ def test_large_components_stay_exact():
     block = topk.Block(np.arange(2), large, np.argsort(-large, axis=0, kind="stable").T)
     ((_, ids, score),) = block.search(np.array([9]), np.array([[3037000499, 0]]), np.array([topk.NO_FLOOR]), 2)
     assert score.tolist() == [3037000499 * 3037000500, 3037000499**2]
+
+
+@pytest.mark.parametrize("n, width, kind", [(700, 5, "steep"), (700, 16, "even"), (40, 3, "few"), (500, 1, "ties")])
+def test_walks_score_rows_once(n, width, kind):
+    """Each walk finds the best rows, ties included, and scores no row twice, whatever the bound can show."""
+    rng = np.random.default_rng(n + width)
+    rows = {
+        "steep": (rng.pareto(0.7, (n, width)) * 9).astype(np.int64).clip(0, 10**6),
+        "even": rng.integers(-60, 60, (n, width)),
+        "few": rng.integers(-1, 2, (n, width)),
+        "ties": np.full((n, width), 5),
+    }[kind]
+    block = topk.Block(np.arange(n) * 3, rows, np.argsort(-rows, axis=0, kind="stable").T)
+    queries = np.concatenate((rows[:30], -rows[:5], np.zeros((1, width), np.int64)))
+    own = np.concatenate((np.arange(30) * 3, np.full(6, -1)))
+    for floors in (np.full(36, topk.NO_FLOOR), np.array([sorted(rows @ q)[-25:][0] for q in queries])):
+        before, walks = block.scored, block.walks
+        for (q, ids, score), query, floor in zip(block.search(own, queries, floors, 20), queries, floors):
+            want = sorted((-s, i) for s, i in zip((rows @ query).tolist(), (np.arange(n) * 3).tolist()) if i != q and s >= floor)[:20]
+            assert list(zip((-score).tolist(), ids.tolist())) == want
+        assert block.walks == walks + 36 and block.scored - before <= 36 * n
+    if kind == "steep":
+        assert block.bounded > 20 and block.scored < 72 * n / 2
