@@ -5,8 +5,8 @@ matrix with one list per dimension, its rows in descending order of that compone
 block's lists, each from the end at which its own component makes the product largest; every row met
 is scored in full, once. The products at the lists' fronts add up to a bound on all rows not met yet;
 the walk ends as soon as that bound is less than the kth score known, which rises as rows are met, or
-when no row is left. In each step those lists are read on whose fronts fall fastest, to twice their
-depth, since they lower the bound most for the rows they cost.
+when no row is left. All lists are read to the same depth, from a few rows on to twice as many in each
+step; queries that are in the same step read a list and score the rows met together.
 
 Queries come in packs; a pack meets every block, pair by pair, so that a task holds one block and one
 pack. First each query walks one block, chosen by a hash of its id, which gives a score that k rows
@@ -34,6 +34,8 @@ from hitledger.llm.shared import prepare, stored
 
 BLOCK_ROWS, PACK_ROWS = 8192, 512
 FIRST_STEP = 16
+# Rows times queries that walk in step.
+WALK_CELLS = 1 << 20
 NO_FLOOR = np.iinfo(np.int64).min
 
 _FOUND = "query_id long, vec_id long, score long"
@@ -67,47 +69,54 @@ class Block:
         may be left out.
         """
         rows, wide = self._numbers(queries)
-        for own, query, floor in zip(query_ids.tolist(), wide, floors.tolist()):
-            ids, score = self._walk(rows, query, own, floor, k)
-            order = np.lexsort((ids, -score))[:k]
-            yield own, ids[order], score[order]
-
-    def _walk(self, rows: np.ndarray, query: np.ndarray, own: int, floor: int, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """Ids and scores of rows, the best ``k`` not under ``floor`` among them."""
-        n, ids, scores = len(self.ids), np.zeros(0, np.int64), np.zeros(0, np.int64)
-        if not n:
-            return ids, scores
-        self.walks += 1
-        # A query of zeros finds all rows equal; any list leads to them.
-        used = np.flatnonzero(query) if query.any() else np.zeros(1, np.int64)
-        down = query[used] > 0
-        fronts = np.where(down, self.top[:, used], self.bottom[:, used]) * query[used]
-        falls = (fronts[:-1] - fronts[1:]) / np.diff(self.depths)[:, None]
-        across, level = np.arange(len(used)), np.full(len(used), -1)
-        chosen, met, left = across, np.zeros(n, bool), n
-        while True:
-            known = met.copy()
-            for i in chosen.tolist():
-                lo, hi = self.depths[level[i]] if level[i] >= 0 else 0, self.depths[level[i] + 1]
-                of = self.lists[used[i]]
-                met[of[lo:hi] if down[i] else of[n - hi : n - lo]] = True
-            level[chosen] += 1
-            at = np.flatnonzero(met & ~known)
-            self.scored += len(at)
-            left -= len(at)
-            score = (rows[at] @ query).astype(np.int64)
-            good = (score >= floor) & (self.ids[at] != own)
-            ids, scores = np.concatenate((ids, self.ids[at[good]])), np.concatenate((scores, score[good]))
-            if len(ids) >= k:
-                floor = max(floor, int(np.partition(scores, len(ids) - k)[len(ids) - k]))
-                best = scores >= floor
-                ids, scores = ids[best], scores[best]
-            # A row not met that equals the kth may win the tie by its id, so the bound must be less.
-            if not left or fronts[level, across].sum() < floor:
-                self.bounded += left > 0
-                return ids, scores
-            fall = falls[level, across]
-            chosen = np.flatnonzero(fall >= fall.max() / 2)
+        some = max(1, WALK_CELLS // max(len(self.ids), 1))
+        for lo in range(0, len(queries), some):
+            yield from self._walk(rows, query_ids[lo : lo + some], wide[lo : lo + some], floors[lo : lo + some], k)
+
+    def _walk(self, rows: np.ndarray, query_ids: np.ndarray, queries: np.ndarray, floors: np.ndarray, k: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """``search`` for some queries, which read the lists in step until each one's bound ends its walk."""
+        n, width = len(self.ids), queries.shape[1]
+        of, ids, score = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, rows.dtype)
+        if n:
+            self.walks += len(queries)
+            floor, active, last = floors.astype(rows.dtype), np.arange(len(queries)), 0
+            # What a row that isn't met by each depth can score at most.
+            bounds = np.maximum(queries, 0) @ self.top.T.astype(rows.dtype) + np.minimum(queries, 0) @ self.bottom.T.astype(rows.dtype)
+            # Readers of each list from either end. A query of zeros finds all rows equal; any list leads to them.
+            down, up = (queries > 0).T, (queries < 0).T
+            down[0] |= ~queries.any(axis=1)
+            met = self.ids[:, None] == query_ids  # a query's own row is no candidate
+            for step, depth in enumerate(self.depths.tolist()):
+                known = met.copy()
+                for i in range(width):
+                    met[self.lists[i, last:depth]] |= down[i]
+                    met[self.lists[i, n - depth : n - last]] |= up[i]
+                new = met ^ known
+                at = np.flatnonzero(new.any(axis=1))
+                self.scored += np.count_nonzero(new)
+                here = rows[at] @ queries[active].T
+                row, who = np.nonzero(new[at] & (here >= floor[active]))
+                of, ids, score = np.concatenate((of, active[who])), np.concatenate((ids, self.ids[at[row]])), np.concatenate((score, here[row, who]))
+                # The kth score of each query is its new floor.
+                order = np.lexsort((-score, of))
+                of, ids, score = of[order], ids[order], score[order]
+                kth = np.arange(len(of)) - np.searchsorted(of, of) == k - 1
+                floor[of[kth]] = np.maximum(floor[of[kth]], score[kth])
+                best = score >= floor[of]
+                of, ids, score = of[best], ids[best], score[best]
+                # A row not met that equals the kth may win the tie by its id, so the bound must be less.
+                left = ~met.all(axis=0)
+                on = left & (bounds[active, step] >= floor[active])
+                self.bounded += np.count_nonzero(left & ~on)
+                if not on.any():
+                    break
+                active, last = active[on], depth
+                met, down, up = (np.compress(on, x, axis=1) for x in (met, down, up))
+        order = np.lexsort((ids, -score, of))
+        first = np.searchsorted(of[order], np.arange(len(queries) + 1))
+        for i, own in enumerate(query_ids.tolist()):
+            best = order[first[i] : min(first[i] + k, first[i + 1])]
+            yield own, ids[best], score[best].astype(np.int64)
 
 
 def _whole(vector: Column, scale: float) -> Column:
