@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from hitledger.llm.shared import prepare, stored
 
 BLOCK_ROWS, PACK_ROWS = 8192, 512
-FIRST_STEP = 16
+FIRST_STEP = 4
 # Rows times queries that walk in step.
 WALK_CELLS = 1 << 20
 NO_FLOOR = np.iinfo(np.int64).min
