@@ -226,18 +226,25 @@ def size_documents(docs: DataFrame, more: tuple[str, ...] = ()) -> DataFrame:
     return docs.select("doc_id", F.col("source").cast("string").alias("source"), word_count("text").alias("size"), F.xxhash64("doc_id", "text", F.lit(23)).alias("hash"), *more)
 
 
-def taken_words(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, seed: int = 17) -> DataFrame:
-    """``doc_id, size, source_size, target, taken`` of every document."""
-    sized = stored(size_documents(docs), "sizes")
-    made = plan(sized, weights, seed)
+def _mixed(rows: DataFrame, made: Plan) -> DataFrame:
+    """A row per copy of a document in the mix, with its ``shard`` and the words taken of it, ``part``: shard after shard, shuffled in each.
+
+    ``rows``: sized documents with their source's figures and their block.
+    """
+    draws = _few(sharded(made))
+    whole = rows.join(draws.where("words IS NULL").drop("words"), ["place", "block"]).withColumn("part", F.col("size"))
+    copies = whole.unionByName(_cut(rows, draws.where("words IS NOT NULL")).select(whole.columns)).where("part > 0")
+    return copies.repartition(made.shards, "shard").sortWithinPartitions("shard", F.xxhash64("hash", "pass", F.lit(made.seed)))
+
+
+def taken_words(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, seed: int = 17, shard_words: int = SHARD_WORDS) -> DataFrame:
+    """``doc_id, size, source_size, target, taken`` of every document; ``taken`` is counted in the shards' rows."""
+    sized = stored(size_documents(docs, (F.monotonically_increasing_id().alias("row"),)), "sizes")
+    made = plan(sized, weights, seed, shard_words)
     rows = _blocked(sized, _few(made.sources))
-    whole = made.draws.where("words IS NULL").groupBy("place", "block").agg(F.count("*").alias("copies"))
-    cuts = made.draws.where("words IS NOT NULL").select("place", "block", "words")
-    # Blocks taken in part are set apart, one a source at most; only they are put in order.
-    kept = rows.join(cuts.select("place", "block"), ["place", "block"], "left_anti").withColumn("part", F.lit(0).cast("long"))
-    rows = kept.unionByName(_cut(rows, cuts)).join(whole, ["place", "block"], "left")
-    taken = F.coalesce("copies", F.lit(0)) * F.col("size") + F.col("part")
-    return rows.select("doc_id", "size", "source_size", "target", taken.cast("long").alias("taken"))
+    mixed = stored(_mixed(rows, made).select("row", "shard", "part"), "mix-rows")
+    taken = mixed.groupBy("row").agg(F.sum("part").alias("taken"))
+    return rows.join(taken, "row", "left").select("doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
 
 
 def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, seed: int = 17, shard_words: int = SHARD_WORDS) -> DataFrame:
@@ -246,14 +253,8 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, seed: int = 17, sha
     A document that is cut keeps its first words, joined by single spaces.
     """
     row = F.struct(*(F.col(c) for c in docs.columns)).alias("row")
-    sized = size_documents(docs, (row,))
     made = plan(stored(size_documents(docs), "sizes"), weights, seed, shard_words)
-    rows, draws = _blocked(sized, _few(made.sources)), _few(sharded(made))
-    whole = rows.join(draws.where("words IS NULL").drop("words"), ["place", "block"])
-    whole = whole.where("size > 0").select("row", "hash", "pass", "shard")
-    part = _cut(rows, draws.where("words IS NOT NULL")).where("part > 0")
+    mixed = _mixed(_blocked(size_documents(docs, (row,)), _few(made.sources)), made)
     words = F.regexp_extract_all(F.col("row.text"), F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))
     short = F.when(F.col("part") < F.col("size"), F.array_join(F.slice(words, F.lit(1), F.col("part").cast("int")), " ")).otherwise(F.col("row.text"))
-    part = part.withColumn("row", F.col("row").withField("text", short)).select("row", "hash", "pass", "shard")
-    mixed = whole.unionByName(part).repartition(made.shards, "shard").sortWithinPartitions("shard", F.xxhash64("hash", "pass", F.lit(seed)))
-    return mixed.select("row.*")
+    return mixed.select(F.col("row").withField("text", short).alias("row")).select("row.*")

@@ -129,6 +129,21 @@ def test_mix(odd_docs, odd_rows):
         assert any(r.text == t or " ".join(WORD.findall(t)).startswith(r.text) for t in whole[r.doc_id])
 
 
+def test_taken_is_what_the_shards_hold(odd_docs, monkeypatch):
+    """Words are counted in the shards that the tree dealt, so what one shard holds is missing without it."""
+    whole = {str(r): r.taken for r in mixing.taken_words(odd_docs, shard_words=2000).collect()}
+    dealt, held = mixing.sharded, []
+
+    def without_one(made):
+        rows = dealt(made)
+        held.append(rows.groupBy("shard").count().count())
+        return rows.where("shard <> 1")
+
+    monkeypatch.setattr(mixing, "sharded", without_one)
+    left = sum(r.taken for r in mixing.taken_words(odd_docs, shard_words=2000).collect())
+    assert held and held[0] > 2 and 0 < left < sum(whole.values())
+
+
 def test_no_rows(no_docs):
     assert mixing.taken_words(no_docs).count() == 0
     assert mixing.mix(no_docs).count() == 0
