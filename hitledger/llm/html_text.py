@@ -13,10 +13,9 @@ and what is still open at the end is closed. The tree is then walked without rec
   paragraphs, headings, lists, tables and the like are set off by a blank line.
 - Items of lists get ``-`` or their number, and are indented by depth.
 - The cells of a table are laid out in columns as wide as their widest line; cells that span rows or
-  columns keep their place. Tables within cells are laid out within. Where that would take more than
-  ``SPREAD`` characters for each one of the table's text, or ``PLACES`` places of its grid, each row
-  becomes one line instead, its cells side by side without padding, so that the result stays in
-  proportion to the page.
+  columns keep their place. Tables within cells are laid out within. What separates two texts of a
+  line, or goes before the first, is at most ``GAP`` wide: blanks and the border stand for a wider
+  gap. So each line takes room and time by its own cells, however large the table.
 
 Elements nested deeper than ``DEPTH`` become siblings at that depth, so time stays in proportion to
 the page; their text is kept.
@@ -31,8 +30,8 @@ from __future__ import annotations
 
 import html
 import re
-from bisect import bisect_left, insort
-from collections import Counter
+from bisect import bisect_left
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from itertools import accumulate
@@ -44,8 +43,8 @@ from pyspark.sql import types as T
 from hitledger.llm.shared import prepare, with_columns
 
 DEPTH = 400
-# For each character of its text, a table's aligned layout may have so many characters, and so many places of cells.
-SPREAD, PLACES = 8, 64
+# The widest gap between two texts of a table's line, and before the first.
+GAP = 100
 
 # Quotes in a tag may hold ">"; where quotes don't pair up to the end of the page, the next ">" ends a tag.
 _TOKEN, _LOOSE = (
@@ -290,63 +289,90 @@ class _Table:
         self.free += across
 
     def laid_out(self) -> list[str]:
-        cells = sorted((across, c, max(map(len, lines), default=0)) for row in self.rows for c, (lines, across, _) in row.items())
-        text = sum(len(line) + 3 for row in self.rows for lines, *_ in row.values() for line in lines) + len(self.rows)
-        width: dict[int, int] = {}
-        used: list[int] = []
-        steps = 0
-        for across, c, size in cells:  # what doesn't fit widens the last column spanned
-            last = c + across - 1
-            before = [width[k] for k in used[bisect_left(used, c) : bisect_left(used, last)]]
-            steps += len(before)
-            if steps > PLACES * text:
-                return self._run_on()
-            room = sum(before) + 3 * (len(before) - 1) + (last in width and width[last] + 3)
-            if size > max(room, 0):
-                if last not in width:
-                    insort(used, last)
-                width[last] = max(1, size - sum(before) - 3 * len(before))
-        heights = [max([1, *(len(lines) for lines, *_ in row.values())]) for row in self.rows]
-        if sum(heights) * len(used) > PLACES * text:
-            return self._run_on()
-        # A cell stands in the first used column that it covers; to the left of the others it has no border.
-        shown: list[dict[int, list[str]]] = [{} for _ in self.rows]
-        inner: set[tuple[int, int]] = set()
-        for r, row in enumerate(self.rows):
-            for c, (lines, across, down) in row.items():
-                covered = used[bisect_left(used, c) : bisect_left(used, c + across)]
-                if covered:
-                    shown[r][covered[0]] = lines
-                    inner.update((i, k) for i in range(r, min(r + down, len(self.rows))) for k in covered[1:])
-        start = dict(zip(used, accumulate((width[c] + 3 for c in used), initial=0)))
-        long = 0
-        for row in shown:
-            ends = [0] * max((len(lines) for lines in row.values()), default=0)
-            for c, lines in row.items():
-                for i, line in enumerate(lines):
-                    ends[i] = max(ends[i], start[c] + len(line))
-            long += sum(ends)
-        if long > SPREAD * text:
-            return self._run_on()
+        width = self._widths()
+        used = sorted(width)
+        start = list(accumulate((width[c] + 3 for c in used), initial=0))
+        places = [[(bisect_left(used, c), bisect_left(used, c + across), lines, down) for c, (lines, across, down) in row.items()] for row in self.rows]
+        # Columns that a cell covers beside its first have no border to their left.
+        inner, ends = _Sums(len(used) + 1), defaultdict(list)
         out = []
-        for r, row in enumerate(shown):
-            for i in range(max((len(lines) for lines in row.values()), default=0)):
-                line, at, end = "", 0, 0
-                for k, c in enumerate(used):
-                    if k:
-                        line = line.ljust(at - 3) + ("   " if (r, c) in inner and c not in row else " | ") if len(line) <= at - 3 else line
-                    lines = row.get(c, [])
-                    if i < len(lines) and lines[i]:
-                        line += lines[i]
-                        end = len(line)
-                    at += width[c] + 3
-                out.append(line[:end])
+        for r, row in enumerate(places):
+            for i, j in ends.pop(r, ()):
+                inner.add(i + 1, -1)
+                inner.add(j, 1)
+            for i, j, _, down in row:
+                if j - i > 1:
+                    inner.add(i + 1, 1)
+                    inner.add(j, -1)
+                    ends[r + down].append((i, j))
+            shown = [(i, lines) for i, j, lines, _ in row if i < j]
+            own = {i for i, _ in shown}
+            pieces: list[list[tuple[int, str]]] = [[] for _ in range(max((len(lines) for _, lines in shown), default=0))]
+            for i, lines in shown:
+                for n, line in enumerate(lines):
+                    if line:
+                        pieces[n].append((i, line))
+            for line in pieces:
+                parts, at = [], 0
+                for i, text in line:
+                    gap = start[i] - at
+                    if gap > GAP:
+                        parts.append(" | ".rjust(GAP))
+                    elif gap:
+                        blank = [" "] * gap
+                        for k in range(bisect_left(start, at + 3), i + 1):
+                            if k in own or not inner.before(k + 1):
+                                blank[start[k] - 2 - at] = "|"
+                        parts += blank
+                    parts.append(text)
+                    at = start[i] + len(text)
+                out.append("".join(parts))
         return out
 
-    def _run_on(self) -> list[str]:
-        """A line per row, its cells side by side without padding, their lines joined."""
-        rows = [[" ".join(filter(None, lines)) for _, (lines, *_) in sorted(row.items())] for row in self.rows]
-        return [line for row in rows if (line := " | ".join(filter(None, row)))]
+    def _widths(self) -> dict[int, int]:
+        """Widths of the columns that hold text: cells of one column first; what doesn't fit a wider cell widens its last column."""
+        width: dict[int, int] = {}
+        wide = []
+        for row in self.rows:
+            for c, (lines, across, _) in row.items():
+                size = max(map(len, lines), default=0)
+                if across > 1:
+                    wide.append((across, c, size))
+                elif size > width.get(c, 0):
+                    width[c] = size
+        last = sorted({*width, *(c + across - 1 for across, c, _ in wide)})
+        room = _Sums(len(last))
+        for c in width if wide else ():
+            room.add(bisect_left(last, c), width[c] + 3)
+        for across, c, size in sorted(wide):
+            end = bisect_left(last, c + across - 1)
+            before = room.before(end) - room.before(bisect_left(last, c))
+            old = width.get(last[end], 0)
+            if size > max(0, before + old if old else before - 3):
+                width[last[end]] = max(1, size - before)
+                room.add(end, width[last[end]] - old + (0 if old else 3))
+        return width
+
+
+class _Sums:
+    """Numbers at places, added to one by one, and their sums (a binary indexed tree)."""
+
+    def __init__(self, n: int) -> None:
+        self.sums = [0] * (n + 1)
+
+    def add(self, at: int, more: int) -> None:
+        at += 1
+        while at < len(self.sums):
+            self.sums[at] += more
+            at += at & -at
+
+    def before(self, at: int) -> int:
+        """The sum of the numbers at places under ``at``."""
+        total = 0
+        while at:
+            total += self.sums[at]
+            at &= at - 1
+        return total
 
 
 def _visible(node: Node, hidden: bool) -> tuple[bool, bool]:

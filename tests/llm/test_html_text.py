@@ -178,3 +178,15 @@ def test_cells_start_where_the_first_place_is_free(rows):
         for across, down in row:
             table.add(["x"], across, down)
     assert [(r, c) for r, row in enumerate(table.rows) for c in row] == plain_grid(rows)
+
+
+@pytest.mark.parametrize("first", ["w" * 500, "<table>" + "<td>v" * 120 + "</table>"])
+def test_rows_are_laid_out_alike_however_many_follow(first):
+    def lines(n):
+        return visible_text(f"<table><tr><td>{first}<td>x<tr><td>ab<td>y" + "<tr><td>a<td>b" * n + "</table>").split("\n")
+
+    few = lines(1)
+    for n in (10, 100, 1000):
+        many = lines(n)
+        assert many[:3] == few and many[2:] == few[2:] * n
+    assert few[2].startswith("a ") and few[2].endswith(" | b")
