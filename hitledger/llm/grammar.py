@@ -214,10 +214,10 @@ class Shard:
     def _expand(self) -> None:
         """All rules' ids end to end, each from those before it."""
         v = self.vocabulary
-        out: list[np.ndarray] = []
+        out: list[bytes] = []
         for a, b in self.rules.tolist():
-            out.append(np.concatenate([out[s - v] if s >= v else np.array([s], np.uint32) for s in (a, b)]))
-        self.flat = np.concatenate(out) if out else np.zeros(0, np.uint32)
+            out.append(b"".join(out[s - v] if s >= v else s.to_bytes(4, "little") for s in (a, b)))
+        self.flat = np.frombuffer(b"".join(out), "<u4")
         self.begin = np.concatenate(([0], np.cumsum(self.lengths)))[:-1]
 
     def _size(self, symbols: np.ndarray) -> np.ndarray:

@@ -13,6 +13,7 @@ hold white space or take it in from beside them; a tokenizer with such ones is g
 
 from __future__ import annotations
 
+import json
 import os
 
 import numpy as np
@@ -21,8 +22,8 @@ from tokenizers import Tokenizer
 from hitledger.llm.words import IS_WORD, hash_spans
 
 KEPT = 2_000_000
-# New units are encoded in joined texts of up to so many.
-JOINED = 20_000
+# New units are encoded in joined texts of up to so many: longer ones take the library more time a unit.
+JOINED = 500
 
 
 def find_units(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -43,6 +44,22 @@ def find_units(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     return starts, np.diff(np.searchsorted(starts, offsets))
 
 
+def token_bytes(tokenizer: Tokenizer) -> np.ndarray | None:
+    """Bytes of text that each id stands for; None if the text is changed before it is split, or ids may stand for other text."""
+    parts = json.loads(tokenizer.to_str())
+    before, model = parts["pre_tokenizer"] or {}, parts["model"]
+    same = parts["normalizer"] is None and before.get("type") == "ByteLevel" and not before.get("add_prefix_space")
+    if not same or model["type"] != "BPE" or model.get("unk_token") or model.get("continuing_subword_prefix") or model.get("end_of_word_suffix"):
+        return None
+    vocabulary = tokenizer.get_vocab(with_added_tokens=True)
+    out = np.zeros(max(vocabulary.values(), default=-1) + 1, np.int64)
+    for token, number in vocabulary.items():
+        out[number] = len(token)  # a character stands for a byte
+    for number, token in tokenizer.get_added_tokens_decoder().items():
+        out[number] = len(token.content.encode())
+    return out
+
+
 class Encoder:
     """Encodes buffers of texts; one per worker and tokenizer file.
 
@@ -55,6 +72,7 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = not special
         self.whole = any(t.lstrip or t.rstrip or any(map(str.isspace, t.content)) for t in self.tokenizer.get_added_tokens_decoder().values())
+        self.bytes = token_bytes(self.tokenizer)
         self._forget()
 
     def _forget(self) -> None:
@@ -116,17 +134,29 @@ class Encoder:
         ids, size = [], []
         for lo in range(0, len(joint), JOINED):
             part = [units[i] for i in joint[lo : lo + JOINED]]
-            bound = np.cumsum([len(u) for u in part])
-            done = self.tokenizer.encode("".join(part), add_special_tokens=False)
-            ids.append(np.array(done.ids, np.uint32))
-            ends = np.searchsorted(np.array([x[0] for x in done.offsets], np.int64), bound)
-            size.append(np.diff(ends, prepend=0))
+            found, count = self._encode_joined(part)
+            ids.append(found)
+            size.append(count)
         for lo in range(0, len(alone), JOINED):
-            found = [x.ids for x in self.tokenizer.encode_batch([units[i] for i in alone[lo : lo + JOINED]], add_special_tokens=False)]
+            found = [x.ids for x in self.tokenizer.encode_batch_fast([units[i] for i in alone[lo : lo + JOINED]], add_special_tokens=False)]
             ids.append(np.array([i for x in found for i in x], np.uint32))
             size.append(np.array([len(x) for x in found], np.int64))
         return np.concatenate((joint, alone)), np.concatenate(ids), np.concatenate(size)
 
+    def _encode_joined(self, part: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of units joined, and how many start in each: by the bytes that ids stand for, or else by the library's offsets."""
+        text = "".join(part)
+        if self.bytes is not None:
+            ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
+            ends = np.cumsum(self.bytes[ids])
+            bound = np.cumsum([len(u.encode()) for u in part])
+            if len(ids) and ends[-1] == bound[-1]:
+                return ids, np.diff(np.searchsorted(ends - self.bytes[ids], bound), prepend=0)
+        done = self.tokenizer.encode(text, add_special_tokens=False)
+        bound = np.cumsum([len(u) for u in part])
+        ends = np.searchsorted(np.array([x[0] for x in done.offsets], np.int64), bound)
+        return np.array(done.ids, np.uint32), np.diff(ends, prepend=0)
+
 
 _encoders: dict[str, Encoder] = {}
 
