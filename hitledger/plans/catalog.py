@@ -417,7 +417,7 @@ def _two_loads(spark: SparkSession, sf_dir: str, after=lambda path: None) -> str
     """Lines of the earlier events loaded first, then the others; ``after`` runs behind each load."""
     path = scratch_path(spark, "audit")
     parts = _lines(spark, sf_dir)
-    middle = parts.agg(F.max("event_id")).first()[0] // 2
+    middle = events(spark, sf_dir).agg(F.max("event_id")).first()[0] // 2
     for name, part in (("early", F.col("event_id") <= middle), ("late", F.col("event_id") > middle)):
         stage.write_by_batch(parse(parts.filter(part)), path, mode="replace-load", load=name)
         after(path)
@@ -454,25 +454,28 @@ def parse_log_line_sql(spark, sf_dir):
     return spark.sql("SELECT event_id, r.* FROM rendered_lines, LATERAL parse_log_line(value) AS r")
 
 
-def _named(spark: SparkSession, sf_dir: str) -> None:
-    """All tables by name, in a database of their own, told of a second load."""
+def _named(spark: SparkSession, sf_dir: str, of: str) -> None:
+    """Tables by name, in a database of their own: the ``lines``, the ``stage`` told of a second load, or it and its ``results``."""
     name = scratch_path(spark, "db").rsplit("/", 1)[1].replace("-", "_")
     spark.sql(f"CREATE DATABASE {name} LOCATION '{scratch_path(spark, 'db')}'")
     spark.sql(f"USE {name}")
-    root = scratch_path(spark, "results")
+    if of == "lines":
+        tables.create_tables(spark, logs=_line_files(spark, sf_dir))
+        return
+    root = scratch_path(spark, "results") if of == "results" else None
 
     def after(path: str) -> None:
-        by_batch.refresh(spark, path, root)
+        if root:
+            by_batch.refresh(spark, path, root)
         tables.create_tables(spark, stage=path, results=root)
 
-    tables.create_tables(spark, logs=_line_files(spark, sf_dir))
     _two_loads(spark, sf_dir, after)
 
 
-def _by_name(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
+def _by_name(spark: SparkSession, sf_dir: str, sql: str, of: str = "stage") -> DataFrame:
     before = spark.catalog.currentDatabase()
     try:
-        _named(spark, sf_dir)
+        _named(spark, sf_dir, of)
         return spark.sql(sql)
     finally:
         spark.sql(f"USE {before}")
@@ -480,7 +483,7 @@ def _by_name(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
 
 @_register
 def table_raw_logs(spark, sf_dir):
-    return _by_name(spark, sf_dir, f"SELECT line, count(*) AS copies FROM {tables.LINES} GROUP BY line")
+    return _by_name(spark, sf_dir, f"SELECT line, count(*) AS copies FROM {tables.LINES} GROUP BY line", "lines")
 
 
 @_register
@@ -502,7 +505,7 @@ def table_top_resources(spark, sf_dir):
 @_register
 def table_q3_hourly_error(spark, sf_dir):
     """The result table by name."""
-    return _by_name(spark, sf_dir, f"SELECT {', '.join(HOURLY_ERRORS.fieldNames())} FROM q3_hourly_error")
+    return _by_name(spark, sf_dir, f"SELECT {', '.join(HOURLY_ERRORS.fieldNames())} FROM q3_hourly_error", "results")
 
 
 @_register

@@ -80,5 +80,6 @@ def render_lines(events: DataFrame) -> DataFrame:
     """``event_id`` and the line ``value``."""
     parts = events.selectExpr("event_id", *_texts(_PARTS)).selectExpr("*", *_texts(_CLOCK))
     lines = parts.selectExpr("event_id", "form", *_texts(_TEXTS)).selectExpr("event_id", f"{_LINE} AS value")
-    # Keep the rendering out of the parser's expressions: the parser gets lines as if from a file.
-    return barrier(lines, [], ["event_id", "value"])
+    # Keep the rendering out of the parser's expressions: the parser gets lines as if from a file. The id
+    # goes past, so that a filter on it reaches the scan and only lines that are asked for are rendered.
+    return barrier(lines, ["event_id"], ["value"])

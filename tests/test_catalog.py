@@ -44,3 +44,26 @@ def test_all_are_registered():
 
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
+
+
+def test_loads_render_only_their_own_lines(spark, sf_dir, plan_of):
+    from hitledger.plans.rendered import events, render_lines
+
+    plan = plan_of(render_lines(events(spark, sf_dir)).filter("event_id <= 5"))
+    assert "LessThanOrEqual(event_id,5)" in plan[plan.index("PushedFilters") :]
+
+
+def test_audit_by_name_asks_no_results(spark, sf_dir, monkeypatch):
+    from hitledger.plans import by_batch, catalog
+
+    def unasked(*_):
+        raise AssertionError("not needed for the audit table")
+
+    monkeypatch.setattr(by_batch, "refresh", unasked)
+    monkeypatch.setattr(catalog, "_line_files", unasked)
+    rows = catalog.CATALOG["table_audit"](spark, sf_dir)
+    assert rows.count() == events_of(spark, sf_dir)
+
+
+def events_of(spark, sf_dir):
+    return spark.read.parquet(f"{sf_dir}/events.parquet").count()
